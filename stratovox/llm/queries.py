@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import simhash
+from stratovox.llm import decontaminate, packing, simhash
 from stratovox.llm.common import table
 
 
@@ -16,5 +16,42 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash}
-ORACLE_SQL: dict[str, str] = {}
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    hit = F.col("n_hit")
+    return found.withColumnRenamed("id", "doc_id").withColumn("contaminated", (hit > 0) & (20 * hit >= F.col("n_words")))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), limit=4096, end_id=1)
+    return found.withColumnRenamed("id", "doc_id").withColumnRenamed("crc", "ids_crc32")
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack}
+
+_WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": f"""
+        with d as (select row_number() over () as rid, doc_id, coalesce({_WORDS.format("text")}, []) as w from documents),
+        b as (select item_id, {_WORDS.format("text")} as w from benchmark),
+        win as (select distinct item_id, least(13, len(w)) as n, array_to_string(list_slice(w, s, s + least(13, len(w)) - 1), ' ') as g
+                from b, unnest(range(1, len(w) - least(13, len(w)) + 2)) as t(s) where len(w) > 0),
+        sizes as (select distinct n from win),
+        dw as (select rid, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') as g
+               from d, sizes, unnest(range(1, len(w) - n + 2)) as t(s) where len(w) >= n),
+        hit as (select rid, s, win.n, item_id from dw join win on dw.g = win.g and dw.n = win.n),
+        pos as (select rid, count(distinct p) as n_hit from hit, unnest(range(s, s + n)) as t(p) group by rid),
+        its as (select rid, count(distinct item_id) as n_items, string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+                from hit group by rid)
+        select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+        from d left join pos using (rid) left join its using (rid)
+    """,
+}
