@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import decontaminate, packing, simhash
-from stratovox.llm.common import table
+from stratovox.llm import decontaminate, packing, quality, simhash
+from stratovox.llm.common import crc_bucket, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,14 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("crc", "ids_crc32")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=5)
+    found = quality.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack, "op10_quality": op10_quality}
 
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
