@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import decontaminate, packing, quality, simhash
+from stratovox.llm import decontaminate, packing, quality, simhash, toxicity
 from stratovox.llm.common import crc_bucket, table
 
 
@@ -33,6 +33,13 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("crc", "ids_crc32")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5)
+    found = toxicity.scored(docs.select("doc_id", "text"), machine)
+    return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=5)
@@ -40,7 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack, "op10_quality": op10_quality}
+QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
 
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
