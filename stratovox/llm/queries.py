@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import decontaminate, packing, quality, simhash, toxicity
+from stratovox.llm import decontaminate, extraction, packing, quality, simhash, toxicity, warc
 from stratovox.llm.common import crc_bucket, table
 
 
@@ -22,6 +22,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumn("contaminated", (hit > 0) & (20 * hit >= F.col("n_words")))
 
 
+def op4_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -33,6 +38,13 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("crc", "ids_crc32")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return found.select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to"
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5)
@@ -47,11 +59,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op5_pack": op5_pack, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
+QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op4_extract": op4_extract, "op5_pack": op5_pack, "op6_warc": op6_warc, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
 
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_warc": """
+        with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+        h as (select page_id, octet_length(b) as payload_bytes, sha1(b) as hex, max(page_id) over (partition by b) as keep from p),
+        d as (select *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + cast((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31 as integer), 1)), '') as payload_digest from h)
+        select page_id, payload_bytes, payload_digest, case when page_id = keep then 'response' else 'revisit' end as record_type,
+               case when page_id <> keep then keep end as refers_to from d
+    """,
     "op3_decontaminate": f"""
         with d as (select row_number() over () as rid, doc_id, coalesce({_WORDS.format("text")}, []) as w from documents),
         b as (select item_id, {_WORDS.format("text")} as w from benchmark),
