@@ -13,26 +13,34 @@ result; other columns are ignored. Null ids are packed like any other.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.llm.common import saved
+from stratovox.llm.common import LOWER, saved
 
 #: Pieces that one task packs.
 GROUP = 50_000
 #: Distinct words whose token ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+
+
+_TAIL = re.compile(rb"(?<=[a-z])([.,]+)(?=[\t-\r ]|\Z)")
 
 
 class Tokens:
-    """Token ids of texts as little-endian 32-bit bytes; words between ASCII white space are encoded once and remembered.
+    """Token ids of texts as little-endian 32-bit bytes; words are encoded once and remembered.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are those of its words.
+    The tokenizer lower-cases, drops white space and never joins what it separates, so a text's ids are those of
+    its words. Full stops and commas that end a word after an ASCII letter are tokens of their own, and are split
+    off, so that fewer distinct words have to be encoded.
     """
 
     def __init__(self, path: str):
@@ -41,18 +49,29 @@ class Tokens:
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _words(self, text: bytes) -> list[bytes]:
+        # special tokens are told by their capital letters too
+        return text.split() if b"<|" in text else _TAIL.sub(rb" \1", text.translate(LOWER)).split()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.known
-        new = [w for w in set().union(*split) if w not in known] if split else []
-        if len(known) + len(new) > REMEMBERED:
-            known = self.known = {}
-            new = list(set().union(*split))
+        split = [self._words(t) for t in texts]
+        get = self.known.get
+        parts = [list(map(get, words)) for words in split]
+        new = list({w for words, found in zip(split, parts) if None in found for w, p in zip(words, found) if p is None})
+        extra: dict[bytes, bytes] = {}
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             for word, found in zip(part, self.encoder.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+                extra[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        if len(self.known) < REMEMBERED:
+            self.known.update(extra)
+        return [b"".join([extra[w] if p is None else p for w, p in zip(words, found)] if None in found else found) for words, found in zip(split, parts)]
+
+
+@lru_cache(maxsize=4)
+def worker_tokens(path: str) -> Tokens:
+    """One for each Python worker, kept from task to task."""
+    return Tokens(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096, end_id: int = 1) -> DataFrame:
@@ -62,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = Tokens(tokenizer_path)
+        tokens = worker_tokens(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.columns
