@@ -168,11 +168,11 @@ def digest(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     )
 
 
-def dropped(docs: DataFrame, items: DataFrame, text_col: str = "text", share: float = 0.05, **options) -> DataFrame:
-    """``docs`` without the documents of which at least ``share`` of the words (and at least one) are hit; all columns stay."""
+def dropped(docs: DataFrame, items: DataFrame, text_col: str = "text", one_in: int = 20, **options) -> DataFrame:
+    """``docs`` without the documents of which at least one word in ``one_in`` (and at least one) is hit; all columns stay."""
     found, name = marked(docs, items, text_col, **options)
     n_hit = _n_hit(name)
-    return found.where(~((n_hit > 0) & (n_hit >= share * F.col(name)["n"]))).drop(name)
+    return found.where(~((n_hit > 0) & (n_hit * one_in >= F.col(name)["n"]))).drop(name)
 
 
 def cut(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.llm.common import LOWER, saved
+from stratovox.llm.common import LOWER, place_map, runs, saved
 from stratovox.llm.components import components
 from stratovox.llm.forest import Forest, close_pairs, thinned
 
@@ -28,7 +28,13 @@ SEED = 42
 #: Fingerprints in a tile at most (a tile is a binary value of eight bytes for each).
 TILE = 2048
 LANES = 4
-_BIAS = 8  # keeps a neighbour's lane count from borrowing from the next lane
+#: Bytes of a shingle sketch, and how many of them a candidate for verification must share. At a similarity of 0.8
+#: fewer than 7 of 16 are shared once in two thousand pairs.
+SKETCH, SHARED = 16, 7
+#: Documents of a group that one task compares with as many others at once.
+CHUNK = 512
+_MULTIPLIERS = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1) for k in range(SKETCH)]
+_BIAS = 16  # keeps a neighbour's lane count from borrowing from the next lane
 
 
 def shingle_hashes(text: bytes | None, words_each: int) -> np.ndarray:
@@ -64,20 +70,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(scan, "id long, fp long")
 
 
-def _lane_key(fp) -> F.Column:
-    width = 64 // LANES
-    key = F.lit(0)
-    for lane in range(LANES):
-        count = F.bit_count(F.shiftrightunsigned(fp, lane * width).bitwiseAND(F.lit((1 << width) - 1)))
-        key = F.shiftleft(key, 7).bitwiseOR(count + _BIAS) if lane else count + _BIAS
+def _lane_key(fp, lanes: int) -> F.Column:
+    width = 64 // lanes
+    key = F.lit(0).cast("int")
+    for lane in range(lanes):
+        part = F.shiftrightunsigned(fp, lane * width)
+        count = F.bit_count(part.bitwiseAND(F.lit((1 << width) - 1)) if lanes > 1 else part)
+        key = F.shiftleft(key, 7).bitwiseOR(count + _BIAS)
     return key.cast("int")
 
 
-def _neighbour_offsets(radius: int) -> list[int]:
+def _neighbour_offsets(radius: int, lanes: int) -> list[int]:
     """Key differences of tiles that may hold links, one of each opposite two, zero included."""
     out = []
-    for d in product(range(-radius, radius + 1), repeat=LANES):
-        if sum(map(abs, d)) <= radius and d >= (0,) * LANES:
+    for d in product(range(-radius, radius + 1), repeat=lanes):
+        if sum(map(abs, d)) <= radius and d >= (0,) * lanes:
             value = 0
             for x in d:
                 value = value * 128 + x
@@ -85,65 +92,86 @@ def _neighbour_offsets(radius: int) -> list[int]:
     return out
 
 
-def _tiles(reps: DataFrame) -> DataFrame:
-    """``(key, first, data)``: fingerprints of one key, packed; equal ranges of the sorted table go to each task."""
+def _unpacked(data: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(fingerprints, node ids, sketches) of a tile; without sketches the fingerprints are the ids."""
+    if not wide:
+        fps = np.frombuffer(data, np.int64)
+        return fps.view(np.uint64), fps, None
+    n = len(data) // (16 + SKETCH)
+    numbers = np.frombuffer(data, np.int64, 2 * n)
+    return numbers[:n].view(np.uint64), numbers[n:], np.frombuffer(data, np.uint8, offset=16 * n).reshape(n, SKETCH)
+
+
+def _tiles(nodes: DataFrame, lanes: int) -> DataFrame:
+    """``(key, first, data)``: nodes of one key, packed; equal ranges of the sorted table go to each task."""
+    wide = "sketch" in nodes.columns
+
+    def packed(key: int, rows: pa.Table) -> tuple:
+        fps = rows.column("fp").to_numpy()
+        data = fps.tobytes()
+        if wide:
+            data += rows.column("id").to_numpy().tobytes() + b"".join(rows.column("sketch").to_pylist())
+        return key, int(fps[0]), data
 
     def pack(batches):
-        key, held = None, []
+        held: list[pa.RecordBatch] = []
+        key = None
 
         def flush():
-            while held:
-                data = np.concatenate(held) if len(held) > 1 else held[0]
+            if held:
+                table = pa.Table.from_batches(held)
                 held.clear()
-                for i in range(0, len(data), TILE):
-                    part = data[i : i + TILE]
-                    yield key, int(part[0]), part.tobytes()
+                for i in range(0, len(table), TILE):
+                    yield packed(key, table.slice(i, TILE))
 
         def batch_of(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
-                names=["key", "first", "data"],
-            )
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], names=["key", "first", "data"])
 
         for batch in batches:
-            keys, fps = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            keys = batch.column(0).to_numpy()
             cuts = [0, *(np.nonzero(np.diff(keys))[0] + 1).tolist(), len(keys)]
             rows = []
             for i, j in zip(cuts, cuts[1:]):
                 if i == j:
                     continue
-                if key is not None and (keys[i] != key or sum(map(len, held)) >= TILE):
+                if key is not None and (keys[i] != key or sum(b.num_rows for b in held) >= TILE):
                     rows += flush()
                 key = int(keys[i])
-                held.append(fps[i:j].copy())
+                held.append(batch.slice(i, j - i))
             if rows:
                 yield batch_of(rows)
         if held:
             yield batch_of(list(flush()))
 
-    ranged = reps.select(_lane_key(F.col("fp")).alias("key"), "fp").repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
+    columns = ["fp", "id", "sketch"] if wide else ["fp"]
+    ranged = nodes.select(_lane_key(F.col("fp"), lanes).alias("key"), *columns).repartitionByRange("key", *columns[:2]).sortWithinPartitions("key", "fp")
     return ranged.mapInArrow(pack, "key int, first long, data binary")
 
 
-def fingerprint_links(reps: DataFrame, radius: int = 3) -> DataFrame:
-    """``(a, b)``: links between distinct fingerprints (column ``fp``) within ``radius``, a spanning forest from each task.
+def fingerprint_links(nodes: DataFrame, radius: int = 3) -> DataFrame:
+    """``(a, b)``: links between nodes within ``radius``, a spanning forest from each task.
 
-    The forest has the components of all links; a group of k mutually close fingerprints gives at most
-    k rows a task instead of k squared.
+    ``nodes``: distinct fingerprints ``fp``, which then name the nodes; or ``fp, id, sketch`` with a node's own id and
+    its shingle sketch, of which linked nodes must share SHARED bytes. The forest has the components of all links;
+    a group of k mutually close fingerprints gives at most k rows a task instead of k squared.
     """
-    tiles = saved(_tiles(reps), "tiles")
-    left = tiles.select("first", "data", "key", F.explode(F.array(*map(F.lit, _neighbour_offsets(radius)))).alias("o"))
-    left = left.select("first", "data", "o", (F.col("key") + F.col("o")).cast("int").alias("key"))
-    right = tiles.select(F.col("first").alias("first_b"), F.col("data").alias("data_b"), "key")
-    pairs = left.join(right, "key").where((F.col("o") != 0) | (F.col("first") <= F.col("first_b")))
+    wide, lanes = "sketch" in nodes.columns, LANES if radius <= 3 else 1
+    tiles = saved(_tiles(nodes, lanes).withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    left = tiles.select("tile", "data", "key", F.explode(F.array(*map(F.lit, _neighbour_offsets(radius, lanes)))).alias("o"))
+    left = left.select("tile", "data", "o", (F.col("key") + F.col("o")).cast("int").alias("key"))
+    right = tiles.select(F.col("tile").alias("tile_b"), F.col("data").alias("data_b"), "key")
+    pairs = left.join(right, "key").where((F.col("o") != 0) | (F.col("tile") <= F.col("tile_b")))
 
     def compare(batches):
         forest = Forest()
         for batch in batches:
             for same, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
-                for x, y in close_pairs(a.view(np.uint64), b.view(np.uint64), radius, same):
-                    both = a if same else np.concatenate([a, b])
+                (a, ids_a, sketch_a), (b, ids_b, sketch_b) = _unpacked(a, wide), _unpacked(b, wide)
+                both = ids_a if same else np.concatenate([ids_a, ids_b])
+                for x, y in close_pairs(a, b, radius, same):
+                    if wide:
+                        like = (sketch_a[x] == sketch_b[y]).sum(axis=1) >= SHARED
+                        x, y = x[like], y[like]
                     x, y = thinned(x, y if same else y + len(a), len(both))
                     for u, v in zip(both[x].tolist(), both[y].tolist()):
                         forest.join(u, v)
@@ -152,7 +180,7 @@ def fingerprint_links(reps: DataFrame, radius: int = 3) -> DataFrame:
             part = edges[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in part], pa.int64()), pa.array([e[1] for e in part], pa.int64())], names=["a", "b"])
 
-    same = (F.col("o") == 0) & (F.col("first") == F.col("first_b"))
+    same = (F.col("o") == 0) & (F.col("tile") == F.col("tile_b"))
     return pairs.select(same.alias("same"), "data", "data_b").mapInArrow(compare, "a long, b long")
 
 
@@ -169,3 +197,122 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = grouped.groupBy("root").agg(F.min("rep").alias("component"))
     named = grouped.join(least, "root").select("fp", "component")
     return prints.join(named, "fp").select("id", "fp", "component")
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """One byte of each of SKETCH minimum hashes; two texts share a byte with about the probability of their similarity."""
+    if not len(shingles):
+        return bytes(SKETCH)
+    low = np.array([((shingles * m) ^ ((shingles * m) >> np.uint64(31))).min() for m in _MULTIPLIERS], np.uint64)
+    return (low >> np.uint64(7)).astype(np.uint8).tobytes()
+
+
+def described(docs: DataFrame, id_col: str, text_col: str, print_words: int, words_each: int) -> DataFrame:
+    """``(doc, id, fp, sketch)`` of every text: its node id is its 64-bit hash."""
+
+    def scan(batches):
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            fps = np.array([fingerprint(t, print_words) for t in texts], np.uint64).view(np.int64)
+            sketches = [sketch(shingle_hashes(t, words_each)) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps), pa.array(sketches, pa.binary())], names=["doc", "id", "fp", "sketch"])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("id"), text.cast("binary").alias("t")).where("doc is not null")
+    return rows.mapInArrow(scan, "doc long, id long, fp long, sketch binary")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words_each: int) -> DataFrame:
+    """``wanted`` (columns doc and id, and others) with the sorted shingle hashes of each text."""
+    shipped, place = place_map(wanted.select(F.col("doc").alias("a"), F.col("id").alias("b")))
+
+    def scan(batches):
+        for batch in batches:
+            doc, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keep = np.nonzero(place.marked(shipped.value, doc, node))[0]
+            for i in range(0, len(keep), 200):
+                part = batch.take(pa.array(keep[i : i + 200]))
+                sets = [np.unique(shingle_hashes(t, words_each)).view(np.int64) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "id", "shingles"])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("id"), text.cast("binary").alias("t")).where("doc is not null")
+    return wanted.join(rows.mapInArrow(scan, "doc long, id long, shingles array<long>").dropDuplicates(["doc", "id"]), ["doc", "id"])
+
+
+def similar_links(groups: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """``(a, b)``: nodes of a group whose fingerprints are within ``radius`` and whose shingle sets have at least this Jaccard similarity.
+
+    ``groups``: ``g, n, id, fp, shingles``. Large groups are cut into chunks and every two chunks of a group meet in one
+    place; of each meeting a spanning forest is returned.
+    """
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    own = groups.withColumn("c", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    jobs = own.select("g", F.least("c", "x").alias("c1"), F.greatest("c", "x").alias("c2"), "c", "id", "fp", "shingles")
+    jobs = jobs.repartition("g", "c1", "c2").sortWithinPartitions("g", "c1", "c2", "id")
+
+    def verify(batches):
+        out: list[tuple] = []
+        for run in runs(batches, 3):
+            c1, c2 = run.column("c1")[0].as_py(), run.column("c2")[0].as_py()
+            chunk, fps, ids = run.column("c").to_numpy(), run.column("fp").to_numpy().view(np.uint64), run.column("id").to_numpy()
+            sets = [np.asarray(x.values) for x in run.column("shingles")]
+            sizes, label = np.array([len(x) for x in sets]), np.arange(len(ids))
+            for i in range(len(ids)):
+                small, large = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+                near = (np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) & (small >= similarity * large)
+                if c1 != c2:
+                    near &= chunk[i + 1 :] != chunk[i]
+                own_set = None
+                for j in (np.nonzero(near)[0] + i + 1).tolist():
+                    if label[i] == label[j]:
+                        continue
+                    own_set = own_set or set(sets[i].tolist())
+                    shared = len(own_set.intersection(sets[j].tolist()))
+                    if shared >= similarity * (sizes[i] + sizes[j] - shared):
+                        label[label == label[j]] = label[i]
+                        out.append((int(ids[i]), int(ids[j])))
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    return jobs.mapInArrow(verify, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, similarity: float = 0.8,
+                   print_words: int = 3, radius: int = 13) -> DataFrame:
+    """``(doc, id, keeper_doc, keeper_id)`` for every distinct id and text: the document of its group that stays.
+
+    Texts are linked if their SimHashes differ in at most ``radius`` bits and the Jaccard similarity of their word
+    shingles is at least ``similarity``. SimHashes are compared tile by tile as in :func:`near_duplicates`; candidates
+    must also share part of a 16-byte shingle sketch, and each link is verified on the whole shingle sets. The one
+    that stays is the least document id of a group. Rows with a null id take no part.
+    """
+    found = saved(described(docs, id_col, text_col, print_words, words_each), "prints")
+    nodes = found.groupBy("id").agg(F.min("doc").alias("doc"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"))
+    nodes = saved(nodes, "nodes")
+    roots = components(fingerprint_links(nodes.select("fp", "id", "sketch"), radius)).withColumnRenamed("node", "id").withColumnRenamed("root", "g")
+    sizes = roots.select("g").union(roots.select("g").distinct()).groupBy("g").agg(F.count("*").alias("n"))
+    members = roots.union(roots.select(F.col("g").alias("id"), "g").distinct())
+    wanted = saved(nodes.select("id", "doc", "fp").join(members, "id").join(sizes, "g"), "groups")
+    links = similar_links(shingle_sets(docs, wanted, id_col, text_col, words_each), radius, similarity)
+    linked = components(links).withColumnRenamed("node", "id")
+    rooted = nodes.select("id", "doc").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    keeper = rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("keeper"))
+    named = rooted.join(keeper, "root").select("id", F.col("keeper.doc").alias("keeper_doc"), F.col("keeper.id").alias("keeper_id"))
+    return found.select("doc", "id").distinct().join(named, "id")
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group of :func:`similar_groups`; all columns stay, rows with a null id stay."""
+    groups = similar_groups(docs, id_col, text_col, **options)
+    lost = groups.where((F.col("doc") != F.col("keeper_doc")) | (F.col("id") != F.col("keeper_id"))).select(F.col("doc").alias("lost_doc"), F.col("id").alias("lost_id"))
+    columns = [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    place, at = f"c{docs.columns.index(text_col)}", f"c{docs.columns.index(id_col)}"
+    rows = docs.select(*columns)
+    text = F.coalesce(rows[place].cast("string"), F.lit(""))
+    left = rows.join(lost, (rows[at].cast("long") == F.col("lost_doc")) & (F.xxhash64(text) == F.col("lost_id")), "left_anti")
+    once = left.where(rows[at].isNotNull()).dropDuplicates([at]).unionByName(left.where(rows[at].isNull()))
+    return once.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
