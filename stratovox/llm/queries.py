@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import decontaminate, extraction, lines, packing, quality, simhash, toxicity, warc
+from stratovox.llm import decontaminate, extraction, lines, neighbours, packing, quality, simhash, toxicity, warc
 from stratovox.llm.common import crc_bucket, table
 
 
@@ -45,6 +45,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = neighbours.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.deduplicated(docs, similarity=0.8, counts=("n_lines", "n_removed"))
@@ -64,7 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op4_extract": op4_extract, "op5_pack": op5_pack, "op6_warc": op6_warc, "op8_lines": op8_lines, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
+QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op4_extract": op4_extract, "op5_pack": op5_pack, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_lines": op8_lines, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
 
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
