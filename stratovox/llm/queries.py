@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratovox.llm import decontaminate, extraction, lines, neighbours, packing, quality, simhash, toxicity, warc
+from stratovox.llm import decontaminate, extraction, language_model, lines, neighbours, packing, quality, simhash, toxicity, warc
 from stratovox.llm.common import crc_bucket, table
 
 
@@ -16,6 +16,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = language_model.train(docs.where(crc_bucket("doc_id", 10) != 0))
+    return language_model.scored(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_bucket("id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     hit = F.col("n_hit")
@@ -69,7 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_decontaminate": op3_decontaminate, "op4_extract": op4_extract, "op5_pack": op5_pack, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_lines": op8_lines, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
+QUERIES = {"op1_simhash": op1_simhash, "op2_language_model": op2_language_model, "op3_decontaminate": op3_decontaminate, "op4_extract": op4_extract, "op5_pack": op5_pack, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_lines": op8_lines, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
 
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
