@@ -20,9 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.llm.common import LOWER, place_map, runs, saved
+from stratovox.llm.common import LOWER, place_map, saved
 from stratovox.llm.components import components
 from stratovox.llm.forest import Forest, close_pairs, thinned
+from stratovox.llm.groups import linked_groups
 
 SEED = 42
 #: Fingerprints in a tile at most (a tile is a binary value of eight bytes for each).
@@ -240,45 +241,25 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return wanted.join(rows.mapInArrow(scan, "doc long, id long, shingles array<long>").dropDuplicates(["doc", "id"]), ["doc", "id"])
 
 
-def similar_links(groups: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """``(a, b)``: nodes of a group whose fingerprints are within ``radius`` and whose shingle sets have at least this Jaccard similarity.
+def similar_sets(radius: int, similarity: float):
+    """Which texts of a run are within ``radius`` and have this Jaccard similarity, for :func:`linked_groups`."""
 
-    ``groups``: ``g, n, id, fp, shingles``. Large groups are cut into chunks and every two chunks of a group meet in one
-    place; of each meeting a spanning forest is returned.
-    """
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = groups.withColumn("c", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    jobs = own.select("g", F.least("c", "x").alias("c1"), F.greatest("c", "x").alias("c2"), "c", "id", "fp", "shingles")
-    jobs = jobs.repartition("g", "c1", "c2").sortWithinPartitions("g", "c1", "c2", "id")
-
-    def verify(batches):
-        out: list[tuple] = []
-        for run in runs(batches, 3):
-            c1, c2 = run.column("c1")[0].as_py(), run.column("c2")[0].as_py()
-            chunk, fps, ids = run.column("c").to_numpy(), run.column("fp").to_numpy().view(np.uint64), run.column("id").to_numpy()
-            sets = [np.asarray(x.values) for x in run.column("shingles")]
-            sizes, label = np.array([len(x) for x in sets]), np.arange(len(ids))
-            for i in range(len(ids)):
-                small, large = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-                near = (np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) & (small >= similarity * large)
-                if c1 != c2:
-                    near &= chunk[i + 1 :] != chunk[i]
-                own_set = None
-                for j in (np.nonzero(near)[0] + i + 1).tolist():
-                    if label[i] == label[j]:
-                        continue
-                    own_set = own_set or set(sets[i].tolist())
-                    shared = len(own_set.intersection(sets[j].tolist()))
-                    if shared >= similarity * (sizes[i] + sizes[j] - shared):
-                        label[label == label[j]] = label[i]
-                        out.append((int(ids[i]), int(ids[j])))
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
-
-    return jobs.mapInArrow(verify, "a long, b long")
+    def opened(run: pa.Table):
+        fps, sets = run.column("fp").to_numpy().view(np.uint64), [np.asarray(x.values) for x in run.column("shingles")]
+        sizes = np.array([len(x) for x in sets])
+
+        def linked(i: int, later: np.ndarray):
+            small, large = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
+            near = later[(np.bitwise_count(fps[later] ^ fps[i]) <= radius) & (small >= similarity * large)]
+            own = set(sets[i].tolist()) if len(near) else set()
+            for j in near.tolist():
+                shared = len(own.intersection(sets[j].tolist()))
+                if shared >= similarity * (sizes[i] + sizes[j] - shared):
+                    yield j
+
+        return linked
+
+    return opened
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, similarity: float = 0.8,
@@ -297,8 +278,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = roots.select("g").union(roots.select("g").distinct()).groupBy("g").agg(F.count("*").alias("n"))
     members = roots.union(roots.select(F.col("g").alias("id"), "g").distinct())
     wanted = saved(nodes.select("id", "doc", "fp").join(members, "id").join(sizes, "g"), "groups")
-    links = similar_links(shingle_sets(docs, wanted, id_col, text_col, words_each), radius, similarity)
-    linked = components(links).withColumnRenamed("node", "id")
+    rows = saved(shingle_sets(docs, wanted, id_col, text_col, words_each), "shingles")
+    linked = linked_groups(rows, similar_sets(radius, similarity), ["fp", "shingles"], CHUNK)
     rooted = nodes.select("id", "doc").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     keeper = rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("keeper"))
     named = rooted.join(keeper, "root").select("id", F.col("keeper.doc").alias("keeper_doc"), F.col("keeper.id").alias("keeper_id"))
