@@ -101,11 +101,11 @@ def running_before(rows: DataFrame, order: str, value: str, name: str, chunk: in
 
 
 def window_starts(sizes: DataFrame, window: tuple[int, int, int], stride: tuple[int, int, int]) -> DataFrame:
-    """``pos`` and start of each sliding window; the last of an axis is moved back to end with the volume."""
+    """``pos`` and start of each sliding window; the last of an axis is moved back to end with the volume. None in a smaller volume."""
     out, index = sizes, F.lit(0).cast("long")
     for axis, w, s in zip(AXES, window, stride):
         count = (F.lit(1) + F.ceil((F.col(f"n{axis}") - w) / s)).cast("int")
-        out = out.select("*", F.explode(F.sequence(F.lit(0), count - 1)).alias(f"i{axis}"))
+        out = out.where(F.col(f"n{axis}") >= w).select("*", F.explode(F.sequence(F.lit(0), count - 1)).alias(f"i{axis}"))
         index = index * count + F.col(f"i{axis}")
         out = out.withColumn(axis, F.least(F.col(f"i{axis}") * s, F.col(f"n{axis}") - w).cast("int"))
     return out.select(index.cast("long").alias("pos"), *AXES)

@@ -175,13 +175,13 @@ def vast_rgb_to_id(spark, sf_dir):
     return voxels(spark, sf_dir).select("z", "y", "x", colour_ids(F.col("seg") % 3, F.col("seg") % 7, F.col("seg") % 11).alias("id"))
 
 
-@query("last_writer_wins", """select l_orderkey, l_shipdate, l_quantity from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc, l_extendedprice desc, l_quantity desc) as r
+@query("last_writer_wins", """select l_orderkey, strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, l_quantity from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc, l_extendedprice desc, l_quantity desc) as r
 from lineitem) where r = 1""", voxels=False)
 def last_writer_wins(spark, sf_dir):
     """Of rows with one key, the one of the greatest date, line number and price: the value that is written last."""
     rows = table(spark, sf_dir, "lineitem")
     order = F.struct("l_shipdate", "l_linenumber", "l_extendedprice", "l_quantity")
-    return rows.groupBy("l_orderkey").agg(F.max(order).alias("o")).select("l_orderkey", F.col("o.l_shipdate").alias("l_shipdate"), F.col("o.l_quantity").alias("l_quantity"))
+    return rows.groupBy("l_orderkey").agg(F.max(order).alias("o")).select("l_orderkey", F.date_format("o.l_shipdate", "yyyy-MM-dd").alias("l_shipdate"), F.col("o.l_quantity").alias("l_quantity"))
 
 
 @query("pending_blocks", "select distinct o_orderkey as idx from orders where o_orderkey not in (select l_orderkey from lineitem)", voxels=False)
@@ -190,10 +190,10 @@ def pending_blocks(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx")).distinct().join(done, "idx", "left_anti")
 
 
-@query("unmatched_ids", "select distinct seg from voxels where seg <> 0 except select seg from voxels where img > 0.6::double")
+@query("unmatched_ids", "select distinct seg from voxels where seg <> 0 except select seg from voxels where z < 1")
 def unmatched_ids(spark, sf_dir):
     v = voxels(spark, sf_dir)
-    return v.where("seg <> 0").select("seg").distinct().join(v.where(F.col("img") > 0.6).select("seg"), "seg", "left_anti")
+    return v.where("seg <> 0").select("seg").distinct().join(v.where("z < 1").select("seg"), "seg", "left_anti")
 
 
 @query("topk_pairs", """, c as (select gt, seg, count(*) as n from voxels where gt <> 0 and seg <> 0 group by all), r as (select *, row_number() over (partition by gt order by n desc, seg) as r from c)
