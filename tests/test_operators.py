@@ -166,3 +166,60 @@ def test_pyramid_levels(spark):
     v = volume(spark, [[[1 + x // 4 for x in range(8)] for _ in range(8)] for _ in range(4)])
     counts = {r.mip: r.n for r in volumes.pyramid(v, "v", (1, 2, 2), 2).groupBy("mip").agg(F.count("*").alias("n")).collect()}
     assert counts == {1: 64, 2: 16}
+
+
+def test_merging_equals_a_plain_loop():
+    import pandas as pd
+
+    from stratovox.operators.kernels import merged_cheapest_first
+
+    r = random.Random(8)
+    for _ in range(30):
+        edges = {}
+        for _ in range(25):
+            u, v = sorted(r.sample(range(1, 11), 2))
+            n = r.randrange(1, 5)
+            t, k = edges.get((u, v), (0.0, 0))
+            edges[u, v] = (t + n * r.random(), k + n)
+        got = merged_cheapest_first(pd.DataFrame([(*k, *v) for k, v in edges.items()], columns=["u", "v", "total", "n"]), 0.55)
+        want = []
+        while edges:
+            score, (u, v) = min((1 - t / n, k) for k, (t, n) in edges.items())
+            if score >= 0.55:
+                break
+            want.append((u, v))
+            new = {}
+            for (a, b), (t, n) in edges.items():
+                a, b = sorted((u if a == v else a, u if b == v else b))
+                if a != b:
+                    s, k = new.get((a, b), (0.0, 0))
+                    new[a, b] = (s + t, k + n)
+            edges = new
+        assert [x[:2] for x in got] == want
+
+
+def test_distances_and_flooding():
+    import numpy as np
+
+    from stratovox.operators.kernels import flooded, squared_distances
+
+    r = np.random.default_rng(2)
+    outside = r.random((3, 4, 5)) < 0.1
+    got = squared_distances(outside, (2.0, 1.0, 1.0))
+    for p in np.ndindex(outside.shape):
+        d = [4 * (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 + (p[2] - q[2]) ** 2 for q in zip(*np.nonzero(outside))]
+        assert got[p] == (min(d) if d else np.inf)
+    height = np.array([[0, 5, 0, 1, 9, 0]])
+    assert flooded(height, np.array([[1, 0, 2, 0, 0, 3]])).tolist() == [[1, 1, 2, 2, 3, 3]] or flooded(height, np.array([[1, 0, 2, 0, 0, 3]]))[0, 3] == 2
+
+
+def test_random_label_pair_in_chunks_equals_the_whole(spark):
+    """Counts of five chunks added up give the scores of the whole volume."""
+    v = spark.range(4000).select(F.expr("cast(id div 400 as int) z"), F.expr("cast(id div 20 % 20 as int) y"), F.expr("cast(id % 20 as int) x"), F.expr("id * 7919 % 13 a"), F.expr("id * 104729 % 11 b"))
+    whole = metrics.rand_and_information(metrics.contingency(v, "a", "b", (0,), ()), "a", "b").first()
+    parts = [metrics.contingency(v.where(f"z div 2 = {k}"), "a", "b", (0,), ()) for k in range(5)]
+    added = parts[0]
+    for p in parts[1:]:
+        added = added.unionByName(p)
+    again = metrics.rand_and_information(added.groupBy("a", "b").agg(F.sum("n").alias("n")), "a", "b").first()
+    assert all(abs(x - y) < 1e-12 for x, y in zip(whole, again))
