@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratovox.plans import labels, metrics, overlap, regions, stateful  # noqa: F401  (each module registers its queries)
+from stratovox.plans import labels, metrics, more, overlap, regions, stateful  # noqa: F401  (each module registers its queries)
 from stratovox.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
