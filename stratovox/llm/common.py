@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from urllib.parse import urlparse
 
 import numpy as np
@@ -11,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratovox.plans.scratch import saved, scratch
+
+__all__ = ["LOWER", "PlaceMap", "crc_bucket", "local_path", "place_map", "runs", "saved", "scratch", "table"]
+
 #: Upper-case ASCII letters to lower case, all other bytes unchanged.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -20,24 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session doesn't set it (tests, a laptop), a temporary folder is chosen and
-    recorded in the session.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def local_path(uri: str) -> str:
     """The path by which Python workers open a file of the shared folder.
 
@@ -50,25 +34,6 @@ def local_path(uri: str) -> str:
     return parts.path
 
 
-def saved(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage, survives lost executors and keeps later passes from computing twice.
-    """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`saved` that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def crc_bucket(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids count as remainder 1)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(1))
