@@ -33,7 +33,7 @@ from stratovox.llm.common import LOWER, local_path, saved, scratch
 
 WORD_BITS = 40
 START, END = 0, 1  # numbers of the start mark and the end token; words get others
-#: Tokens that a counting task aggregates, and a scoring task looks up, at once.
+#: Tokens that a counting task aggregates, and a scoring task looks up, at once; shards at least.
 BLOCK = 3_000_000
 SCORED = 1_000_000
 SHARDS = 512
@@ -333,9 +333,14 @@ class Scorer:
         return sizes, np.add.reduceat((n > 0).astype(np.int64), starts), np.add.reduceat(base, starts), np.add.reduceat(np.log10(p), starts)
 
 
-def train(docs: DataFrame, text_col: str = "text", shards: int = SHARDS) -> Model:
-    """Count the bigrams of all rows of ``docs`` and write the model into the shared folder."""
+def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
+    """Count the bigrams of all rows of ``docs`` and write the model into the shared folder.
+
+    ``shards``: files of each kind; by default SHARDS, or a sixteenth of the input's partitions if that is more, so that
+    a shard's size stays bounded as the input grows.
+    """
     spark = docs.sparkSession
+    shards = shards or max(SHARDS, docs.rdd.getNumPartitions() // 16)
     bits = (shards - 1).bit_length()
     folder = scratch(spark, "model")
     blocks = bigram_shards(counted(docs, text_col, bits), folder, bits)
