@@ -83,6 +83,14 @@ QUERIES = {"op1_simhash": op1_simhash, "op2_language_model": op2_language_model,
 _WORDS = "list_filter(string_split_regex(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_neighbours": """
+        with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
+        link as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+                 and list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(node, low) as (select vec_id, vec_id from v union select b, low from reach join link on a = node where low < b),
+        c as (select node, min(low) as component_id from reach group by node), n as (select a, count(*) as n from link group by a)
+        select node as vec_id, coalesce(n, 0) as n_links, component_id, node = component_id as kept from c left join n on a = node
+    """,
     "op6_warc": """
         with p as (select page_id, encode(coalesce(html, '')) as b from pages),
         h as (select page_id, octet_length(b) as payload_bytes, sha1(b) as hex, max(page_id) over (partition by b) as keep from p),
