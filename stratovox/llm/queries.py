@@ -61,7 +61,7 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.deduplicated(docs, similarity=0.8, counts=("n_lines", "n_removed"))
+    return lines.deduplicated(docs, similarity=0.8, counts=("n_lines", "n_removed"), radius=None)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
