@@ -57,15 +57,22 @@ def prepared(points: DataFrame, id_col: str, vector_col: str, label_col: str) ->
     return rows.mapInArrow(scan, "id long, label string, vec binary")
 
 
-def _best(members: list[int], vectors: list[bytes], keep: int):
-    """(id, neighbour, cosine) of the ``keep`` nearest of each member among the members."""
+def _best(members: list[int], vectors: list[bytes], keep: int, roots: np.ndarray | None = None):
+    """(id, neighbour, cosine) of the ``keep`` nearest of each member among the members, or among those of other roots."""
     x = _unit(vectors)
     sims = x @ x.T
     np.fill_diagonal(sims, -2)
+    if roots is not None:
+        sims[roots[:, None] == roots[None, :]] = -2
     k = min(keep, len(members) - 1)
     near = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k < len(members) - 1 else np.argsort(-sims, axis=1)[:, :k]
     ids = np.array(members, np.int64)
-    return np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(sims, near, 1).ravel()
+    out = np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(sims, near, 1).ravel()
+    return out if roots is None else tuple(c[out[2] > -2] for c in out)
+
+
+def _roots(run, at: slice) -> np.ndarray | None:
+    return run.column("root").to_numpy()[at] if "root" in run.column_names else None
 
 
 def _edges(parts) -> pa.RecordBatch:
@@ -96,7 +103,9 @@ def seeded(classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
     """A first graph: the nearest of each vector among LEAF vectors that follow each other in orders by random projections.
 
     Vectors are sorted by the signs of their projections, so a leaf shares as many signs as its density allows.
+    Where ``classes`` have a ``root``, only neighbours of other roots count.
     """
+    outside = ["root"] if "root" in classes.columns else []
 
     def code(batches):
         planes: dict[int, np.ndarray] = {}
@@ -113,11 +122,11 @@ def seeded(classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
                 out[rows] = signs @ (1 << np.arange(_CODE_BITS)[::-1])
             for t in range(TREES):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(vecs), t, np.int32)), batch.column(1), pa.array(out[:, t]), batch.column(0), batch.column(2)],
-                    names=["tree", "block", "code", "id", "vec"],
+                    [pa.array(np.full(len(vecs), t, np.int32)), batch.column(1), pa.array(out[:, t]), batch.column(0), batch.column(2), *batch.columns[3:]],
+                    names=["tree", "block", "code", "id", "vec", *outside],
                 )
 
-    coded = classes.select("id", "block", "vec").mapInArrow(code, "tree int, block long, code long, id long, vec binary")
+    coded = classes.select("id", "block", "vec", *outside).mapInArrow(code, "tree int, block long, code long, id long, vec binary" + ", root long" * len(outside))
     coded = coded.repartitionByRange("tree", "block", "code", "id").sortWithinPartitions("tree", "block", "code", "id")
 
     def leaves(batches):
@@ -126,7 +135,7 @@ def seeded(classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
                 ids, vecs = run.column("id").to_pylist(), run.column("vec").to_pylist()
                 for i in range(0, len(ids), LEAF):
                     if len(ids) - i > 1:
-                        yield _best(ids[i : i + LEAF], vecs[i : i + LEAF], keep)
+                        yield _best(ids[i : i + LEAF], vecs[i : i + LEAF], keep, _roots(run, slice(i, i + LEAF)))
 
         yield from _batched(parts())
 
@@ -134,9 +143,13 @@ def seeded(classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
 
 
 def refined(graph: DataFrame, classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
-    """One round of NN-descent: everything that is a neighbour of one vector, or has it as neighbour, meets there."""
+    """One round of NN-descent: everything that is a neighbour of one vector, or has it as neighbour, meets there.
+
+    Where ``classes`` have a ``root``, only neighbours of other roots are returned.
+    """
+    outside = ["root"] if "root" in classes.columns else []
     members = graph.select(F.col("id").alias("centre"), F.col("nbr").alias("id")).union(graph.select(F.col("nbr"), F.col("id"))).union(classes.select("id", "id")).distinct()
-    gathered = members.join(classes.select("id", "vec"), "id").select("centre", "id", "vec").repartition("centre").sortWithinPartitions("centre", "id")
+    gathered = members.join(classes.select("id", "vec", *outside), "id").select("centre", "id", "vec", *outside).repartition("centre").sortWithinPartitions("centre", "id")
 
     def local(batches):
         def parts():
@@ -144,11 +157,31 @@ def refined(graph: DataFrame, classes: DataFrame, keep: int = NEIGHBOURS) -> Dat
                 ids, vecs = run.column("id").to_pylist(), run.column("vec").to_pylist()
                 for i in range(0, len(ids), CHUNK):
                     if len(ids) - i > 1:
-                        yield _best(ids[i : i + CHUNK], vecs[i : i + CHUNK], keep)
+                        yield _best(ids[i : i + CHUNK], vecs[i : i + CHUNK], keep, _roots(run, slice(i, i + CHUNK)))
 
         yield from _batched(parts())
 
-    return _nearest(gathered.mapInArrow(local, "id long, nbr long, sim double").unionByName(graph), keep)
+    found = gathered.mapInArrow(local, "id long, nbr long, sim double")
+    return _nearest(found if outside else found.unionByName(graph), keep)
+
+
+def joined(classes: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
+    """``(node, root)``: the components of the links of ``graph`` and of the links between components.
+
+    Where a list is full of members of its own component, links to others don't get into it. So the nearest neighbours
+    outside of the own component are sought as well, and components joined by them, until no link leads out.
+    """
+    links = graph.where(F.col("sim") >= threshold).select(F.col("id").alias("a"), F.col("nbr").alias("b"))
+    roots = components(links)
+    while True:
+        placed = saved(classes.select("id", "block", "vec").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "placed")
+        around = saved(refined(graph.unionByName(seeded(placed)), placed), "outside")
+        around = saved(refined(graph.unionByName(around), placed).unionByName(around), "outside")
+        out = around.where(F.col("sim") >= threshold).select(F.col("id").alias("a"), F.col("nbr").alias("b"))
+        if out.isEmpty():
+            return roots
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(out)
+        roots = components(links)
 
 
 def component_links(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
@@ -229,7 +262,7 @@ def near_duplicates(points: DataFrame, id_col: str = "vec_id", vector_col: str =
         graph = saved(refined(graph, classes), "graph")
         if not turn:
             continue
-        roots = components(graph.where(F.col("sim") >= threshold).select(F.col("id").alias("a"), F.col("nbr").alias("b")))
+        roots = joined(classes, graph, threshold)
         links = saved(component_links(classes, roots, threshold), "links")
         found = audited(classes, links, threshold)
         if found >= recall:
