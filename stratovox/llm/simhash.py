@@ -241,16 +241,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
     return wanted.join(rows.mapInArrow(scan, "doc long, id long, shingles array<long>").dropDuplicates(["doc", "id"]), ["doc", "id"])
 
 
-def similar_sets(radius: int, similarity: float):
-    """Which texts of a run are within ``radius`` and have this Jaccard similarity, for :func:`linked_groups`."""
+def similar_sets(similarity: float):
+    """Which texts of a run have this Jaccard similarity, for :func:`linked_groups`."""
 
     def opened(run: pa.Table):
-        fps, sets = run.column("fp").to_numpy().view(np.uint64), [np.asarray(x.values) for x in run.column("shingles")]
+        sets = [np.asarray(x.values) for x in run.column("shingles")]
         sizes = np.array([len(x) for x in sets])
 
         def linked(i: int, later: np.ndarray):
             small, large = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
-            near = later[(np.bitwise_count(fps[later] ^ fps[i]) <= radius) & (small >= similarity * large)]
+            near = later[small >= similarity * large]
             own = set(sets[i].tolist()) if len(near) else set()
             for j in near.tolist():
                 shared = len(own.intersection(sets[j].tolist()))
@@ -263,11 +263,11 @@ def similar_sets(radius: int, similarity: float):
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, similarity: float = 0.8,
-                   print_words: int = 3, radius: int = 13) -> DataFrame:
+                   print_words: int = 3, radius: int = 22) -> DataFrame:
     """``(doc, id, keeper_doc, keeper_id)`` for every distinct id and text: the document of its group that stays.
 
-    Texts are linked if their SimHashes differ in at most ``radius`` bits and the Jaccard similarity of their word
-    shingles is at least ``similarity``. SimHashes are compared tile by tile as in :func:`near_duplicates`; candidates
+    Texts are linked if the Jaccard similarity of their word shingles is at least ``similarity``. Candidates are within
+    ``radius`` bits by SimHashes that are compared tile by tile as in :func:`near_duplicates`; they
     must also share part of a 16-byte shingle sketch, and each link is verified on the whole shingle sets. The one
     that stays is the least document id of a group. Rows with a null id take no part.
     """
@@ -279,7 +279,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = roots.union(roots.select(F.col("g").alias("id"), "g").distinct())
     wanted = saved(nodes.select("id", "doc", "fp").join(members, "id").join(sizes, "g"), "groups")
     rows = saved(shingle_sets(docs, wanted, id_col, text_col, words_each), "shingles")
-    linked = linked_groups(rows, similar_sets(radius, similarity), ["fp", "shingles"], CHUNK)
+    linked = linked_groups(rows, similar_sets(similarity), ["shingles"], CHUNK)
     rooted = nodes.select("id", "doc").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     keeper = rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("keeper"))
     named = rooted.join(keeper, "root").select("id", F.col("keeper.doc").alias("keeper_doc"), F.col("keeper.id").alias("keeper_id"))
