@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Every step is a partial aggregation and an equi-join, so a hub of any degree is pre-aggregated before
-its shuffle, and AQE may split the skewed side of the join.
+Every step is a partial aggregation and a join of the edges with one minimum for each node. The minima of hubs (nodes
+with over one in ``HUBS`` of the edges, so fewer than ``HUBS`` rows at any size) are broadcast, the others are joined by a
+shuffle, so that no task gets a star's whole set of leaves.
 """
 
 from __future__ import annotations
@@ -11,29 +12,40 @@ from pyspark.sql import functions as F
 
 from stratovox.plans.scratch import discard, saved
 
+HUBS = 1000
 
-def _minimum(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
 
+def _least(edges: DataFrame, low: F.Column) -> DataFrame:
+    """``u, m, n``: the least of ``low`` over the edges of each node ``u``, and how many it has."""
+    return edges.groupBy("u").agg(F.min(low).alias("m"), F.count("*").alias("n"))
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _joined(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """``u, v, m``: every edge with its node's minimum; ``rows``: the number of edges, or more."""
+    hubs = F.broadcast(least.where(F.col("n") * HUBS > rows).select("u", "m"))
+    few = least.where(F.col("n") * HUBS <= rows).select("u", "m")
+    return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(few, "u"))
+
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = _minimum(both).select("u", F.least("u", "m").alias("m"))
-    return both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    found = _joined(both, _least(both, F.least("u", "v")), 2 * rows)
+    return found.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    low = _minimum(edges)
-    moved = edges.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(low.select("u", F.col("m").alias("v")))
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
+    """Every edge leads from its greater end (``u``) to a lesser one."""
+    least = _least(edges, F.col("v"))
+    moved = _joined(edges, least, rows).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _settled(edges: DataFrame) -> bool:
-    """Whether every node has one lesser neighbour, which has none itself: then that is the least of the component."""
-    sizes = edges.groupBy("u").agg(F.count("*").alias("n")).agg(F.max("n")).first()
-    if sizes[0] is None:
-        return True
-    return sizes[0] == 1 and edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """The number of edges, and whether every node has one lesser neighbour, which has none itself: then that is the least of the component."""
+    ends = edges.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("u").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    found = nodes.agg(F.sum("down").alias("n"), F.max("down").alias("most"), F.max(F.when(F.col("down") > 0, F.col("up"))).alias("path")).first()
+    return found["n"] or 0, not found["n"] or (found["most"] == 1 and not found["path"])
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -48,11 +60,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
     for _ in range(max_rounds):
-        if _settled(current):
+        n, settled = _state(current)
+        if settled:
             break
-        new = saved(_small_star(_large_star(current)).distinct(), "edges")
+        star = saved(_large_star(current, n), "edges")
         discard(current)
-        current = new
+        current = saved(_small_star(star, n).distinct(), "edges")
+        discard(star)
     else:
         raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
