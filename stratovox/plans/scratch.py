@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where the session doesn't set it (tests, a laptop), a temporary folder is chosen and recorded."""
+    """``spark.checkpoint.dir``; where a local session doesn't set it (tests, a laptop), a temporary folder is chosen and recorded.
+
+    On a cluster executors can't see the driver's temporary folder, so there the setting is required.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
