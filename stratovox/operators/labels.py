@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratovox.operators.components import components
 from stratovox.operators.grid import running_before
+from stratovox.operators.stencils import before
 from stratovox.plans.scratch import saved
 from stratovox.sources.volumes import AXES
 
@@ -71,13 +72,19 @@ def nearest_other(points: DataFrame, key: str, cell: float, rounds: int = 40) ->
     return done
 
 
-def grid_components(volume: DataFrame, label: str) -> DataFrame:
+def linear_index(volume: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
+    """The volume with ``index_``: a voxel's place in row-major order, from 1. ``size``: rows and columns of a slice, by default those that occur."""
+    if size is None:
+        found = volume.agg(F.max("y").alias("y"), F.max("x").alias("x")).first()
+        size = ((found.y or 0) + 1, (found.x or 0) + 1)
+    return volume.withColumn("index_", (F.col("z").cast("long") * size[0] + F.col("y")) * size[1] + F.col("x") + 1)
+
+
+def grid_components(volume: DataFrame, label: str, size: tuple[int, int] | None = None) -> DataFrame:
     """``z, y, x, component``: voxels that touch by a face and have one label (not 0) share the least linear index plus 1; others 0."""
-    sized = volume.agg(F.max("y").alias("my"), F.max("x").alias("mx"))
-    rows = volume.join(F.broadcast(sized)).select(*AXES, label, ((F.col("z").cast("long") * (F.col("my") + 1) + F.col("y")) * (F.col("mx") + 1) + F.col("x") + 1).alias("index_"))
-    rows = saved(rows, "indexed")
-    before = [F.struct(F.lag(label).over(w).alias("l"), F.lag("index_").over(w).alias("i")) for w in (Window.partitionBy(*(b for b in AXES if b != a)).orderBy(a) for a in AXES)]
-    edges = rows.withColumn("n_", F.array(*before)).select(label, "index_", F.explode("n_").alias("n")).where((F.col("n.l") == F.col(label)) & (F.col(label) != 0))
+    rows = saved(linear_index(volume.select(*AXES, label), size), "indexed")
+    near = [before(F.struct(F.col(label).alias("l"), F.col("index_").alias("i")), a) for a in AXES]
+    edges = rows.withColumn("n_", F.array(*near)).select(label, "index_", F.explode("n_").alias("n")).where((F.col("n.l") == F.col(label)) & (F.col(label) != 0))
     roots = components(edges.select(F.col("index_").alias("a"), F.col("n.i").alias("b")))
     joined = rows.join(roots.withColumnRenamed("node", "index_"), "index_", "left")
     return joined.select(*AXES, F.when(F.col(label) != 0, F.coalesce("root", "index_")).otherwise(F.lit(0)).cast("long").alias("component"))

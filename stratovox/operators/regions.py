@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratovox.operators.components import components
-from stratovox.operators.stencils import line
+from stratovox.operators.stencils import before
 from stratovox.sources.volumes import AXES
 
 
 def faces(volume: DataFrame, label: str, affinities: dict[str, str]) -> DataFrame:
     """``u, v, aff``: a row for each face between two voxels of different regions (u < v, neither 0); ``affinities``: a column for each axis."""
-    parts = [F.struct(F.lag(label).over(line(a)).alias("o"), F.col(affinities[a]).alias("aff")) for a in AXES]
+    parts = [F.struct(before(label, a).alias("o"), F.col(affinities[a]).alias("aff")) for a in AXES]
     rows = volume.select(F.col(label).alias("p"), F.array(*parts).alias("n")).select("p", F.explode("n").alias("n"))
     rows = rows.where((F.col("p") != 0) & (F.col("n.o") != 0) & (F.col("p") != F.col("n.o")))
     return rows.select(F.least("p", "n.o").alias("u"), F.greatest("p", "n.o").alias("v"), F.col("n.aff").alias("aff"))

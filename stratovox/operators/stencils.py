@@ -1,7 +1,8 @@
-"""Neighbourhood operations on dense voxel tables.
+"""Neighbourhood operations on voxel tables.
 
 A stencil along one axis is a window partitioned by the other two, so its work is spread over all lines of the
-volume; box stencils are taken axis by axis.
+volume; box stencils are taken axis by axis. A missing row is background, so volumes with holes are filled
+first (:func:`stratovox.sources.volumes.dense`), and results have a row for every voxel of the volume's bounding box.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratovox.sources.volumes import AXES
+from stratovox.sources.volumes import AXES, dense
 
 
 def line(axis: str):
@@ -19,8 +20,16 @@ def line(axis: str):
     return Window.partitionBy(*(a for a in AXES if a != axis)).orderBy(axis)
 
 
+def before(value: str | Column, axis: str, distance: int = 1, *within: str) -> Column:
+    """The value of the voxel ``distance`` before along ``axis`` (null if there is none), whatever rows are missing; ``within``: columns that
+    both voxels share, such as a block."""
+    place = Window.partitionBy(*within, *(a for a in AXES if a != axis)).orderBy(axis).rangeBetween(-distance, -distance)
+    return F.max(value).over(place)
+
+
 def affinities(volume: DataFrame, label: str, distances: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
     """``aff_z, aff_y, aff_x``: 1 where a voxel and the one ``distance`` before it have one id, not 0; the border compares with itself."""
+    volume = dense(volume)
     value = F.col(label)
     out = [
         F.when((F.coalesce(F.lag(label, d).over(line(a)), value) == value) & (value > 0), 1).otherwise(0).alias(f"aff_{a}") for a, d in zip(AXES, distances)
@@ -30,6 +39,7 @@ def affinities(volume: DataFrame, label: str, distances: tuple[int, int, int] =
 
 def clamped_affinities(volume: DataFrame, label: str, distances: tuple[int, int, int]) -> DataFrame:
     """As :func:`affinities`, but the border compares with the first voxel of the line."""
+    volume = dense(volume)
     value = F.col(label)
     before = lambda a, d: F.coalesce(F.lag(label, d).over(line(a)), F.first(label).over(line(a).rowsBetween(Window.unboundedPreceding, 0)))
     return volume.select(*AXES, *(F.when((before(a, d) == value) & (value > 0), 1).otherwise(0).alias(f"aff_{a}") for a, d in zip(AXES, distances)))
@@ -37,12 +47,14 @@ def clamped_affinities(volume: DataFrame, label: str, distances: tuple[int, int,
 
 def central_affinities(volume: DataFrame, label: str, distances: tuple[int, int, int]) -> DataFrame:
     """1 where the voxels ``distance`` before and after have one id, not 0; 0 where either is missing."""
+    volume = dense(volume)
     both = lambda a, d: F.coalesce((F.lag(label, d).over(line(a)) == F.lead(label, d).over(line(a))) & (F.lag(label, d).over(line(a)) > 0), F.lit(False))
     return volume.select(*AXES, *(both(a, d).cast("int").alias(f"aff_{a}") for a, d in zip(AXES, distances)))
 
 
 def offset_affinities(volume: DataFrame, label: str, offsets: list[tuple[int, int, int]]) -> DataFrame:
     """``edge, z, y, x, aff``: whether a voxel and the one at each offset have one id, not 0; pairs that leave the volume are left out."""
+    volume = dense(volume)
     far = volume.select(F.posexplode(F.array(*(F.struct(*(F.lit(v).alias(f"o{a}") for a, v in zip(AXES, o))) for o in offsets))).alias("edge", "o"), *AXES, F.col(label).alias("far"))
     far = far.select("edge", *((F.col(a) - F.col(f"o.o{a}")).alias(a) for a in AXES), "far")
     joined = volume.select(*AXES, F.col(label).alias("near")).join(far, list(AXES))
@@ -51,6 +63,7 @@ def offset_affinities(volume: DataFrame, label: str, offsets: list[tuple[int, in
 
 def box(volume: DataFrame, column: str, reach: tuple[int, int, int], how: str, name: str) -> DataFrame:
     """Add the min, max or sum of ``column`` over the box of ``reach`` voxels to each side, axis by axis."""
+    volume = dense(volume)
     step = {"min": F.min, "max": F.max, "sum": F.sum}[how]
     out = volume.withColumn(name, F.col(column))
     for axis, r in zip(AXES[::-1], reach[::-1]):
@@ -67,6 +80,7 @@ def eroded(volume: DataFrame, mask: str, reach: tuple[int, int, int], name: str)
 
 def boundaries(volume: DataFrame, label: str, width: int = 1) -> DataFrame:
     """``boundary``: 1 near a change of label within the slice, grown by ``width``."""
+    volume = dense(volume)
     value = F.col(label)
     changed = [F.coalesce(F.lag(label).over(line(a)), value) != F.coalesce(F.lead(label).over(line(a)), value) for a in ("y", "x")]
     edge = volume.select(*AXES, (changed[0] | changed[1]).cast("int").alias("edge"))
@@ -75,6 +89,7 @@ def boundaries(volume: DataFrame, label: str, width: int = 1) -> DataFrame:
 
 def widened_border(volume: DataFrame, label: str, width: int = 1) -> DataFrame:
     """The label, 0 where the slice's window holds two different labels that aren't 0."""
+    volume = dense(volume)
     rows = volume.select(*AXES, F.col(label).alias("v"), F.when(F.col(label) != 0, F.col(label)).alias("seen"))
     low = box(rows, "seen", (0, width, width), "min", "low")
     both = box(low, "seen", (0, width, width), "max", "high")
@@ -89,7 +104,7 @@ def majority(volume: DataFrame, score: Column, reach: tuple[int, int, int]) -> D
 
 def valid_windows(volume: DataFrame, mask: Column, window: tuple[int, int, int], ratio: float) -> DataFrame:
     """Starts of windows that lie in the volume and of which at least ``ratio`` is set."""
-    rows = volume.select(*AXES, mask.cast("int").alias("n"), F.lit(1).alias("size"))
+    rows = dense(volume.select(*AXES, mask.cast("int").alias("n"))).withColumn("size", F.lit(1))
     for axis, w in zip(AXES[::-1], window[::-1]):
         frame = line(axis).rowsBetween(0, w - 1)
         rows = rows.withColumn("n", F.sum("n").over(frame)).withColumn("size", F.sum("size").over(frame))
