@@ -89,15 +89,21 @@ def box_pairs(boxes: DataFrame, cell: tuple[int, int, int]) -> DataFrame:
     return joined.select("i", "j", *(F.col(f"{k}{a}").alias(f"{a}{n}") for a in AXES for n, k in ((1, "low"), (2, "high"))))
 
 
-def running_before(rows: DataFrame, order: str, value: str, name: str, chunk: int = 4096) -> DataFrame:
-    """Add the sum of ``value`` over all rows of smaller ``order``: sums inside chunks of the order, then over the few chunks."""
+def running_before(rows: DataFrame, order: str, value: str, name: str, chunk: int = 4096, levels: int = 2) -> DataFrame:
+    """Add the sum of ``value`` over all rows of smaller ``order`` (whole numbers): sums inside chunks of the order, then over the chunks in the
+    same way, for ``levels`` levels; the last one is a single window over a ``chunk ** levels``-th of the order's range."""
     part = F.floor(F.col(order) / chunk)
     inside = Window.partitionBy("part_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     cut = rows.withColumn("part_", part).withColumn("in_", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     totals = cut.groupBy("part_").agg(F.sum(value).alias("sum_"))
-    across = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("part_", F.coalesce(F.sum("sum_").over(across), F.lit(0)).alias("before_"))
-    return cut.join(before, "part_").withColumn(name, (F.col("in_") + F.col("before_")).cast("long")).drop("part_", "in_", "before_")
+    carried = f"before{levels}_"
+    if levels > 1:
+        before = running_before(totals.withColumnRenamed("part_", "chunk_"), "chunk_", "sum_", carried, chunk, levels - 1).select(F.col("chunk_").alias("part_"), carried)
+    else:
+        across = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+        before = totals.select("part_", F.coalesce(F.sum("sum_").over(across), F.lit(0)).alias(carried))
+    total = (F.col("in_") + F.col(carried)).cast("long")
+    return cut.join(before, "part_").select(*(c for c in cut.columns if c not in ("part_", "in_")), total.alias(name))
 
 
 def window_starts(sizes: DataFrame, window: tuple[int, int, int], stride: tuple[int, int, int]) -> DataFrame:

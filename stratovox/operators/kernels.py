@@ -91,7 +91,7 @@ def flooded(height: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _array(rows: pd.DataFrame, value: str, fill: float) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+def block_array(rows: pd.DataFrame, value: str, fill: float) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     place = tuple((rows[a] - rows[a].min()).to_numpy() for a in AXES)
     out = np.full([p.max() + 1 for p in place], fill, rows[value].dtype)
     out[place] = rows[value].to_numpy()
@@ -102,7 +102,7 @@ def watershed_blocks(rows: DataFrame, value: str, spacing: int = 4) -> DataFrame
     """``block, z, y, x, id``: each block's slices flooded from a grid of seeds over ``1 - value``; ids go on from slice to slice."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        height, place = _array(block, value, 0.0)
+        height, place = block_array(block, value, 0.0)
         seeds = np.zeros(height.shape, np.int64)
         seeds[:, ::spacing, ::spacing] = 1
         seeds[seeds > 0] = np.arange(1, int(seeds.sum()) + 1)
@@ -116,7 +116,7 @@ def distance_blocks(rows: DataFrame, mask: str, spacing: tuple[float, float, flo
     """``block, z, y, x, distance`` of masked cells to the nearest unmasked cell of the block (0 if unmasked; -1 if there is none)."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        inside, place = _array(block, mask, 0)
+        inside, place = block_array(block, mask, 0)
         found = np.sqrt(squared_distances(inside == 0, spacing))
         return block[["block", *AXES]].assign(distance=np.where(np.isfinite(found), found, -1.0)[place])
 

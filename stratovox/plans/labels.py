@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratovox.operators import labels, volumes
+from stratovox.operators.grid import running_before
 from stratovox.plans.metrics import rounded
 from stratovox.plans.registry import query
-from stratovox.sources.volumes import colour_ids, grid_of_name, region, table, voxels
+from stratovox.sources.volumes import colour_ids, grid_of_name, one_channel, region, table, voxels
 
 
 @query("instance_sizes", "select seg, count(*) as size from voxels where seg <> 0 group by seg")
@@ -203,10 +204,12 @@ def topk_pairs(spark, sf_dir):
     return counts.withColumn("r", F.row_number().over(Window.partitionBy("gt").orderBy(F.desc("n"), "seg"))).where("r <= 2")
 
 
-@query("manifest_groups", ", i as (select distinct seg from voxels) select seg // 16 as part, string_agg(cast(seg as varchar), ',' order by seg) as ids from i group by all")
+@query("manifest_groups", """, i as (select *, (row_number() over (order by seg) - 1) // 16 as part from (select distinct seg from voxels))
+select part, string_agg(cast(seg as varchar), ',' order by seg) as ids from i group by all""")
 def manifest_groups(spark, sf_dir):
-    ids = voxels(spark, sf_dir).select("seg").distinct()
-    return ids.groupBy(F.expr("seg div 16").alias("part")).agg(F.array_join(F.transform(F.sort_array(F.collect_list("seg")), lambda v: v.cast("string")), ",").alias("ids"))
+    """Sixteen ids of the ordered list to each part."""
+    ids = running_before(voxels(spark, sf_dir).select("seg").distinct().withColumn("one", F.lit(1)), "seg", "one", "place")
+    return ids.groupBy(F.expr("place div 16").alias("part")).agg(F.array_join(F.transform(F.sort_array(F.collect_list("seg")), lambda v: v.cast("string")), ",").alias("ids"))
 
 
 @query("chunk_name_parse", "select distinct z // 8 as cz, y // 8 as cy, x // 8 as cx from voxels")
@@ -216,6 +219,14 @@ def chunk_name_parse(spark, sf_dir):
     return cells.select(name.alias("name")).select(*grid_of_name(F.col("name")))
 
 
+@query("channel_mean", """, k as (select unnest(range(0, 3)) as c), v as (select z, y, x, cast(floor(img * 255) as integer) + c * 3 as v from voxels, k)
+select z, y, x, cast(trunc(avg(v)) as integer) as v from v group by all""")
+def channel_mean(spark, sf_dir):
+    """Channels of a volume averaged into one of the same type."""
+    rows = voxels(spark, sf_dir).withColumn("c", F.explode(F.array(*map(F.lit, range(3)))))
+    return one_channel(rows.select("c", "z", "y", "x", (F.floor(F.col("img") * 255).cast("int") + F.col("c") * 3).alias("v")), "v")
+
+
 @query("softmax_rows", """select vec_id, k, round(exp(v) / sum(exp(v)) over (partition by vec_id), 9) as softmax
 from (select vec_id, unnest(range(0, len(embedding))) as k, unnest(embedding)::double as v from embeddings)""", voxels=False)
 def softmax_rows(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratovox.operators import grid, kernels, overlap
+from stratovox.operators.stencils import before
 from stratovox.plans import overlap as merge
 from stratovox.plans.metrics import rounded
 from stratovox.plans.registry import query
@@ -19,8 +20,8 @@ def incremental_contingency(spark, sf_dir):
     """Pair counts of blocks that arrive file by file: equal to one aggregation over all."""
     rows = voxels(spark, sf_dir).select("z", "seg", "gt")
     path = scratch(spark, "blocks")
-    rows.repartition(6, "z").write.parquet(path)
-    stream = incremental.block_stream(spark, path, rows.schema, 2).where("seg <> 0 and gt <> 0")
+    rows.write.parquet(path)
+    stream = incremental.block_stream(spark, path, rows.schema, 64).where("seg <> 0 and gt <> 0")
     return incremental.stream_result(incremental.counted_stream(stream, "seg", "gt"), "counts")
 
 
@@ -38,14 +39,19 @@ def resumable_merge_state(spark, sf_dir):
     return incremental.pending(blocks, blocks.where("idx % 4 = 0"), "idx").select("idx")
 
 
+@query("resumed_offsets", merge._LOCAL + """, n as (select coalesce(sum(max_id), 0) + 1 as g from mx where idx % 4 = 0)
+select idx, cast(g + coalesce(sum(max_id) over (order by idx rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset" from mx, n where idx % 4 <> 0""")
+def resumed_offsets(spark, sf_dir):
+    """Every fourth block was merged before; the ids of the others go on from there."""
+    sizes = overlap.block_sizes(merge._labelled(spark, sf_dir))
+    return incremental.resumed_offsets(sizes, sizes.where("idx % 4 = 0"))
+
+
 @query("agglomerate_kernel")
 def agglomerate_kernel(spark, sf_dir):
     """Merge history of mean-affinity agglomeration in every block; a test checks it against a plain loop."""
     rows = grid.in_blocks(voxels(spark, sf_dir).select("z", "y", "x", "seg", "img"), (8, 8, 8), (0, 0, 0))
-    near = []
-    for axis in "zyx":
-        by = Window.partitionBy("idx", *(a for a in "zyx" if a != axis)).orderBy(axis)
-        near.append(F.struct(F.lag("seg").over(by).alias("o"), F.col("img").alias("aff")))
+    near = [F.struct(before("seg", axis, 1, "idx").alias("o"), F.col("img").alias("aff")) for axis in "zyx"]
     faces = rows.withColumn("n_", F.array(*near)).select("idx", "seg", F.explode("n_").alias("n")).where("seg <> 0 and n.o <> 0 and seg <> n.o")
     edges = faces.groupBy(F.col("idx").alias("block"), F.least("seg", "n.o").alias("u"), F.greatest("seg", "n.o").alias("v")).agg(F.sum("n.aff").alias("total"), F.count("*").alias("n"))
     return kernels.agglomerated(edges, 0.6)
@@ -73,6 +79,10 @@ def one_to_one_pairs(spark, sf_dir):
     return kernels.one_to_one(merge.select_union_pairs(spark, sf_dir), [F.desc("n"), "a", "b"])
 
 
+#: Selected vectors that are broadcast at once (two megabytes of 64 doubles each).
+SELECTED = 4096
+
+
 @query("far_tail_selection", """with s as (select vec_id, embedding from embeddings where vec_id % 50 = 0),
 d as (select e.vec_id, min(list_sum(list_transform(list_zip(e.embedding, s.embedding), lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double)))) as d from embeddings e, s where e.vec_id % 50 <> 0 group by e.vec_id),
 r as (select vec_id, d, row_number() over (order by round(d, 6) desc, vec_id) as r from d)
@@ -83,21 +93,24 @@ def far_tail_selection(spark, sf_dir):
     import pyarrow as pa
 
     rows = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    # the selected set is cut into blocks of 256 vectors; every other vector meets each block once
-    chosen = rows.where("vec_id % 50 = 0").groupBy(F.expr("vec_id div 50 div 256").alias("b")).agg(F.collect_list("v").alias("s"))
-    numbers = chosen.agg(F.max("b").alias("last"))
-    asked = rows.where("vec_id % 50 <> 0").join(F.broadcast(numbers)).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))).join(chosen, "b")
-
-    def distance(batches):
-        for batch in batches:
-            out = []
-            for v, s in zip(batch.column(1), batch.column(2)):
-                v = np.asarray(v.values)
-                s = np.asarray(s.values.values).reshape(-1, len(v))
-                out.append(float(((s - v) ** 2).sum(axis=1).min()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["vec_id", "d"])
-
-    nearest = asked.select("vec_id", "v", "s").mapInArrow(distance, "vec_id long, d double").groupBy("vec_id").agg(F.round(F.min("d"), 6).alias("distance"))
+    # the selected set in blocks of at most SELECTED vectors, each broadcast once and compared with batches by matrix products
+    chosen = rows.where("vec_id % 50 = 0").withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows.where("vec_id % 50 = 0").count() // SELECTED)))))
+    asked, nearest = rows.where("vec_id % 50 <> 0"), None
+    for r in chosen.select("b").distinct().collect():
+        block = np.array([x.v for x in chosen.where(F.col("b") == r.b).select("v").collect()])
+        shipped = spark.sparkContext.broadcast((block, (block * block).sum(axis=1)))
+
+        def distance(batches, shipped=shipped):
+            block, square = shipped.value
+            for batch in batches:
+                v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+                near = np.argmin(square - 2 * (v @ block.T), axis=1) if len(v) else np.zeros(0, int)
+                d = ((v - block[near]) ** 2).sum(axis=1) if len(v) else np.zeros(0)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d)], names=["vec_id", "d"])
+
+        found = asked.mapInArrow(distance, "vec_id long, d double")
+        nearest = found if nearest is None else nearest.unionByName(found)
+    nearest = nearest.groupBy("vec_id").agg(F.round(F.min("d"), 6).alias("distance"))
     # ranks: running counts over bins of the distance, then inside a bin; no task sorts all rows
     binned = nearest.withColumn("bin", F.floor(-F.col("distance") * 1000))
     bins = grid.running_before(binned.groupBy("bin").agg(F.count("*").alias("n")), "bin", "n", "before")

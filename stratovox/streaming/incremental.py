@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratovox.operators.grid import running_before
 from stratovox.plans.scratch import scratch
 
 
@@ -33,11 +34,19 @@ def stream_result(stream: DataFrame, name: str) -> DataFrame:
     return found.where(F.col("batch") == found.agg(F.max("batch")).first()[0]).drop("batch")
 
 
-def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` replace those of ``old`` with the same key."""
+def upserted(old: DataFrame, new: DataFrame, key: str, newest: str | None = None) -> DataFrame:
+    """Rows of ``new`` replace those of ``old`` with the same key. Of several new rows of a key the one with the greatest ``newest`` (a time or
+    number) stays, on ties that with the greatest hash, so a repeated run gives the same row."""
     both = old.withColumn("new_", F.lit(0)).unionByName(new.withColumn("new_", F.lit(1)))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("new_")))
-    return both.withColumn("r_", rank).where("r_ = 1").drop("r_", "new_")
+    order = [F.desc("new_"), *([F.desc(newest)] if newest else []), F.desc(F.xxhash64(*old.columns))]
+    return both.withColumn("r_", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("r_ = 1").drop("r_", "new_")
+
+
+def resumed_offsets(sizes: DataFrame, merged: DataFrame, start: int = 1) -> DataFrame:
+    """``idx, offset`` of the blocks that aren't merged yet: ids go on, in the order of ``idx``, after those that merged blocks (``idx, max_id``) took up."""
+    next_id = merged.agg((F.coalesce(F.sum("max_id"), F.lit(0)) + start).alias("next_"))
+    rest = running_before(sizes.join(merged.select("idx"), "idx", "left_anti"), "idx", "max_id", "before_id")
+    return rest.join(F.broadcast(next_id)).select("idx", (F.col("before_id") + F.col("next_")).cast("long").alias("offset"))
 
 
 def pending(blocks: DataFrame, done: DataFrame, key: str) -> DataFrame:
