@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from urllib.parse import urlparse
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratovox.plans.scratch import saved, scratch
 
-__all__ = ["LOWER", "PlaceMap", "crc_bucket", "local_path", "place_map", "runs", "saved", "scratch", "table"]
+__all__ = ["LOWER", "PlaceMap", "crc_bucket", "local_path", "place_map", "required", "runs", "saved", "scratch", "shared_folder", "table"]
 
 #: Upper-case ASCII letters to lower case, all other bytes unchanged.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -34,6 +35,27 @@ def local_path(uri: str) -> str:
     return parts.path
 
 
+#: A file that the driver writes into a shared folder; a task that doesn't see it isn't looking at that folder.
+MARK = "driver-was-here"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared one, for plain files, that :func:`required` recognises in tasks."""
+    folder = scratch(spark, name)
+    os.makedirs(local_path(folder))
+    with open(f"{local_path(folder)}/{MARK}", "w"):
+        pass
+    return folder
+
+
+def required(folder: str) -> str:
+    """The path of a shared folder; an error on a node that doesn't see what the driver wrote there."""
+    path = local_path(folder)
+    if not os.path.exists(f"{path}/{MARK}"):
+        raise FileNotFoundError(f"{path} isn't the driver's folder on this node; spark.checkpoint.dir has to be mounted everywhere")
+    return path
+
+
 def crc_bucket(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids count as remainder 1)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(1))

@@ -6,8 +6,8 @@ spreads out. Shards are written as sorted hash arrays into the shared folder; sc
 memory and look up sorted batches of bigrams. Neither the counts nor the model pass through the driver, which
 only sees sums (tokens, distinct words, counts of counts).
 
-A text is its words and one end token; its first word follows a start mark that is not a token. Words are known
-by 40 bits and bigrams by 64 bits of a hash. A word outside the training texts gets the unknown word's
+A text is its words and one end token; its first word follows a start mark that is not a token. Words and bigrams are
+known by 64 bits of a hash. A word outside the training texts gets the unknown word's
 share of the uniform distribution over all words and one more.
 
 Defined cases: null and empty texts are the end token alone; repeated rows count and score each by itself;
@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.llm.common import LOWER, local_path, saved, scratch
+from stratovox.llm.common import LOWER, local_path, required, saved, shared_folder
 
-WORD_BITS = 40
+WORD_BITS = 64
 START, END = 0, 1  # numbers of the start mark and the end token; words get others
 #: Tokens that a counting task aggregates, and a scoring task looks up, at once; shards at least.
-BLOCK = 3_000_000
+BLOCK = 2_000_000
 SCORED = 1_000_000
 SHARDS = 512
 
@@ -49,7 +49,7 @@ def word_numbers(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(sizes) - 1
     inner = np.ones(len(out), bool)
     inner[ends] = False
-    out[inner] = np.maximum(words >> np.uint64(64 - WORD_BITS), np.uint64(2))
+    out[inner] = np.maximum(words, np.uint64(2))
     return out, sizes
 
 
@@ -113,6 +113,13 @@ def _merged(keys: np.ndarray, *columns: np.ndarray, first: tuple[np.ndarray, ...
     return ranked[starts], *sums, *(c[order[starts]] for c in first)
 
 
+def _distinct(parts: list) -> list[np.ndarray]:
+    """Word before, word and count of the distinct bigrams of some blocks, in the order of the bigrams' keys."""
+    prev, word, n = (np.concatenate(c) for c in zip(*parts))
+    _, n, prev, word = _merged(bigram_keys(prev, word), n, first=(prev, word))
+    return [prev, word, n]
+
+
 def _shard_of(keys: np.ndarray, bits: int, width: int) -> np.ndarray:
     return (keys >> np.uint64(width - bits)).astype(np.int64)
 
@@ -157,13 +164,13 @@ def counted(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
 def bigram_shards(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
     """Write each shard's bigrams as sorted arrays; blocks of what they add to each word.
 
+    A shard's blocks are merged as they are opened, so a task holds its distinct bigrams and not all counts of them.
+
     Kind 1: (word, distinct words before it, tokens); kind 2: (word, distinct words after it seen once, twice, more often, all tokens
     after it); kind 3: counts of bigram counts 1 to 4, in one row with shard -1.
     """
-    where = local_path(folder)
-
     def write(batches):
-        os.makedirs(where, exist_ok=True)
+        where = required(folder)
         of_counts = np.zeros(4, np.uint64)
         after: list = []
         before: list = []
@@ -178,9 +185,15 @@ def bigram_shards(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
                 before.clear()
 
         for run in _each(batches):
-            parts = [_unpack(d, n, 3) for n, d in zip(run.column("n").to_pylist(), run.column("data").to_pylist())]
-            prev, word, n = (np.concatenate(c) for c in zip(*parts))
-            keys, n, prev, word = _merged(bigram_keys(prev, word), n, first=(prev, word))
+            parts, size, fresh = [], 0, 0
+            for n, data in zip(run.column("n").to_pylist(), run.column("data").to_pylist()):
+                parts.append(_unpack(data, n, 3))
+                fresh += n
+                if fresh > max(BLOCK, size):
+                    parts, fresh = [_distinct(parts)], 0
+                    size = len(parts[0][0])
+            prev, word, n = _distinct(parts)
+            keys = bigram_keys(prev, word)
             shard = run.column("shard")[0].as_py()
             _put(f"{where}/bigrams-{shard:05d}.npy", keys)
             _put(f"{where}/counts-{shard:05d}.npy", n.astype(np.min_scalar_type(int(n.max()))))
@@ -220,9 +233,8 @@ WORD_FIELDS = ("tokens", "before", "once", "twice", "more", "after")
 
 def word_shards(blocks: DataFrame, folder: str) -> DataFrame:
     """Write each shard's words as a sorted table; ``(tokens, words, bigrams, d1..d4)``: sums of each task."""
-    where = local_path(folder)
-
     def write(batches):
+        where = required(folder)
         sums = np.zeros(7, np.int64)
         for run in _each(batches):
             keys, values = [], []
@@ -266,17 +278,22 @@ class Model:
     low: tuple[float, ...]
     high: tuple[float, ...]
     low_of_counts: tuple[int, ...]
+    files: frozenset[str] = frozenset()
 
 
 @lru_cache(maxsize=4096)
-def _mapped(path: str) -> np.ndarray | None:
-    """An array of the shared folder, mapped into memory; None if the shard has no file."""
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else None
+def _mapped(path: str) -> np.ndarray:
+    """An array of the shared folder, mapped into memory."""
+    return np.load(path, mmap_mode="r")
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.folder = model, local_path(model.folder)
+        self.model, self.folder = model, required(model.folder)
+
+    def _file(self, name: str) -> np.ndarray | None:
+        """A file of the model; None if the shard is empty. One that training wrote and that is gone now is an error."""
+        return _mapped(f"{self.folder}/{name}") if name in self.model.files else None
 
     def _words(self, keys: np.ndarray) -> np.ndarray:
         """The fields of sorted distinct words, a row each; zeros for unknown words."""
@@ -284,7 +301,7 @@ class Scorer:
         shard = _shard_of(keys, self.model.bits, WORD_BITS)
         cuts = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(keys)]])
         for a, b in zip(cuts[:-1], cuts[1:]):
-            table = _mapped(f"{self.folder}/words-{shard[a]:05d}.npy") if b > a else None
+            table = self._file(f"words-{shard[a]:05d}.npy") if b > a else None
             if table is not None:
                 at = np.minimum(np.searchsorted(table["word"], keys[a:b]), len(table) - 1)
                 rows = table[at]
@@ -299,10 +316,10 @@ class Scorer:
         shard = _shard_of(keys, self.model.bits, 64)
         cuts = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(keys)]])
         for a, b in zip(cuts[:-1], cuts[1:]):
-            found = _mapped(f"{self.folder}/bigrams-{shard[a]:05d}.npy") if b > a else None
+            found = self._file(f"bigrams-{shard[a]:05d}.npy") if b > a else None
             if found is not None:
                 at = np.minimum(np.searchsorted(found, keys[a:b]), len(found) - 1)
-                out[a:b] = np.where(found[at] == keys[a:b], _mapped(f"{self.folder}/counts-{shard[a]:05d}.npy")[at], 0)
+                out[a:b] = np.where(found[at] == keys[a:b], self._file(f"counts-{shard[a]:05d}.npy")[at], 0)
         return out
 
     def scores(self, texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
@@ -336,13 +353,13 @@ class Scorer:
 def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
     """Count the bigrams of all rows of ``docs`` and write the model into the shared folder.
 
-    ``shards``: files of each kind; by default SHARDS, or a sixteenth of the input's partitions if that is more, so that
+    ``shards``: files of each kind; by default SHARDS, or a quarter of the input's partitions if that is more, so that
     a shard's size stays bounded as the input grows.
     """
     spark = docs.sparkSession
-    shards = shards or max(SHARDS, docs.rdd.getNumPartitions() // 16)
+    shards = shards or max(SHARDS, docs.rdd.getNumPartitions() // 4)
     bits = (shards - 1).bit_length()
-    folder = scratch(spark, "model")
+    folder = shared_folder(spark, "model")
     blocks = bigram_shards(counted(docs, text_col, bits), folder, bits)
     sums = word_shards(blocks, folder).groupBy().sum().first()
     tokens, words, bigrams, *low = (x or 0 for x in sums)
@@ -355,7 +372,8 @@ def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) ->
     found = blocks.where("kind = 3").select("data").mapInArrow(opened, "n1 long, n2 long, n3 long, n4 long").groupBy().sum().first()
     high = [x or 0 for x in found]
     rest = int(bigrams and words - low[0] - low[1])
-    return Model(folder, bits, tokens, words, bigrams, tuple(map(float, discounts(low))), tuple(map(float, discounts(high))), (low[0], low[1], rest))
+    files = frozenset(f for f in os.listdir(local_path(folder)) if f.endswith(".npy"))
+    return Model(folder, bits, tokens, words, bigrams, tuple(map(float, discounts(low))), tuple(map(float, discounts(high))), (low[0], low[1], rest), files)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
