@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.llm.common import local_path, saved, scratch
+from stratovox.llm.common import required, saved, shared_folder
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -170,17 +170,15 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def write(plan: DataFrame, folder: str, level: int = 6) -> DataFrame:
-    """Write each task's records as one gzip stream below ``folder``; ``(path, records)`` of every archive."""
-    where = local_path(folder)
-
+    """Write each task's records as one gzip stream into ``folder`` (of :func:`shared_folder`); ``(path, records)`` of every archive."""
     def store(batches):
+        where = required(folder)
         path = f"{where}/pages-{TaskContext.get().partitionId():06d}.warc.gz"
         n, stream, file = 0, zlib.compressobj(level, zlib.DEFLATED, GZIP), None
         suffix = f".{TaskContext.get().taskAttemptId()}.tmp"
         for batch in batches:
             for row in batch.to_pylist():
                 if file is None:
-                    os.makedirs(where, exist_ok=True)
                     file = open(path + suffix, "wb")
                 file.write(stream.compress(record(row["id"], row["url"], row["payload"], row["refers_to"], row["revisit"])))
                 n += 1
@@ -195,10 +193,8 @@ def write(plan: DataFrame, folder: str, level: int = 6) -> DataFrame:
 
 def normalised(archives: DataFrame, folder: str, remove_source: bool = False) -> DataFrame:
     """Normalise every archive into ``folder``; the index ``(path, offset, length, kind, name)`` as a table."""
-    where = local_path(folder)
-
     def rewrite(batches):
-        os.makedirs(where, exist_ok=True)
+        where = required(folder)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 target = f"{where}/{os.path.basename(path)}"
@@ -253,6 +249,6 @@ def read(index: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, **columns) -> DataFrame:
     """Write, normalise, index and read back; the records of :func:`read`. The one-stream archives are removed once normalised."""
-    folder = scratch(pages.sparkSession, "warc")
-    archives = write(planned(pages, min_bytes=min_bytes, **columns), f"{folder}/streams")
-    return read(normalised(archives, f"{folder}/members", remove_source=True))
+    streams, members = (shared_folder(pages.sparkSession, name) for name in ("warc-streams", "warc-members"))
+    archives = write(planned(pages, min_bytes=min_bytes, **columns), streams)
+    return read(normalised(archives, members, remove_source=True))

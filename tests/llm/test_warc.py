@@ -8,7 +8,7 @@ import hashlib
 import pytest
 
 from stratovox.llm import queries, warc
-from stratovox.llm.common import scratch
+from stratovox.llm.common import shared_folder
 from tests.compare import same
 
 
@@ -52,10 +52,16 @@ def test_defined_cases(spark):
 
 def test_rewriting_again_after_a_lost_task(spark):
     pages = spark.createDataFrame([(i, "u", f"text {i % 3}") for i in range(9)], "page_id long, url string, html string")
-    folder = scratch(spark, "again")
-    archives = warc.write(warc.planned(pages), f"{folder}/a")
-    first = sorted(map(tuple, warc.normalised(archives, f"{folder}/b", remove_source=True).collect()))
-    assert sorted(map(tuple, warc.normalised(archives, f"{folder}/b", remove_source=True).collect())) == first
+    a, b = (shared_folder(spark, "again") for _ in range(2))
+    archives = warc.write(warc.planned(pages), a)
+    first = sorted(map(tuple, warc.normalised(archives, b, remove_source=True).collect()))
+    assert sorted(map(tuple, warc.normalised(archives, b, remove_source=True).collect())) == first
+
+
+def test_a_folder_that_nodes_do_not_share_is_refused(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "text")], "page_id long, url string, html string")
+    with pytest.raises(Exception, match="driver's folder"):
+        warc.write(warc.planned(pages), f"file://{tmp_path}/elsewhere")
 
 
 def test_digest():
