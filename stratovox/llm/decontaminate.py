@@ -5,8 +5,8 @@ consecutive words of a benchmark item; an item with fewer words, but not none, i
 length. A document word inside any occurrence of a window is hit.
 
 Defined cases: null and empty texts have no words and are never hit; items without words match nothing;
-several items with one id count as that id once; null item ids are ignored; repeated document rows each
-get the same result; empty tables give empty or untouched results; other columns pass through unchanged.
+several items with one id count as that id once; items with a null id mark words as hit but name no item; repeated
+document rows each get the same result; empty tables give empty or untouched results; other columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +24,9 @@ from pyspark.sql import types as T
 NORMAL = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
 )
-#: Benchmark text that is broadcast at most, in bytes; a larger benchmark is scanned in several passes.
-BROADCAST_BYTES = 24 << 20
+#: Benchmark text of one pass, in bytes; a larger benchmark is scanned in several passes. A window takes 20 bytes of the index
+#: beside its text, so a broadcast is 5 times the text for words of a usual length, and 11 times at most.
+BROADCAST_BYTES = 16 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,74 +34,101 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(NORMAL).split() if text else []
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class WindowIndex:
-    """The windows of some benchmark items: word numbers, hashes sorted by length, and the exact windows."""
+    """The windows of some benchmark items as arrays: hashes sorted within each length, and where each window's words stand.
+
+    ``items``: (item id or None, text). All texts' normalised words are kept in one byte string, to verify matches exactly.
+    """
 
     def __init__(self, items: list[tuple[object, bytes]], window: int = 13):
-        self.number: dict[bytes, int] = {}
-        self.exact: dict[tuple[bytes, ...], set] = {}
-        for item, text in items:
+        self.items: list = []
+        texts, hashed, first, last, item, length = [], [], [], [], [], []
+        place = 0
+        for name, text in items:
             words = words_of(text)
             if not words:
                 continue
-            for word in words:
-                self.number.setdefault(word, len(self.number) + 1)
             n = min(window, len(words))
-            for i in range(len(words) - n + 1):
-                self.exact.setdefault(tuple(words[i : i + n]), set()).add(item)
-        by_length: dict[int, list] = {}
-        for gram in self.exact:
-            by_length.setdefault(len(gram), []).append([self.number[w] for w in gram])
-        self.hashes = {n: np.unique(self._rolled(np.array(grams, np.uint64).T)) for n, grams in by_length.items()}
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) + place
+            starts = np.concatenate([[place], ends[:-1]])
+            count = len(words) - n + 1
+            first.append(starts[:count])
+            last.append(ends[n - 1 :] - 1)
+            item.append(np.full(count, len(self.items), np.int32))
+            length.append(np.full(count, n, np.int32))
+            texts.append(b" ".join(words))
+            hashed.append((_hashes(words), n))
+            self.items.append(name)
+            place = int(ends[-1])
+        self.text = b" ".join(texts)
+        self.words = np.unique(np.concatenate([h for h, _ in hashed])) if hashed else np.zeros(0, np.uint64)
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
+        if hashed:
+            rolled = np.concatenate([self._rolled(h, n) for h, n in hashed])
+            small = np.uint32 if place < 1 << 32 else np.uint64
+            columns = [np.concatenate(first).astype(small), np.concatenate(last).astype(small), np.concatenate(item)]
+            length = np.concatenate(length)
+            for n in np.unique(length).tolist():
+                at = np.nonzero(length == n)[0]
+                at = at[np.lexsort((columns[2][at], rolled[at]))]
+                self.by_length[n] = (rolled[at], *(c[at] for c in columns))
 
     @staticmethod
-    def _rolled(columns) -> np.ndarray:
-        """A hash of every window, from its word numbers column by column."""
-        out = np.zeros(len(columns[0]), np.uint64)
-        for column in columns:
-            out = (out ^ column) * _MULTIPLIER
+    def _rolled(words: np.ndarray, n: int) -> np.ndarray:
+        """A hash of every window of ``n`` words."""
+        count = len(words) - n + 1
+        out = np.zeros(count, np.uint64)
+        for i in range(n):
+            out = (out ^ words[i : i + count]) * _MULTIPLIER
             out ^= out >> np.uint64(29)
         return out
 
-    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int, set]]:
+    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int, list]]:
         """(start, length, item ids) of every window that occurs; every hash match is verified word by word."""
-        numbers = np.fromiter(map(self.number.get, words, [0] * len(words)), np.uint64, len(words))
-        unknown = np.concatenate([[0], np.cumsum(numbers == 0)])
-        for n, hashes in self.hashes.items():
+        if not len(self.words) or not words:
+            return
+        hashed = _hashes(words)
+        known = self.words[np.minimum(np.searchsorted(self.words, hashed), len(self.words) - 1)] == hashed
+        unknown = np.concatenate([[0], np.cumsum(~known)])
+        for n, (hashes, first, last, item) in self.by_length.items():
             if len(words) < n:
                 continue
             starts = np.nonzero(unknown[n:] == unknown[: len(words) - n + 1])[0]
             if not len(starts):
                 continue
-            rolled = self._rolled([numbers[starts + i] for i in range(n)])
-            place = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
-            for start in starts[hashes[place] == rolled].tolist():
-                items = self.exact.get(tuple(words[start : start + n]))
-                if items:
-                    yield start, n, items
+            rolled = np.zeros(len(starts), np.uint64)
+            for i in range(n):
+                rolled = (rolled ^ hashed[starts + i]) * _MULTIPLIER
+                rolled ^= rolled >> np.uint64(29)
+            low, high = np.searchsorted(hashes, rolled), np.searchsorted(hashes, rolled, side="right")
+            found: dict[bytes, list | None] = {}  # windows that the document repeats are looked up once
+            for k in np.nonzero(high > low)[0].tolist():
+                text = b" ".join(words[starts[k] : starts[k] + n])
+                if text not in found:
+                    same = [j for j in range(low[k], high[k]) if self.text[first[j] : last[j]] == text]
+                    found[text] = [self.items[j] for j in np.unique(item[same]).tolist()] if same else None
+                if found[text] is not None:
+                    yield int(starts[k]), n, found[text]
 
 
 def _shards(items: DataFrame, item_col: str, text_col: str, limit: int) -> list[DataFrame]:
     """The benchmark, in parts of a checked size: the driver never holds more than one part."""
-    rows = items.select(F.col(item_col).alias("item"), F.col(text_col).cast("binary").alias("t")).where("item is not null and t is not null")
+    rows = items.select(F.col(item_col).alias("item"), F.col(text_col).cast("binary").alias("t")).where("t is not null")
     total = rows.agg(F.sum(F.length("t") + 64)).first()[0] or 0
     parts = -(-total // limit) or 1
     if parts == 1:
         return [rows]
-    return [rows.where(F.pmod(F.xxhash64("item"), F.lit(2 * parts)) == i) for i in range(2 * parts)]
+    return [rows.where(F.pmod(F.xxhash64("item", "t"), F.lit(2 * parts)) == i) for i in range(2 * parts)]
 
 
 def _index_holder(spark, items: DataFrame, window: int):
-    """A broadcast of the items; every Python worker builds the index once."""
-    shipped = spark.sparkContext.broadcast([(r.item, bytes(r.t)) for r in items.toLocalIterator()])
-    cache: list[WindowIndex] = []
-
-    def index() -> WindowIndex:
-        if not cache:
-            cache.append(WindowIndex(shipped.value, window))
-        return cache[0]
-
-    return index
+    """A broadcast of the index of one part."""
+    shipped = spark.sparkContext.broadcast(WindowIndex([(r.item, bytes(r.t)) for r in items.toLocalIterator()], window))
+    return lambda: shipped.value
 
 
 def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -145,7 +174,7 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_co
                         hit[span["a"] : span["b"]] = True
                     for start, n, ids in index().occurrences(words):
                         hit[start : start + n] = True
-                        seen.update(map(str, ids))
+                        seen.update(str(x) for x in ids if x is not None)
                     found.append({"n": len(words), "spans": [{"a": a, "b": b} for a, b in _spans(hit)] if hit.any() else [], "items": sorted(seen)})
                 yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(found, _SPANS_ARROW)], names=[*batch.schema.names[:last], name])
 
