@@ -45,17 +45,21 @@ UNWANTED = re.compile(
 )
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog|hentry)(?=$|[\s_-])", re.I)
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z))", re.S)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_QUOTE_OR_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "unwanted", "wanted", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "items", "unwanted", "wanted", "score", "chars", "linked", "block", "article")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.items = tag, parent, []
         self.score, self.chars, self.linked = 0.0, 0, 0
+        #: The nearest block that holds the node's text, and whether an article stands around it.
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.article = parent is not None and (parent.article or parent.tag in ("article", "main"))
         self.unwanted, self.wanted = tag in BOILERPLATE, tag in ("article", "main")
         if attributes and tag not in ("html", "body"):
             for name, *values in _ATTRIBUTE.findall(attributes):
@@ -69,74 +73,138 @@ class Node:
                         self.wanted = True
 
 
+class Scanner:
+    """Tags of a page, in time linear in its length: what was sought in vain once isn't sought again."""
+
+    def __init__(self, page: str):
+        self.page, self.absent = page, set()
+
+    def find(self, what: str, start: int) -> int:
+        """Where ``what`` comes next, or -1."""
+        if what in self.absent:
+            return -1
+        at = self.page.find(what, start)
+        if at < 0:
+            self.absent.add(what)
+        return at
+
+    def tag(self, start: int) -> tuple[int, int, str, str] | None:
+        """(begin, end, name, attributes) of the next tag, whose name begins with / for end tags and is empty for comments and declarations."""
+        page = self.page
+        while (at := self.find("<", start)) >= 0:
+            if page.startswith("<!--", at):
+                end = self.find("-->", at)
+                return at, end + 3 if end >= 0 else len(page), "", ""
+            if page[at + 1 : at + 2] in ("!", "?"):
+                end = self.find(">", at)
+                return at, end + 1 if end >= 0 else len(page), "", ""
+            name = _NAME.match(page, at + 1)
+            if name:
+                end = name.end()
+                while (stop := _QUOTE_OR_END.search(page, end)) and stop[0] != ">":
+                    close = self.find(stop[0], stop.end())
+                    end = close + 1 if close >= 0 else stop.end()
+                end = stop.end() if stop else len(page)
+                return at, end, name[0].lower(), page[name.end() : end - 1 if stop else end]
+            start = at + 1
+        return None
+
+    def end_tag(self, name: str, start: int) -> int | None:
+        """Where the next end tag of this name ends."""
+        if f"</{name}" in self.absent:
+            return None
+        found = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(self.page, start)
+        if not found:
+            self.absent.add(f"</{name}")
+        return found.end() if found else None
+
+
+class _Open:
+    """The open nodes from the root down, and where the tags among them stand."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.by_tag: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.firm: list[int] = []  # blocks that an inline end tag can't close
+        self.stops: list[int] = []
+
+    def _lists(self, tag: str):
+        yield self.by_tag.setdefault(tag, [])
+        if tag in BLOCK:
+            yield self.blocks
+            if tag not in ("p", "li", "dt", "dd", "td", "th", "tr", "option"):
+                yield self.firm
+        if tag in STOPS:
+            yield self.stops
+
+    def push(self, node: Node) -> None:
+        for found in self._lists(node.tag):
+            found.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, depth: int) -> None:
+        """Close everything from this depth down."""
+        while len(self.nodes) > depth:
+            for found in self._lists(self.nodes.pop().tag):
+                found.pop()
+
+    def nearest(self, tag: str) -> int:
+        return self.by_tag[tag][-1] if self.by_tag.get(tag) else -1
+
+
 def parse(page: str) -> Node:
     """The page's tree: children are nodes and texts in page order. Scripts, styles, comments and the like are left out."""
-    root = node = Node("html", None)
-    at, end = 0, len(page)
-    while at < end:
-        found = _TAG.search(page, at)
+    root = Node("html", None)
+    opened, scanner = _Open(root), Scanner(page)
+    at = 0
+    while at < len(page):
+        node = opened.nodes[-1]
+        found = scanner.tag(at)
         if not found:
             node.items.append(page[at:])
             break
-        if found.start() > at:
-            node.items.append(page[at : found.start()])
-        at = found.end()
-        closing, tag, attributes = found[1], found[2], found[3]
-        if tag is None:
+        start, end, tag, attributes = found
+        if start > at:
+            node.items.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if closing:
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
+        if tag[0] == "/":
+            tag = tag[1:]
+            depth = opened.nearest(tag)
+            if depth > 0:
                 # a stray inline end tag doesn't close the blocks around it
-                inner, crosses = node, False
-                while inner is not up:
-                    crosses |= inner.tag in BLOCK and inner.tag not in ("p", "li", "dt", "dd", "td", "th", "tr", "option")
-                    inner = inner.parent
-                if not crosses or tag in BLOCK:
-                    node = up.parent
+                if tag in BLOCK or not opened.firm or opened.firm[-1] <= depth:
+                    opened.close(depth)
             elif tag in BLOCK:
                 node.items.append(Node("br", node))
             continue
-        if tag in RAW and not (attributes or "").endswith("/"):
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else (end if tag in ("script", "style", "textarea", "title") else at)
+        if tag in RAW and not attributes.endswith("/"):
+            stop = scanner.end_tag(tag, at)
+            at = stop if stop else (len(page) if tag in ("script", "style", "textarea", "title") else at)
             if tag in BLOCK:
                 node.items.append(Node("br", node))
             continue
-        if tag in CLOSES_PARAGRAPH:
-            up = node
-            while up is not root and up.tag not in BLOCK:
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
+        if tag in CLOSES_PARAGRAPH and opened.blocks and opened.nodes[opened.blocks[-1]].tag == "p":
+            opened.close(opened.blocks[-1])
         for ended in ENDED_BY.get(tag, ()):
-            up = node
-            while up is not root and up.tag != ended and up.tag not in STOPS:
-                up = up.parent
-            if up.tag == ended:
-                node = up.parent
-        if tag in ("html", "body") and attributes is not None and tag == "html":
+            depth = opened.nearest(ended)
+            if depth > (opened.stops[-1] if opened.stops else 0):
+                opened.close(depth)
+        if tag == "html":
             continue
-        new = Node(tag, node, attributes or "")
+        node = opened.nodes[-1]
+        new = Node(tag, node, attributes)
         node.items.append(new)
-        if tag not in VOID and not (attributes or "").endswith("/"):
-            node = new
+        if tag not in VOID and not attributes.endswith("/"):
+            opened.push(new)
     return root
 
 
 def _is_site_header(node: Node) -> bool:
-    """A header outside articles, or one that holds no text block of its own, belongs to the site."""
-    if node.tag != "header":
-        return False
-    up = node.parent
-    while up is not None:
-        if up.tag in ("article", "main"):
-            return False
-        up = up.parent
-    return True
+    """A header outside articles belongs to the site."""
+    return node.tag == "header" and not node.article
 
 
 def _blocks(node: Node, out: list[str], run: list[str]) -> None:
@@ -196,9 +264,7 @@ def _score(root: Node) -> list[Node]:
         text = own[id(node)]
         if not text or link:
             continue
-        block = node
-        while block is not root and block.tag not in BLOCK:
-            block = block.parent
+        block = node.block
         points = 1 + text.count(",") + len(text) / 100
         up, share = block.parent if block.tag in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "blockquote", "br", "dd") and block.parent is not None else block, 1.0
         while up is not None and share > 0.05:

@@ -59,3 +59,18 @@ def test_repairs_and_defined_cases(spark):
     found = extracted(rows)
     assert found.columns == ["page_id", "score", "text"] and sorted(r.text for r in found.collect()) == ["", "", "x"]
     assert extracted(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>" * 8000 + "</span>" * 8000, '<a href="x>' + "<b>y</b>" * 8000, "<noscript>x " * 8000, "<header>" * 8000 + "x, y", "<i>x, " * 8000])
+def test_hostile_pages_take_linear_time(page):
+    """Five megabytes of unclosed or stray tags take no longer a byte than a tenth of that, within a factor of four."""
+    import time
+
+    def seconds(times):
+        start = time.process_time()
+        main_text(page * times)
+        return time.process_time() - start
+
+    small, times = 2, -(-5_000_000 // len(page))
+    least = max(0.02, seconds(small))
+    assert seconds(times) < 4 * least * times / small
