@@ -3,8 +3,9 @@
 A neighbour graph is seeded from leaves of random-projection orders and refined by joining the neighbours of
 each vector with each other (neighbours of neighbours). Lists hold NEIGHBOURS entries; where a list may be
 saturated with links, it is enlarged: the vectors of each component of links are compared with each other in
-chunks, so every link inside a component counts, however large. An audit measures recall on a bounded sample
-against all vectors, and refinement goes on until it is at least ``recall``.
+chunks, so every link inside a component counts, however large. An audit measures recall on bounded samples
+against all vectors; while it is below ``recall`` lists grow to twice their length and the graph is refined again, and
+if that doesn't help the run fails with the figure instead of returning a result that lacks links.
 
 Only vectors of one label and one length are compared, by cosine in double precision. Equal vectors are
 collapsed first, so copies cost nothing. Search tables carry the vectors; links are never all written out.
@@ -18,16 +19,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratovox.llm.common import runs, saved
 from stratovox.operators.components import components
 
-NEIGHBOURS, TREES, LEAF, ROUNDS = 6, 6, 128, 6
+NEIGHBOURS, TREES, LEAF, ROUNDS = 6, 6, 128, 8
 #: Vectors of a component, or of one neighbourhood, that are compared with as many others at once.
 CHUNK = 1024
-#: Vectors that the audit compares with all others.
+#: Vectors of each of the audit's two samples (of all vectors, and of those in components), which it compares with all others.
 AUDITED = 512
 _CODE_BITS = 24
 
@@ -71,8 +73,34 @@ def _best(members: list[int], vectors: list[bytes], keep: int, roots: np.ndarray
     return out if roots is None else tuple(c[out[2] > -2] for c in out)
 
 
-def _roots(run, at: slice) -> np.ndarray | None:
-    return run.column("root").to_numpy()[at] if "root" in run.column_names else None
+def _roots(run) -> np.ndarray | None:
+    return run.column("root").to_numpy() if "root" in run.column_names else None
+
+
+def _leaves(batches, n_keys: int, size: int):
+    """Tables of up to ``size`` consecutive rows that agree in the first ``n_keys`` columns, from sorted batches; no run is held whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([c.to_numpy() for c in batch.columns[:n_keys]])
+        cuts = [0, *(np.nonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))[0] + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            key = tuple(keys[:, a].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            while a < b:
+                step = min(b - a, size - sum(h.num_rows for h in held))
+                held.append(batch.slice(a, step))
+                a += step
+                if sum(h.num_rows for h in held) == size:
+                    yield pa.Table.from_batches(held)
+                    held = []
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _edges(parts) -> pa.RecordBatch:
@@ -131,11 +159,9 @@ def seeded(classes: DataFrame, keep: int = NEIGHBOURS) -> DataFrame:
 
     def leaves(batches):
         def parts():
-            for run in runs(batches, 2):
-                ids, vecs = run.column("id").to_pylist(), run.column("vec").to_pylist()
-                for i in range(0, len(ids), LEAF):
-                    if len(ids) - i > 1:
-                        yield _best(ids[i : i + LEAF], vecs[i : i + LEAF], keep, _roots(run, slice(i, i + LEAF)))
+            for run in _leaves(batches, 2, LEAF):
+                if len(run) > 1:
+                    yield _best(run.column("id").to_pylist(), run.column("vec").to_pylist(), keep, _roots(run))
 
         yield from _batched(parts())
 
@@ -149,15 +175,18 @@ def refined(graph: DataFrame, classes: DataFrame, keep: int = NEIGHBOURS) -> Dat
     """
     outside = ["root"] if "root" in classes.columns else []
     members = graph.select(F.col("id").alias("centre"), F.col("nbr").alias("id")).union(graph.select(F.col("nbr"), F.col("id"))).union(classes.select("id", "id")).distinct()
-    gathered = members.join(classes.select("id", "vec", *outside), "id").select("centre", "id", "vec", *outside).repartition("centre").sortWithinPartitions("centre", "id")
+    # a hub's neighbourhood is cut into chunks that meet two by two, in tasks of their own
+    hubs = members.groupBy("centre").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("m")).where("m > 1")
+    members = members.join(hubs, "centre", "left").withColumn("c", F.pmod(F.xxhash64("id"), F.coalesce("m", F.lit(1))).cast("int"))
+    members = members.withColumn("x", F.explode(F.sequence(F.lit(0), F.coalesce("m", F.lit(1)) - 1)))
+    members = members.select("centre", F.least("c", "x").alias("c1"), F.greatest("c", "x").alias("c2"), "id")
+    gathered = members.join(classes.select("id", "vec", *outside), "id").select("centre", "c1", "c2", "id", "vec", *outside)
+    gathered = gathered.repartition("centre", "c1", "c2").sortWithinPartitions("centre", "c1", "c2", "id")
 
     def local(batches):
         def parts():
-            for run in runs(batches, 1):
-                ids, vecs = run.column("id").to_pylist(), run.column("vec").to_pylist()
-                for i in range(0, len(ids), CHUNK):
-                    if len(ids) - i > 1:
-                        yield _best(ids[i : i + CHUNK], vecs[i : i + CHUNK], keep, _roots(run, slice(i, i + CHUNK)))
+            for run in runs(batches, 3):
+                yield _best(run.column("id").to_pylist(), run.column("vec").to_pylist(), keep, _roots(run))
 
         yield from _batched(parts())
 
@@ -184,15 +213,69 @@ def joined(classes: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
         roots = components(links)
 
 
+def _angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
+
+def _chunked(own: DataFrame, threshold: float) -> DataFrame:
+    """``root, c1, c2, c, id, copies, vec``: vectors of large components, once for each pair of chunks that may hold a link.
+
+    Chunks follow the order of a random projection, so their vectors lie close together. Two chunks meet only if the angle
+    between their centres is at most that of the threshold and both chunks' radii.
+    """
+
+    def cut(batches):
+        first = TaskContext.get().partitionId() << 32
+        for n, run in enumerate(_leaves(_projected(batches), 1, CHUNK)):
+            yield from run.append_column("c", pa.array(np.full(len(run), first + n))).select(["root", "c", "id", "copies", "vec"]).to_batches()
+
+    def _projected(batches):
+        for batch in batches:
+            yield batch.select(["root", "id", "copies", "vec"])
+
+    def side(batches):
+        for batch in batches:
+            vecs = batch.column(3).to_pylist()
+            out = np.zeros(len(vecs))
+            for size in {len(v) for v in vecs}:
+                at = [i for i, v in enumerate(vecs) if len(v) == size]
+                out[at] = _unit([vecs[i] for i in at]) @ np.random.default_rng(size // 8).standard_normal(size // 8)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["root", "id", "copies", "vec", "side"])
+
+    placed = own.select("root", "id", "copies", "vec").mapInArrow(side, "root long, id long, copies long, vec binary, side double")
+    placed = placed.repartitionByRange("root", "side", "id").sortWithinPartitions("root", "side", "id")
+    placed = saved(placed.mapInArrow(cut, "root long, c long, id long, copies long, vec binary"), "chunks")
+
+    def centre(batches):
+        for run in _leaves(batches, 2, CHUNK):
+            x = _unit(run.column("vec").to_pylist())
+            middle = x.mean(axis=0)
+            middle /= max(1e-300, np.sqrt((middle * middle).sum()))
+            row = [run.column("root")[0].as_py(), run.column("c")[0].as_py(), middle.tolist(), float(_angles(x, middle[None]).max())]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["root", "c", "middle", "radius"])
+
+    found = placed.repartition("root", "c").sortWithinPartitions("root", "c").select("root", "c", "vec")
+    found = saved(found.mapInArrow(centre, "root long, c long, middle array<double>, radius double"), "centres")
+    one, two = (found.select("root", *(F.col(n).alias(f"{n}{k}") for n in ("c", "middle", "radius"))) for k in (1, 2))
+    cosine = F.aggregate(F.zip_with("middle1", "middle2", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    reach = F.lit(float(np.arccos(min(1.0, threshold))) + 1e-6) + F.col("radius1") + F.col("radius2")
+    pairs = one.join(two, "root").where((F.col("c1") <= F.col("c2")) & (F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) <= reach))
+    pairs = saved(pairs.select("root", "c1", "c2"), "pairs")
+    sides = pairs.select("root", "c1", "c2", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("c"))
+    return placed.join(sides, ["root", "c"]).select("root", "c1", "c2", "c", "id", "copies", "vec")
+
+
 def component_links(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """``(id, links)``: for every class of a component, the vectors of others that it links with; the lists of saturated vectors
     are enlarged to the whole component, whose chunks are compared two by two."""
     sizes = roots.groupBy("root").agg((F.count("*") + 1).alias("n"))
     members = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = members.join(sizes, "root").join(classes.select(F.col("id").alias("node"), "copies", "vec"), "node")
-    own = own.withColumn("c", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    jobs = own.select("root", F.least("c", "x").alias("c1"), F.greatest("c", "x").alias("c2"), "c", F.col("node").alias("id"), "copies", "vec")
+    own = members.join(sizes, "root").join(classes.select(F.col("id").alias("node"), "copies", "vec"), "node").withColumnRenamed("node", "id")
+    zero = F.lit(0).cast("long")
+    jobs = own.where(F.col("n") <= CHUNK).select("root", zero.alias("c1"), zero.alias("c2"), zero.alias("c"), "id", "copies", "vec")
+    large = own.where(F.col("n") > CHUNK)
+    if not large.isEmpty():
+        jobs = jobs.unionByName(_chunked(large, threshold))
     jobs = jobs.repartition("root", "c1", "c2").sortWithinPartitions("root", "c1", "c2", "id")
 
     def count(batches):
@@ -221,15 +304,19 @@ def component_links(classes: DataFrame, roots: DataFrame, threshold: float) -> D
 
 
 def audited(classes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Recall of links on the AUDITED classes with the least id hashes, against all vectors."""
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "block", "vec").collect()
-    by_block: dict[int, list] = {}
-    for r in sample:
-        by_block.setdefault(r.block, []).append((r.id, bytes(r.vec)))
+    """Mean over sampled classes that have links of the share of their links that was found, by comparison with all vectors.
+
+    Two samples of AUDITED classes with the least id hashes: one of all classes, one of those with links, so that a table
+    with few links is audited on some as well. Every class counts once, whatever the size of its group.
+    """
+    few = lambda df: df.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "block", "vec").collect()
+    by_block: dict[int, dict] = {}
+    for r in [*few(classes), *few(classes.join(links.where("links > 0").select("id"), "id"))]:
+        by_block.setdefault(r.block, {})[r.id] = bytes(r.vec)
     shipped = classes.sparkSession.sparkContext.broadcast(by_block)
 
     def count(batches):
-        blocks = {k: (np.array([i for i, _ in v]), _unit([x for _, x in v])) for k, v in shipped.value.items()}
+        blocks = {k: (np.array(list(v)), _unit(list(v.values()))) for k, v in shipped.value.items()}
         for batch in batches:
             ids, block, copies = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             vecs = batch.column(3).to_pylist()
@@ -242,31 +329,34 @@ def audited(classes: DataFrame, links: DataFrame, threshold: float) -> float:
                     yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(linked @ copies[part])], names=["id", "wanted"])
 
     true = classes.select("id", "block", "copies", "vec").mapInArrow(count, "id long, wanted long").groupBy("id").agg(F.sum("wanted").alias("wanted"))
-    got = true.join(links, "id", "left").agg(F.sum("wanted").alias("w"), F.sum(F.least("wanted", F.coalesce("links", F.lit(0)))).alias("g")).first()
-    return 1.0 if not got.w else got.g / got.w
+    share = F.least("wanted", F.coalesce("links", F.lit(0))) / F.col("wanted")
+    found = true.where("wanted > 0").join(links, "id", "left").agg(F.avg(share).alias("recall")).first().recall
+    return 1.0 if found is None else found
 
 
 def near_duplicates(points: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98,
                     recall: float = 0.99, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
     """``(id, n_links, component)`` for every vector, and the audited recall.
 
+    Raises RuntimeError if the audit is below ``recall`` after ``rounds`` (at least one) rounds of refinement.
     ``n_links``: other vectors with a cosine of ``threshold`` or more; ``component``: the least id reachable over links.
     """
     rows = saved(prepared(points, id_col, vector_col, label_col), "vectors")
     key = F.xxhash64("label", F.length("vec"))
     named = rows.where("vec is not null").groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = saved(named.select(F.monotonically_increasing_id().alias("id"), key.alias("block"), "label", "least", "copies", "vec"), "classes")
-    graph = saved(seeded(classes), "graph")
-    found = 0.0
-    for turn in range(rounds):
-        graph = saved(refined(graph, classes), "graph")
-        if not turn:
-            continue
+    keep, graph = NEIGHBOURS, saved(seeded(classes), "graph")
+    graph = saved(refined(graph, classes, keep), "graph")
+    for _ in range(rounds):
+        graph = saved(refined(graph, classes, keep), "graph")
         roots = joined(classes, graph, threshold)
         links = saved(component_links(classes, roots, threshold), "links")
         found = audited(classes, links, threshold)
         if found >= recall:
             break
+        keep *= 2
+    else:
+        raise RuntimeError(f"recall is {found:.4f} after {rounds} rounds, the goal is {recall}")
     placed = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
     named = (
