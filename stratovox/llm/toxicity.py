@@ -4,15 +4,18 @@ The kernel of two tokens sums, over all subsequences of four letters with gaps,
 the number of skipped letters, normalised to 1 for equal tokens. So "id-iot", "idxiot" and "i d i o t" stay
 close to "idiot" (marks inside a token are skipped, runs of single letters are read as one token).
 
-Training uses labelled sentences: those of toxic documents that hold tokens which clean documents hardly
-have, against those of clean documents. Landmarks are chosen among the tokens by greedy kernel distance;
+Training uses labelled sentences; each has the label of its document. Toxic examples are the tokens that explain toxic
+sentences: each time the one in most sentences that no chosen token explains yet, among tokens that clean documents
+hardly have, as long as it explains SUPPORT of them; they are also given with inserted letters. Clean examples are
+all tokens of one sentence of each clean document, and then all strongest tokens of clean sentences that the machine
+doesn't reject clearly. Landmarks are chosen among the examples by greedy kernel distance;
 the machine is linear in the whitened landmark kernels. As the kernel is a product of subsequence vectors,
 the trained machine folds into one weight per subsequence, so scoring never evaluates a landmark.
 A document's probability is a logistic curve over its three strongest tokens, the number of positive ones and
 its number of tokens.
 
-Limits: ``SAMPLE`` labelled documents and ``TOKENS`` tokens of each class are used for fitting; scoring
-reads every token of every text.
+Limits: ``SAMPLE`` labelled documents are used for fitting, with all their sentences; scoring reads every token of every
+text. A token without three letters has no subsequence of four, so it counts as FLOOR.
 
 Defined cases: null and empty texts have no token and get the curve's value at the least margins; repeated
 rows get equal scores; repeated labels of a document count as their mean; without labels of both classes
@@ -21,14 +24,16 @@ every score is the smoothed share of toxic labels; an empty table gives an empty
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
-from heapq import nlargest
+from heapq import heapify, heappop, heappush, nlargest
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +42,15 @@ from stratovox.llm.common import saved
 from stratovox.llm.quality import SAMPLE, labelled
 
 DECAY, SPAN, CODES = 0.6, 6, 64
-#: Tokens of each class, and landmarks, that the machine is fitted on at most.
-TOKENS, LANDMARKS = 1500, 300
+#: Landmarks of the kernel, and toxic sentences that a toxic example has to explain.
+LANDMARKS, SUPPORT = 300, 3
 #: Longer tokens are read in overlapping windows of this many letters.
 LONG = 20
 #: Tokens whose margin a Python worker remembers.
 REMEMBERED = 400_000
 FLOOR = -3.0
+#: Ends of sentences: line feeds, and marks before white space.
+SENTENCE = re.compile(r"\n+|(?<=[.!?])\s+")
 
 
 def tokens(text: str | None) -> list[str]:
@@ -173,14 +180,35 @@ class Reader:
         return rows, best
 
 
+def _vectors(found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, subsequence number, weight) of the normalised vectors of tokens; longer ones than LONG letters by their first window."""
+    by_length: dict[int, list[int]] = defaultdict(list)
+    codes = [letters(t)[:LONG] for t in found]
+    for i, c in enumerate(codes):
+        by_length[len(c)].append(i)
+    out = []
+    for rows in by_length.values():
+        for i in range(0, len(rows), 2000):
+            part = np.array(rows[i : i + 2000])
+            numbers, weight = vectors(np.stack([codes[k] for k in part]))
+            row = np.repeat(part, len(weight))
+            both, place = np.unique(np.stack([row, numbers.ravel()]), axis=1, return_inverse=True)
+            value = np.bincount(place.ravel(), np.tile(weight, len(part)))
+            norm = np.sqrt(np.bincount(both[0], value * value, len(found)))
+            out.append((both[0], both[1], value / norm[both[0]]))
+    row, number, value = (np.concatenate(c) for c in zip(*out))
+    order = np.argsort(row, kind="stable")
+    return row[order], number[order], value[order]
+
+
 def nystroem_machine(positive: list[str], negative: list[str], landmarks: int = LANDMARKS, ridge: float = 2e-4) -> Machine:
     """Fit the machine on tokens of both classes: squared hinge loss, classes weighted equally."""
-    found = [(sign, v) for sign, t in [*((1.0, t) for t in positive), *((-1.0, t) for t in negative)] if (v := vector(t))]
+    found = [(sign, t) for sign, t in [*((1.0, t) for t in positive), *((-1.0, t) for t in negative)] if len(letters(t)) >= 4]
     y = np.array([sign for sign, _ in found])
-    numbers, column = np.unique(np.array([u for _, v in found for u in v], np.int64), return_inverse=True)
-    value = np.array([w for _, v in found for w in v.values()])
-    ends = np.cumsum([len(v) for _, v in found])
-    starts = np.concatenate([[0], ends[:-1]])
+    row, number, value = _vectors([t for _, t in found])
+    numbers, column = np.unique(number, return_inverse=True)
+    starts = np.searchsorted(row, np.arange(len(found)))
+    ends = np.append(starts[1:], len(row))
 
     def kernel(mark: int) -> np.ndarray:
         dense = np.zeros(len(numbers))
@@ -230,50 +258,66 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def _plain(word: str) -> str:
+    return "".join(filter(str.isalnum, word))
+
+
 def _token_counts(rows: DataFrame) -> DataFrame:
-    """``(token, toxic, clean)``: sentences-bearing documents of each class that have the token."""
+    """``(token, toxic, clean)``: documents of each class that have the token."""
 
     def count(batches):
         for batch in batches:
             seen = [Counter(), Counter()]
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[y >= 0.5].update({"".join(filter(str.isalnum, w)) for w in tokens(t)})
-            every = [w for w in {*seen[0], *seen[1]} if 2 < len(w) <= LONG]
+                seen[y >= 0.5].update({_plain(w) for w in tokens(t)})
+            every = [w for w in {*seen[0], *seen[1]} if len(w) > 2]
             yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([s[w] for w in every], pa.int64()) for s in (seen[1], seen[0]))], names=["token", "toxic", "clean"])
 
     counted = rows.select("y", "t").mapInArrow(count, "token string, toxic long, clean long")
     return counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _chosen(rows: DataFrame, candidates: list[str], cover: int = 3) -> list[str]:
-    """Of the candidates, those that explain toxic documents: each time the one in most documents that lack ``cover`` of them."""
+def _sentences(rows: DataFrame, candidates: list[str]) -> tuple[list[str], list[str]]:
+    """The candidates in each toxic sentence that has any, distinct lists joined by spaces; the tokens of one sentence of each clean document."""
     shipped = rows.sparkSession.sparkContext.broadcast(frozenset(candidates))
 
     def holding(batches):
         for batch in batches:
-            held = [sorted({"".join(filter(str.isalnum, w)) for w in tokens(t)} & shipped.value) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([" ".join(h) for h in held], pa.string())], names=["held"])
-
-    found = rows.where("y >= 0.5").select("t").mapInArrow(holding, "held string").distinct().orderBy("held").toPandas()["held"]
+            kind, held = [], []
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sentences = [s for s in SENTENCE.split(text) if s]
+                if y >= 0.5:
+                    found = (sorted({_plain(w) for w in tokens(s)} & shipped.value) for s in sentences)
+                    held += [" ".join(f) for f in found if f]
+                elif sentences:
+                    held += {_plain(w) for w in tokens(min(sentences, key=lambda s: xxhash.xxh3_64_intdigest(s.encode())))}
+                kind += [y >= 0.5] * (len(held) - len(kind))
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.bool_()), pa.array(held, pa.string())], names=["toxic", "held"])
+
+    found = rows.select("y", "t").mapInArrow(holding, "toxic boolean, held string")
+    toxic = found.where("toxic").orderBy("held").toPandas()["held"]
+    return toxic.to_list(), sorted(r.held for r in found.where("not toxic").distinct().collect())
+
+
+def _explaining(sentences: list[str]) -> list[str]:
+    """Tokens in the order in which they explain most of the sentences (their candidate tokens) that aren't explained yet."""
     holders: dict[str, list[int]] = defaultdict(list)
-    for d, held in enumerate(found):
+    for d, held in enumerate(sentences):
         for w in held.split():
             holders[w].append(d)
-    need, out, open_ = np.full(len(found), cover), [], {w: np.array(d) for w, d in holders.items()}
-    gains = {w: len(d) for w, d in open_.items()}
-    while gains and len(out) < TOKENS:
-        best = max(gains, key=lambda w: (gains[w], w))
-        new = int((need[open_[best]] > 0).sum())
-        if new < gains[best]:
-            gains[best] = new
-            if new < 3:
-                del gains[best]
+    left, out = np.ones(len(sentences), bool), []
+    heap = [(-len(d), w) for w, d in holders.items()]
+    heapify(heap)
+    while heap:
+        gain, w = heappop(heap)
+        new = int(left[holders[w]].sum())
+        if new < SUPPORT:
             continue
-        if new < 3:
-            break
-        out.append(best)
-        need[open_[best]] -= 1
-        del gains[best]
+        if new < -gain:
+            heappush(heap, (-new, w))
+            continue
+        out.append(w)
+        left[holders[w]] = False
     return out
 
 
@@ -282,27 +326,26 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     rows = saved(labelled(docs, labels, label_col, id_col, text_col, folds, sample).select("y", F.col("t").cast("string").alias("t")).where("t is not null").distinct(), "labelled")
     n = {r["k"]: r["n"] for r in rows.groupBy((F.col("y") >= 0.5).alias("k")).agg(F.count("*").alias("n")).collect()}
     share = (n.get(True, 0) + 0.5) / (sum(n.values()) + 1)
+    nothing = Machine(np.zeros(1, np.int64), np.zeros(1), 0.0, None, share)
     if len(n) < 2:
-        return Machine(np.zeros(1, np.int64), np.zeros(1), 0.0, None, share)
-    counts = saved(_token_counts(rows), "tokens")
+        return nothing
     odds = F.log((F.col("toxic") + 0.5) / (n[True] + 1)) - F.log((F.col("clean") + 0.5) / (n[False] + 1))
-    odd = counts.where((F.col("toxic") >= 3) & (odds > 2)).orderBy(F.desc(F.col("toxic") - 9 * F.col("clean")), "token").limit(5 * TOKENS)
-    positive = _chosen(rows, [r.token for r in odd.collect()])
-    plain = counts.where((F.col("clean") >= 2) & (odds < 1))
-    negative = [r.token for r in plain.orderBy(F.xxhash64("token")).limit(TOKENS // 2).unionByName(plain.orderBy(F.desc("clean"), "token").limit(TOKENS // 2)).collect()]
+    odd = saved(_token_counts(rows), "tokens").where((F.col("toxic") >= SUPPORT) & (odds > 2))
+    toxic, clean = _sentences(rows, [r.token for r in odd.select("token").collect()])
+    positive = _explaining(toxic)
     if not positive:
-        return Machine(np.zeros(1, np.int64), np.zeros(1), 0.0, None, share)
+        return nothing
     positive += [v for w in positive if len(w) >= 4 for v in disguised(w)]
-    machine = nystroem_machine(positive, sorted(set(negative)))
-    hard: set[str] = set()
+    negative = set(clean) - set(positive)
+    machine = nystroem_machine(positive, sorted(negative))
     for again in (True, True, False):
         found = _features(rows, machine)
         x, y = np.stack(found["x"].to_list()), (found["y"] >= 0.5).to_numpy().astype(float)
-        if again:  # tokens of clean documents that the machine takes for insults join the negatives
-            clean = found[found["y"] < 0.5]
-            order = np.argsort([-v[0] for v in clean["x"]], kind="stable")[:TOKENS]
-            hard |= {"".join(filter(str.isalnum, w)) for w in clean["best"].to_numpy()[order]} - set(positive) - {""}
-            machine = nystroem_machine(positive, sorted({*negative, *hard}))
+        if again:  # negatives that are rejected clearly leave, strongest tokens of clean documents that aren't rejected so join
+            near = found[(found["y"] < 0.5) & (found["x"].str[0] > -1)]
+            kept = sorted(negative)
+            negative = {t for t, m in zip(kept, machine.margins(kept)) if m > -1} | set(near["best"].map(_plain)) - set(positive) - {""}
+            machine = nystroem_machine(positive, sorted(negative))
     machine.curve, machine.share = logistic(x, y), share
     return machine
 

@@ -101,3 +101,53 @@ def test_disguised_insults_keep_a_high_margin():
     assert (machine.margins(["id-iot", "i.d.i.o.t", "idiiot", "morxon", "patheetic"]) > 0).all()
     assert (machine.margins(good) < 0).all()
     assert "idiot" in toxicity.tokens("you i d i o t there") and machine.margins(["a", ""]).tolist() == [toxicity.FLOOR] * 2
+
+
+def small(spark):
+    bad = ["you are an idiot and a moron, really.", "what a loser. pathetic!", "the m-o-r-o-n said so.", "idiot loser moron pathetic"]
+    good = ["the island had a garden and a window.", "music by the river, in the morning. fine.", "a table of lessons", "scholars read patterns"]
+    rows = [(i, f"{(bad if i % 3 == 0 else good)[i % 4]}\nline {i % 7} of {i % 5} words.") for i in range(120)]
+    docs = spark.createDataFrame(rows + [(900, None), (901, ""), (902, "x y"), (903, "Idiot! " * 300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 != 0)) for i in range(120)], "doc_id long, toxic int, quality int")
+    return docs, labels
+
+
+def test_toxicity_scores_equal_a_plain_implementation(spark):
+    docs, labels = small(spark)
+    machine = toxicity.fit(docs, labels)
+    weight = dict(zip(machine.numbers.tolist(), machine.weights.tolist()))
+
+    def margin(token):
+        codes, best = toxicity.letters(token), toxicity.FLOOR
+        for i in range(0, max(1, len(codes) - toxicity.LONG // 2), toxicity.LONG // 2):
+            part, sums = codes[i : i + toxicity.LONG], {}
+            if len(part) < 4:
+                continue
+            numbers, w = toxicity.vectors(part[None, :])
+            for n, v in zip(numbers[0].tolist(), w.tolist()):
+                sums[n] = sums.get(n, 0) + v
+            norm = max(1e-9, sum(v * v for v in sums.values()) ** 0.5)
+            best = max(best, sum(v * weight.get(n, 0) for n, v in sums.items()) / norm + machine.offset)
+        return best
+
+    for r in toxicity.scored(docs, machine).collect():
+        margins = sorted((margin(w) for w in set(toxicity.tokens(r.text))), reverse=True)
+        x = [*(max(toxicity.FLOOR, m) for m in margins[:3]), *[toxicity.FLOOR] * (3 - len(margins)), np.log1p(sum(m > 0 for m in margins)), np.log1p(len(margins))]
+        want = 1 / (1 + np.exp(-(np.dot(x, machine.curve[:-1]) + machine.curve[-1])))
+        assert r.score == pytest.approx(want, rel=1e-6)
+        if r.doc_id < 120:
+            assert (r.score >= 0.5) == (r.doc_id % 3 == 0)
+
+
+def test_quality_scores_equal_a_plain_walk(spark):
+    docs, labels = small(spark)
+    trees = quality.fit(docs, labels)
+    assert len(trees.feature)
+    for r in quality.scored(docs, trees).collect():
+        x, total = quality.statistics(r.text.encode() if r.text else None), trees.base
+        for feature, threshold, value in zip(trees.feature.tolist(), trees.threshold.tolist(), trees.value.tolist()):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + int(x[feature[node]] > threshold[node])
+            total += value[node - len(feature)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(total, -30, 30))))
