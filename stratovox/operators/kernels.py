@@ -123,6 +123,51 @@ def distance_blocks(rows: DataFrame, mask: str, spacing: tuple[float, float, flo
     return rows.groupBy("block").applyInPandas(run, "block long, z int, y int, x int, distance double")
 
 
+def best_assignment(gain: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of rows and columns, one to one, with the greatest total gain (shortest augmenting paths with potentials)."""
+    turned = gain.shape[0] > gain.shape[1]
+    cost = -(gain.T if turned else gain)
+    n, m = cost.shape
+    u, v, owner = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, int)
+    for i in range(1, n + 1):
+        owner[0], j0 = i, 0
+        least, back, seen = np.full(m + 1, np.inf), np.zeros(m + 1, int), np.zeros(m + 1, bool)
+        while owner[j0]:
+            seen[j0] = True
+            open_ = np.nonzero(~seen[1:])[0] + 1
+            reduced = cost[owner[j0] - 1, open_ - 1] - u[owner[j0]] - v[open_]
+            better = reduced < least[open_]
+            least[open_[better]], back[open_[better]] = reduced[better], j0
+            j1 = open_[np.argmin(least[open_])]
+            step = least[j1]
+            u[owner[seen]] += step
+            v[seen] -= step
+            least[open_] -= step
+            j0 = j1
+        while j0:
+            owner[j0] = owner[back[j0]]
+            j0 = back[j0]
+    found = [(int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j]]
+    return [(b, a) for a, b in found] if turned else found
+
+
+def assigned(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, iou`` of the one-to-one pairs (``group, a, b, iou``, by connected group) that match most objects at ``threshold``, of those with the
+    greatest total overlap; pairs below the threshold aren't returned."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        a, i = np.unique(rows["a"], return_inverse=True)
+        b, j = np.unique(rows["b"], return_inverse=True)
+        gain = np.zeros((len(a), len(b)))
+        gain[i, j] = (rows["iou"] >= threshold) + rows["iou"] / (2 * min(gain.shape))
+        iou = np.zeros(gain.shape)
+        iou[i, j] = rows["iou"]
+        kept = [(a[x], b[y], iou[x, y]) for x, y in best_assignment(gain) if iou[x, y] >= threshold and iou[x, y] > 0]
+        return pd.DataFrame(kept, columns=["a", "b", "iou"]).astype({"a": "int64", "b": "int64", "iou": "float64"})
+
+    return pairs.groupBy("group").applyInPandas(run, "a long, b long, iou double")
+
+
 def one_to_one(pairs: DataFrame, order: list) -> DataFrame:
     """Of each overlap's pairs (``i, j, a, b``, best first by ``order``), those whose sides aren't both taken already."""
 

@@ -12,6 +12,13 @@ from stratovox.plans.scratch import saved
 from stratovox.sources.volumes import AXES
 
 
+def joined_by_label(volume: DataFrame, label: str, table: DataFrame, *by: str) -> DataFrame:
+    """``volume`` left-joined with a table of labels that aren't 0. Background is most of a real volume and has no row in the table, so its voxels get
+    keys of their own, which spreads them over all tasks."""
+    apart = F.when(F.col(label) == 0, 1 + F.pmod(F.xxhash64(*AXES), F.lit(1023))).otherwise(F.lit(0).cast("long"))
+    return volume.withColumn("apart_", apart).join(table.withColumn("apart_", F.lit(0).cast("long")), [label, *by, "apart_"], "left").drop("apart_")
+
+
 def sizes(volume: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Voxels of each label that isn't 0, in all or by further columns."""
     return volume.where(F.col(label) != 0).groupBy(label, *by).agg(F.count("*").alias("size"))
@@ -21,7 +28,7 @@ def compacted(volume: DataFrame, label: str) -> DataFrame:
     """Labels as 1..n in their order, 0 stays. Ranks are running counts over chunks of the id range, so no task ranks all ids."""
     ids = volume.where(F.col(label) != 0).groupBy(label).agg(F.lit(1).alias("one"))
     ranks = running_before(ids, label, "one", "rank_").select(label, (F.col("rank_") + 1).alias("new_"))
-    return volume.join(ranks, label, "left").select(*AXES, F.coalesce("new_", F.lit(0)).cast("long").alias(label))
+    return joined_by_label(volume, label, ranks).select(*AXES, F.coalesce("new_", F.lit(0)).cast("long").alias(label))
 
 
 def size_filtered(volume: DataFrame, label: str, smallest: int | None = None, largest: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -32,7 +39,7 @@ def size_filtered(volume: DataFrame, label: str, smallest: int | None = None, la
     if largest is not None:
         keep = keep & (F.col("size") <= largest)
     good = sizes(volume, label, by).where(keep).select(label, *by, F.lit(True).alias("good_"))
-    return volume.join(good, [label, *by], "left").select(*AXES, F.when(F.col("good_"), F.col(label)).otherwise(F.lit(0)).cast("long").alias(label))
+    return joined_by_label(volume, label, good, *by).select(*AXES, F.when(F.col("good_"), F.col(label)).otherwise(F.lit(0)).cast("long").alias(label))
 
 
 def boxes(volume: DataFrame, label: str) -> DataFrame:
@@ -108,9 +115,11 @@ def stitched(volume: DataFrame, label: str, threshold: float = 0.25) -> DataFram
 
 
 def renamed(volume: DataFrame, label: str, table: DataFrame) -> DataFrame:
-    """Labels replaced by ``(id, rep)``; labels that the table lacks stay."""
-    named = table.select(F.col("id").alias(label), F.col("rep").alias("rep_"))
-    return volume.join(named, label, "left").select(*AXES, F.coalesce("rep_", label).alias(label))
+    """Labels replaced by ``(id, rep)``; labels that the table lacks stay. A name for 0 goes by a broadcast of one row."""
+    named = table.where("id <> 0").select(F.col("id").alias(label), F.col("rep").alias("rep_"))
+    zero = table.where("id = 0").agg(F.max("rep").alias("zero_"))
+    out = joined_by_label(volume, label, named).join(F.broadcast(zero))
+    return out.select(*AXES, F.when(F.col(label) == 0, F.coalesce("zero_", label)).otherwise(F.coalesce("rep_", label)).alias(label))
 
 
 def filtered(volume: DataFrame, label: str, keep: Column) -> DataFrame:

@@ -65,14 +65,25 @@ def _by(column: str):
     return Window.partitionBy(column)
 
 
+def _matched(pairs: DataFrame, truth: str, found: str, threshold: float) -> DataFrame:
+    """The overlaps of matched pairs. Above one half no object has two partners; below, groups of overlapping objects are assigned one to one."""
+    if threshold > 0.5:
+        return pairs.where(F.col("iou") >= threshold).select("iou")
+    from stratovox.operators.components import components
+    from stratovox.operators.kernels import assigned
+
+    edges = pairs.select((2 * F.col(truth)).alias("a"), (2 * F.col(found) + 1).alias("b"))
+    roots = components(edges).select(F.col("node").alias("n_"), "root")
+    named = pairs.withColumn("n_", 2 * F.col(truth)).join(roots, "n_", "left").withColumn("group", F.coalesce("root", "n_"))
+    return assigned(named.select("group", F.col(truth).cast("long").alias("a"), F.col(found).cast("long").alias("b"), "iou"), threshold).select("iou")
+
+
 def matching(volume: DataFrame, truth: str, found: str, threshold: float = 0.75) -> DataFrame:
-    """Instance matching at an overlap above one half, where no object has two partners; one row."""
-    if threshold <= 0.5:
-        raise ValueError("below an overlap of one half partners may be ambiguous")
+    """Instance matching of labels at an overlap, in one row; at one half or less by the best one-to-one assignment."""
     counts = volume.groupBy(truth, found).agg(F.count("*").alias("n"))
     pairs = overlaps(counts, truth, found).where((F.col(truth) != 0) & (F.col(found) != 0))
     sides = (
-        pairs.select(F.lit("p").alias("k"), F.when(F.col("iou") >= threshold, F.col("iou")).alias("iou"))
+        _matched(pairs, truth, found, threshold).select(F.lit("p").alias("k"), "iou")
         .union(counts.where(F.col(truth) != 0).select(truth).distinct().select(F.lit("t"), F.lit(None).cast("double")))
         .union(counts.where(F.col(found) != 0).select(found).distinct().select(F.lit("f"), F.lit(None).cast("double")))
     )

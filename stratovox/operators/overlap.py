@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratovox.operators.components import components
 from stratovox.operators.grid import running_before
+from stratovox.operators.labels import joined_by_label
 from stratovox.sources.volumes import AXES
 
 
@@ -19,7 +20,7 @@ def offsets(block_sizes: DataFrame, first: int = 1) -> DataFrame:
 def local_ids(rows: DataFrame, label: str) -> DataFrame:
     """Replace a label by its rank among the labels of the block (0 stays 0): a block's own ids, 1 to n."""
     ranks = rows.where(F.col(label) != 0).select("idx", label).distinct().withColumn("id", F.row_number().over(Window.partitionBy("idx").orderBy(label)).cast("long"))
-    return rows.join(ranks, ["idx", label], "left").select("idx", *AXES, F.coalesce("id", F.lit(0)).alias("id"))
+    return joined_by_label(rows, label, ranks, "idx").select("idx", *AXES, F.coalesce("id", F.lit(0)).alias("id"))
 
 
 def block_sizes(rows: DataFrame) -> DataFrame:
@@ -58,5 +59,5 @@ def representatives(pairs: DataFrame) -> DataFrame:
 
 def applied(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """The global volume: ids replaced by their representatives; where blocks overlap, the block of the greatest index decides."""
-    named = rows.join(reps, "id", "left").withColumn("id", F.coalesce("rep", "id"))
+    named = joined_by_label(rows, "id", reps.where("id <> 0")).withColumn("id", F.coalesce("rep", "id"))
     return named.groupBy(*AXES).agg(F.max_by("id", "idx").alias("id"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,31 +57,26 @@ def with_sizes(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     return joined.select(*edges.columns, F.least("size_u", "size_v").alias("min_size"), F.greatest("size_u", "size_v").alias("max_size"))
 
 
-def score(text: str, values: dict[str, Column]) -> Column:
-    """A score from text such as ``one_minus(max)``, ``multiply(square(mean), step(10,contact))``: names are statistics, numbers constants.
+_HUGE = 1.7976931348623157e308
 
-    Division by a value of at most 1e-300 gives the greatest double with the sign of the dividend.
-    """
-    tokens = re.findall(r"[A-Za-z_]\w*|-?\d+(?:\.\d+)?|[(),]", text)
-    huge = 1.7976931348623157e308
-    safe = lambda a, b: F.when(F.abs(b) > 1e-300, a / b).when(a >= 0, F.lit(huge)).otherwise(F.lit(-huge))
-    calls = {
-        "one_minus": lambda a: F.lit(1.0) - a, "invert": lambda a: safe(F.lit(1.0), a), "square": lambda a: a * a, "add": lambda a, b: a + b, "subtract": lambda a, b: a - b,
-        "multiply": lambda a, b: a * b, "divide": safe, "step": lambda a, b: F.when(a < b, F.lit(0.0)).otherwise(F.lit(1.0)),
-    }
-
-    def read(at: int) -> tuple[Column, int]:
-        token = tokens[at]
-        if at + 1 < len(tokens) and tokens[at + 1] == "(":
-            given, at = [], at + 2
-            while tokens[at] != ")":
-                value, at = read(at)
-                given.append(value)
-                at += tokens[at] == ","
-            return calls[token](*given), at + 1
-        return (values[token].cast("double") if token in values else F.lit(float(token))), at + 1
-
-    return read(0)[0]
+
+def divided(a: Column, b: Column) -> Column:
+    """a / b; where b is at most 1e-300 the greatest double with the sign of a."""
+    return F.when(F.abs(b) > 1e-300, a / b).when(a >= 0, F.lit(_HUGE)).otherwise(F.lit(-_HUGE))
+
+
+def inverted(a: Column) -> Column:
+    return divided(F.lit(1.0), a)
+
+
+def stepped(a: Column, b: Column) -> Column:
+    """0 below ``b``, 1 from there on. Other scores are plain arithmetic on the columns of statistics."""
+    return F.when(a < b, F.lit(0.0)).otherwise(F.lit(1.0))
+
+
+def random_score(seed: int) -> Column:
+    """The same number from 0 to 1 for the same edge and seed, whatever the order of rows."""
+    return F.pmod(F.xxhash64("u", "v", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
 def merged_below(edges: DataFrame, score_column: str, threshold: float) -> DataFrame:

@@ -65,8 +65,8 @@ def latent_divergence(spark, sf_dir):
     return rounded(table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", losses.divergence(*halves).alias("kl")), 6)
 
 
-@query("running_means", """select event_id, round(sum(value::double * (1 + user_id % 4)) over w / sum(1 + user_id % 4) over w, 4) as mean from events
+@query("running_means", """select event_id, round(sum(value::double * (1 + user_id % 4)) over w / sum(1 + user_id % 4) over w, 10) as mean from events
 window w as (partition by event_id // 100 order by event_id rows between unbounded preceding and current row)""", voxels=False)
 def running_means(spark, sf_dir):
     steps = table(spark, sf_dir, "events").select("event_id", F.col("value").cast("double").alias("value"), F.expr("1 + user_id % 4").alias("many"))
-    return rounded(losses.running_mean(steps, "event_id", "value", "many", 100), 4)
+    return rounded(losses.running_mean(steps, "event_id", "value", "many", 100), 10)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratovox.operators import labels, metrics, stencils
+from stratovox.operators import augment, crops, labels, metrics, stencils
 from stratovox.plans.metrics import _FOUND, rounded
 from stratovox.plans.registry import query
 from stratovox.sources.volumes import table, voxels
@@ -65,10 +65,10 @@ def mask_apply_channels(spark, sf_dir):
 select v.z, v.y, v.x, cast(case when t.z is null then 128 else floor(img * 255) end as integer) as v from voxels v left join t on t.z = v.z and t.r = v.y // 10 and t.c = v.x // 10 where v.y >= 3 and v.y < 17 and v.x >= 5 and v.x < 22""")
 def tile_to_volume(spark, sf_dir):
     """A box read from the tiles that it touches; what a missing tile would hold is background 128."""
-    v = voxels(spark, sf_dir).select("z", "y", "x", F.expr("cast(y div 10 as int)").alias("r"), F.expr("cast(x div 10 as int)").alias("c"), "img")
-    stored = v.where("(z + r + c) % 3 <> 0").select("z", "r", "c").distinct().withColumn("there", F.lit(True))
-    box = v.where("y >= 3 and y < 17 and x >= 5 and x < 22")
-    return box.join(stored, ["z", "r", "c"], "left").select("z", "y", "x", F.when(F.col("there"), F.floor(F.col("img") * 255)).otherwise(F.lit(128)).cast("int").alias("v"))
+    v = voxels(spark, sf_dir).select("z", "y", "x", F.floor(F.col("img") * 255).alias("v"))
+    tiles = v.select("z", F.expr("cast(y div 10 as int)").alias("r"), F.expr("cast(x div 10 as int)").alias("c")).distinct().where("(z + r + c) % 3 <> 0")
+    depth = v.agg(F.max("z") + 1).first()[0]
+    return augment.read_tiles(v, "v", tiles, (10, 10), (0, 3, 5), (depth, 17, 22))
 
 
 @query("paste_patch", """, p as (select z, cast(y + 4 as integer) as y, cast(x + 6 as integer) as x, seg from voxels where y < 8 and x < 8)
@@ -76,8 +76,7 @@ select v.z, v.y, v.x, case when coalesce(p.seg, 0) <> 0 then p.seg else v.seg en
 def paste_patch(spark, sf_dir):
     """A patch put over a volume; its background doesn't cover."""
     v = voxels(spark, sf_dir).select("z", "y", "x", "seg")
-    patch = v.where("y < 8 and x < 8").select("z", (F.col("y") + 4).alias("y"), (F.col("x") + 6).alias("x"), F.col("seg").alias("p"))
-    return v.join(patch, ["z", "y", "x"], "left").select("z", "y", "x", F.when(F.coalesce("p", F.lit(0)) != 0, F.col("p")).otherwise(F.col("seg")).alias("seg"))
+    return crops.pasted(v, v.where("y < 8 and x < 8"), "seg", (0, 4, 6))
 
 
 @query("foreground_windows", """select z // 2 as wz, y // 5 as wy, x // 5 as wx, count(*) filter (msk) as n, count(distinct seg) filter (msk) as kinds from voxels group by all
@@ -102,25 +101,47 @@ def relaxed_bboxes(spark, sf_dir):
 @query("intensity_augment", "select z, y, x, round(pow(least(greatest((img - 0.5::double) * 1.2::double + 0.55::double, 0), 1), 0.9::double), 9) as img from voxels")
 def intensity_augment(spark, sf_dir):
     """Contrast, brightness and gamma with fixed parameters."""
-    stretched = F.least(F.greatest((F.col("img") - 0.5) * 1.2 + 0.55, F.lit(0.0)), F.lit(1.0))
-    return rounded(voxels(spark, sf_dir).select("z", "y", "x", F.pow(stretched, F.lit(0.9)).alias("img")))
+    return rounded(voxels(spark, sf_dir).select("z", "y", "x", augment.intensity(F.col("img"), 1.2, 0.05, 0.9).alias("img")))
 
 
 @query("missing_sections", """, k as (select z, row_number() over (order by z) - 1 as nz from (select distinct z from voxels where z % 5 <> 3))
 select cast(nz as integer) as z, y, x, round(img, 9) as img from voxels join k using (z)""")
 def missing_sections(spark, sf_dir):
-    """Every fifth slice is lost and the others close up; ranks are taken over slices, of which there are few."""
-    v = voxels(spark, sf_dir)
-    kept = v.select("z").distinct().where("z % 5 <> 3").withColumn("nz", (F.row_number().over(Window.orderBy("z")) - 1).cast("int"))
-    return rounded(v.join(F.broadcast(kept), "z").select(F.col("nz").alias("z"), "y", "x", "img"))
+    """Every fifth slice is lost and the others close up."""
+    return rounded(augment.without_slices(voxels(spark, sf_dir).select("z", "y", "x", "img"), F.col("z") % 5 == 3))
 
 
 @query("slice_mean_fill", "select z, y, x, round(case when x - y between -1 and 1 then avg(img) over (partition by z) else img end, 9) as img from voxels")
 def slice_mean_fill(spark, sf_dir):
     """A band of each slice takes the slice's mean."""
-    v = voxels(spark, sf_dir)
-    means = v.groupBy("z").agg(F.avg("img").alias("m"))
-    return rounded(v.join(means, "z").select("z", "y", "x", F.when((F.col("x") - F.col("y")).between(-1, 1), F.col("m")).otherwise(F.col("img")).alias("img")))
+    return rounded(augment.filled_with_mean(voxels(spark, sf_dir), "img", (F.col("x") - F.col("y")).between(-1, 1)))
+
+
+@query("displaced_slices", """, n as (select z, cast(y + 2 as integer) as y, cast(x - 3 as integer) as x, seg from voxels where z >= 1 union all select z, y, x, seg from voxels where z < 1)
+select v.z, v.y, v.x, coalesce(n.seg, 0) as seg from voxels v left join n using (z, y, x)""")
+def displaced_slices(spark, sf_dir):
+    """From the second slice on everything lies two rows lower and three columns to the left."""
+    return augment.displaced_below(voxels(spark, sf_dir), "seg", 1, (2, -3))
+
+
+@query("blurred_slices", """, a as (select z, y, x, img, avg(img) over (partition by z, y order by x rows between 1 preceding and 1 following) as m from voxels),
+b as (select z, y, x, img, avg(m) over (partition by z, x order by y rows between 1 preceding and 1 following) as m from a) select z, y, x, round(case when z % 2 = 1 then m else img end, 9) as img from b""")
+def blurred_slices(spark, sf_dir):
+    return rounded(augment.blurred_slices(voxels(spark, sf_dir), "img", F.col("z") % 2 == 1))
+
+
+@query("cut_out_boxes", "select z, y, x, case when (z < 2 and y between 2 and 6 and x between 3 and 9) or (y >= 15 and x >= 20) then 0 else img end as img from voxels")
+def cut_out_boxes(spark, sf_dir):
+    boxes = [((0, 2, 3), (2, 7, 10)), ((0, 15, 20), (1 << 30, 20, 25))]
+    return augment.combined(voxels(spark, sf_dir), lambda v: augment.cut_out(v, "img", boxes))
+
+
+@query("chunk_bounds", """, s as (select max(z) + 1 as nz, 20 as ny, 25 as nx from voxels), c as (select unnest(range(0, 2 * 3 * 4)) as k)
+select cast(k as integer) as chunk, cast(floor((k // 12) / 3 * nz) as integer) as z1, cast(floor((k // 12 + 2) / 3 * nz) as integer) as z2, cast(floor((k // 4 % 3) / 4 * ny) as integer) as y1,
+cast(floor((k // 4 % 3 + 2) / 4 * ny) as integer) as y2, cast(floor((k % 4) / 5 * nx) as integer) as x1, cast(floor((k % 4 + 2) / 5 * nx) as integer) as x2 from c, s""")
+def chunk_bounds(spark, sf_dir):
+    """A tile data set's chunks that overlap by half."""
+    return augment.chunk_bounds(voxels(spark, sf_dir), (2, 3, 4), 2)
 
 
 @query("chunk_shards", """, c as (select distinct seg from voxels), n as (select *, row_number() over (order by seg) - 1 as i, count(*) over () as n from c)

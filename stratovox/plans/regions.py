@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratovox.operators import regions, stencils
+from stratovox.operators import augment, regions, stencils
 from stratovox.plans.metrics import rounded
 from stratovox.plans.registry import query
 from stratovox.sources.volumes import voxels
@@ -71,8 +71,8 @@ def rag_min_max_size(spark, sf_dir):
 select u, v, round((1 - mx) * (mean * mean) + case when contact < 20 then 0 else 1 end, 9) as score from e""")
 def rag_score_expression(spark, sf_dir):
     edges = regions.graph(_faces(spark, sf_dir), "max", "mean", "contact")
-    text = "add(multiply(one_minus(max), square(mean)), step(contact, 20))"
-    return rounded(edges.select("u", "v", regions.score(text, {c: F.col(c) for c in ("max", "mean", "contact")}).alias("score")))
+    score = (1 - F.col("max")) * F.col("mean") * F.col("mean") + regions.stepped(F.col("contact"), F.lit(20))
+    return rounded(edges.select("u", "v", score.alias("score")))
 
 
 @query("agglomerate_max_affinity", _FACES + """, g as (select u, v from f group by u, v having 1 - max(aff) < 0.0001::double), e as (select u as a, v as b from g union select v, u from g),
@@ -215,6 +215,5 @@ def blend_overlap_add(spark, sf_dir):
 @query("tta_reduce", """, t as (select z, y, x, img from voxels union all select z, 19 - y, x, img from voxels union all select z, y, 24 - x, img from voxels)
 select z, cast(y as integer) as y, cast(x as integer) as x, round(avg(img), 9) as mean, least(1, min(img)) as low, greatest(0, max(img)) as high from t group by all""")
 def tta_reduce(spark, sf_dir):
-    v = voxels(spark, sf_dir).select("z", "y", "x", "img")
-    turned = v.union(v.select("z", 19 - F.col("y"), "x", "img")).union(v.select("z", "y", 24 - F.col("x"), "img"))
-    return rounded(turned.groupBy("z", "y", "x").agg(F.avg("img").alias("mean"), F.least(F.lit(1.0), F.min("img")).alias("low"), F.greatest(F.lit(0.0), F.max("img")).alias("high")))
+    found = augment.merged_flips(voxels(spark, sf_dir), "img", [(), ("y",), ("x",)])
+    return rounded(found.select("z", "y", "x", "mean", F.least(F.lit(1.0), F.col("low")).alias("low"), F.greatest(F.lit(0.0), F.col("high")).alias("high")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,8 +57,24 @@ def test_shifted_square_has_no_match(spark):
     grid_ = spark.range(10_000).select(F.expr("cast(id div 100 as int) y"), F.expr("cast(id % 100 as int) x"))
     row = metrics.matching(grid_.select(inside.cast("long").alias("t"), moved.cast("long").alias("p")), "t", "p", 0.75).first()
     assert (row.tp, row.fp, row.fn, row.n_true, row.n_pred, row.f1) == (0, 1, 1, 1, 1, 0.0)
-    with pytest.raises(ValueError):
-        metrics.matching(grid_, "y", "x", 0.5)
+
+
+def test_matching_at_low_overlaps_is_the_best_assignment(spark):
+    from itertools import permutations
+
+    from stratovox.operators.kernels import best_assignment
+
+    r = random.Random(8)
+    for _ in range(60):
+        n, m = r.randrange(1, 5), r.randrange(1, 5)
+        gain = np.array([[r.random() for _ in range(m)] for _ in range(n)])
+        small, large = (gain, m) if n <= m else (gain.T, n)
+        best = max(sum(small[i, p] for i, p in enumerate(order)) for order in permutations(range(large), min(n, m)))
+        assert sum(gain[i, j] for i, j in best_assignment(gain)) == pytest.approx(best)
+    rows = [(1, 1)] * 4 + [(1, 2)] * 5 + [(2, 2)] * 3 + [(2, 3)] * 2 + [(0, 4)]
+    row = metrics.matching(spark.createDataFrame(rows, "t long, p long"), "t", "p", 0.3).first()
+    assert (row.tp, row.n_true, row.n_pred) == (2, 2, 4)
+    assert row.mean_matched_score == pytest.approx((4 / 9 + 2 / 5) / 2)
 
 
 def test_block_grid_of_a_small_volume(spark):
@@ -136,7 +153,8 @@ def test_island_is_removed(spark):
 
 
 def test_score_text(spark):
-    row = spark.range(1).select(regions.score("divide(1, 0)", {}).alias("a"), regions.score("step(1,2)", {}).alias("b"), regions.score("subtract(invert(4), square(0.5))", {}).alias("c")).first()
+    one = F.lit(1.0)
+    row = spark.range(1).select(regions.divided(one, F.lit(0.0)).alias("a"), regions.stepped(one, F.lit(2.0)).alias("b"), (regions.inverted(F.lit(4.0)) - 0.25).alias("c")).first()
     assert row.a > 1e308 and row.b == 0.0 and row.c == 0.0
 
 
