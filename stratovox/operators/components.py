@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from stratovox.plans.scratch import discard, saved
 
 HUBS = 1000
+#: Edges of a task, so that rounds over few edges don't pay for many empty tasks.
+EDGES = 250_000
 
 
 def _least(edges: DataFrame, low: F.Column) -> DataFrame:
@@ -20,9 +22,13 @@ def _least(edges: DataFrame, low: F.Column) -> DataFrame:
     return edges.groupBy("u").agg(F.min(low).alias("m"), F.count("*").alias("n"))
 
 
+def _tasks(edges: DataFrame, rows: int) -> int:
+    return max(edges.sparkSession.sparkContext.defaultParallelism, -(-rows // EDGES))
+
+
 def _joined(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
     """``u, v, m``: every edge with its node's minimum; ``rows``: the number of edges, or more."""
-    hubs = F.broadcast(least.where(F.col("n") * HUBS > rows).select("u", "m"))
+    hubs = F.broadcast(least.where(F.col("n") * HUBS > rows).select("u", "m").coalesce(_tasks(edges, rows)))
     few = least.where(F.col("n") * HUBS <= rows).select("u", "m")
     return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(few, "u"))
 
@@ -44,7 +50,7 @@ def _state(edges: DataFrame) -> tuple[int, bool]:
     """The number of edges, and whether every node has one lesser neighbour, which has none itself: then that is the least of the component."""
     ends = edges.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("down"), F.lit(1).alias("up")))
     nodes = ends.groupBy("u").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-    found = nodes.agg(F.sum("down").alias("n"), F.max("down").alias("most"), F.max(F.when(F.col("down") > 0, F.col("up"))).alias("path")).first()
+    found = nodes.coalesce(_tasks(edges, 0)).agg(F.sum("down").alias("n"), F.max("down").alias("most"), F.max(F.when(F.col("down") > 0, F.col("up"))).alias("path")).first()
     return found["n"] or 0, not found["n"] or (found["most"] == 1 and not found["path"])
 
 
@@ -63,9 +69,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         n, settled = _state(current)
         if settled:
             break
-        star = saved(_large_star(current, n), "edges")
+        star = saved(_large_star(current, n).coalesce(_tasks(current, n)), "edges")
         discard(current)
-        current = saved(_small_star(star, n).distinct(), "edges")
+        current = saved(_small_star(star, n).distinct().coalesce(_tasks(star, n)), "edges")
         discard(star)
     else:
         raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
