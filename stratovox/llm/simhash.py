@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratovox.llm.buckets import agreeing, bucket_links
 from stratovox.llm.common import LOWER, place_map, saved
 from stratovox.llm.forest import Forest, close_pairs, thinned
 from stratovox.llm.groups import linked_groups
@@ -29,12 +30,14 @@ SEED = 42
 #: Fingerprints in a tile at most (a tile is a binary value of eight bytes for each).
 TILE = 2048
 LANES = 4
-#: Bytes of a shingle sketch, and how many of them a candidate for verification must share. At a similarity of 0.8
-#: fewer than 7 of 16 are shared once in two thousand pairs.
-SKETCH, SHARED = 16, 7
+#: Minimum hashes of a sketch (16 bits each), those of a band, and how many of the first JUDGED a candidate pair must share
+#: in their low byte. At a similarity of 0.8 one pair in 600 shares no band, and one in 2,000 fewer than SHARED.
+SKETCH, BAND, JUDGED, SHARED = 48, 4, 32, 18
+#: Bits in which the SimHashes of a candidate pair may differ.
+WIDE = 22
 #: Documents of a group that one task compares with as many others at once.
 CHUNK = 512
-_MULTIPLIERS = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1) for k in range(SKETCH)]
+_ODD = np.random.default_rng(1).integers(0, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
 _BIAS = 16  # keeps a neighbour's lane count from borrowing from the next lane
 
 
@@ -93,70 +96,50 @@ def _neighbour_offsets(radius: int, lanes: int) -> list[int]:
     return out
 
 
-def _unpacked(data: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """(fingerprints, node ids, sketches) of a tile; without sketches the fingerprints are the ids."""
-    if not wide:
-        fps = np.frombuffer(data, np.int64)
-        return fps.view(np.uint64), fps, None
-    n = len(data) // (16 + SKETCH)
-    numbers = np.frombuffer(data, np.int64, 2 * n)
-    return numbers[:n].view(np.uint64), numbers[n:], np.frombuffer(data, np.uint8, offset=16 * n).reshape(n, SKETCH)
-
-
 def _tiles(nodes: DataFrame, lanes: int) -> DataFrame:
-    """``(key, first, data)``: nodes of one key, packed; equal ranges of the sorted table go to each task."""
-    wide = "sketch" in nodes.columns
-
-    def packed(key: int, rows: pa.Table) -> tuple:
-        fps = rows.column("fp").to_numpy()
-        data = fps.tobytes()
-        if wide:
-            data += rows.column("id").to_numpy().tobytes() + b"".join(rows.column("sketch").to_pylist())
-        return key, int(fps[0]), data
+    """``(key, first, data)``: fingerprints of one key, packed; equal ranges of the sorted table go to each task."""
 
     def pack(batches):
-        held: list[pa.RecordBatch] = []
+        held: list[np.ndarray] = []
         key = None
 
         def flush():
             if held:
-                table = pa.Table.from_batches(held)
+                fps = np.concatenate(held)
                 held.clear()
-                for i in range(0, len(table), TILE):
-                    yield packed(key, table.slice(i, TILE))
+                for i in range(0, len(fps), TILE):
+                    yield key, int(fps[i]), fps[i : i + TILE].tobytes()
 
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], names=["key", "first", "data"])
 
         for batch in batches:
-            keys = batch.column(0).to_numpy()
+            keys, fps = (c.to_numpy() for c in batch.columns)
             cuts = [0, *(np.nonzero(np.diff(keys))[0] + 1).tolist(), len(keys)]
             rows = []
             for i, j in zip(cuts, cuts[1:]):
                 if i == j:
                     continue
-                if key is not None and (keys[i] != key or sum(b.num_rows for b in held) >= TILE):
+                if key is not None and (keys[i] != key or sum(map(len, held)) >= TILE):
                     rows += flush()
                 key = int(keys[i])
-                held.append(batch.slice(i, j - i))
+                held.append(fps[i:j])
             if rows:
                 yield batch_of(rows)
         if held:
             yield batch_of(list(flush()))
 
-    columns = ["fp", "id", "sketch"] if wide else ["fp"]
-    ranged = nodes.select(_lane_key(F.col("fp"), lanes).alias("key"), *columns).repartitionByRange("key", *columns[:2]).sortWithinPartitions("key", "fp")
+    ranged = nodes.select(_lane_key(F.col("fp"), lanes).alias("key"), "fp").repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
     return ranged.mapInArrow(pack, "key int, first long, data binary")
 
 
 def fingerprint_links(nodes: DataFrame, radius: int = 3) -> DataFrame:
-    """``(a, b)``: links between nodes within ``radius``, a spanning forest from each task.
+    """``(a, b)``: links between distinct fingerprints (column ``fp``) within ``radius``, a spanning forest from each task.
 
-    ``nodes``: distinct fingerprints ``fp``, which then name the nodes; or ``fp, id, sketch`` with a node's own id and
-    its shingle sketch, of which linked nodes must share SHARED bytes. The forest has the components of all links;
-    a group of k mutually close fingerprints gives at most k rows a task instead of k squared.
+    The forest has the components of all links; a group of k mutually close fingerprints gives at most k rows a task
+    instead of k squared.
     """
-    wide, lanes = "sketch" in nodes.columns, LANES if radius <= 3 else 1
+    lanes = LANES if radius <= 3 else 1
     tiles = saved(_tiles(nodes, lanes).withColumn("tile", F.monotonically_increasing_id()), "tiles")
     left = tiles.select("tile", "data", "key", F.explode(F.array(*map(F.lit, _neighbour_offsets(radius, lanes)))).alias("o"))
     left = left.select("tile", "data", "o", (F.col("key") + F.col("o")).cast("int").alias("key"))
@@ -167,12 +150,9 @@ def fingerprint_links(nodes: DataFrame, radius: int = 3) -> DataFrame:
         forest = Forest()
         for batch in batches:
             for same, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                (a, ids_a, sketch_a), (b, ids_b, sketch_b) = _unpacked(a, wide), _unpacked(b, wide)
-                both = ids_a if same else np.concatenate([ids_a, ids_b])
+                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = (a if same else np.concatenate([a, b])).view(np.int64)
                 for x, y in close_pairs(a, b, radius, same):
-                    if wide:
-                        like = (sketch_a[x] == sketch_b[y]).sum(axis=1) >= SHARED
-                        x, y = x[like], y[like]
                     x, y = thinned(x, y if same else y + len(a), len(both))
                     for u, v in zip(both[x].tolist(), both[y].tolist()):
                         forest.join(u, v)
@@ -201,11 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """One byte of each of SKETCH minimum hashes; two texts share a byte with about the probability of their similarity."""
-    if not len(shingles):
-        return bytes(SKETCH)
-    low = np.array([((shingles * m) ^ ((shingles * m) >> np.uint64(31))).min() for m in _MULTIPLIERS], np.uint64)
-    return (low >> np.uint64(7)).astype(np.uint8).tobytes()
+    """16 bits of each of SKETCH minimum hashes; two texts share one with about the probability of their similarity."""
+    low = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 1 << 12):
+        part = shingles[None, i : i + (1 << 12)] * _ODD[:, None]
+        low = np.minimum(low, (part ^ part >> np.uint64(31)).min(axis=1))
+    return (low >> np.uint64(7)).astype(np.uint16).tobytes()
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, print_words: int, words_each: int) -> DataFrame:
@@ -223,6 +204,37 @@ def described(docs: DataFrame, id_col: str, text_col: str, print_words: int, wor
     return rows.mapInArrow(scan, "doc long, id long, fp long, sketch binary")
 
 
+def _candidate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pairs of rows (a SimHash, then the judged bytes of a sketch) that are worth a comparison of their shingle sets."""
+    close = np.bitwise_count(a[..., 0] ^ b[..., 0]) <= WIDE
+    if close.any():
+        at = np.nonzero(close)
+        a, b = np.broadcast_arrays(a, b)
+        close[at] = agreeing(a[at][..., 1:], b[at][..., 1:]) >= SHARED
+    return close
+
+
+def candidate_links(nodes: DataFrame) -> DataFrame:
+    """``(a, b)``: links of nodes (``id, fp, sketch``) that share a band of their sketch, are within WIDE bits and share SHARED bytes.
+
+    Within a band SimHashes are compared as in :func:`fingerprint_links`: by exclusive-or, in blocks by population count.
+    """
+    words = ["fp", *(f"w{k}" for k in range(JUDGED // 8))]
+
+    def spread(batches):
+        for batch in batches:
+            if batch.num_rows:
+                low = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, SKETCH)
+                judged = np.ascontiguousarray((low[:, :JUDGED] & 0xFF).astype(np.uint8)).view(np.int64)
+                columns, bands = [*batch.columns[:2], *(pa.array(c) for c in judged.T)], low.view(np.uint64).reshape(-1, SKETCH // BAND)
+                for k in range(bands.shape[1]):
+                    key = (bands[:, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *columns], names=["key", "id", *words])
+
+    keyed = nodes.select("id", "fp", "sketch").mapInArrow(spread, "key long, id long, " + ", ".join(w + " long" for w in words))
+    return bucket_links([keyed], words, _candidate, lambda data: np.bitwise_count(data[:, 0]).astype(np.float64), lambda ones: ones + WIDE)
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words_each: int) -> DataFrame:
     """``wanted`` (columns doc and id, and others) with the sorted shingle hashes of each text."""
     shipped, place = place_map(wanted.select(F.col("doc").alias("a"), F.col("id").alias("b")))
@@ -248,36 +260,41 @@ def similar_sets(similarity: float):
         sets = [np.asarray(x.values) for x in run.column("shingles")]
         sizes = np.array([len(x) for x in sets])
 
-        def linked(i: int, later: np.ndarray):
-            small, large = np.minimum(sizes[later], sizes[i]), np.maximum(sizes[later], sizes[i])
-            near = later[small >= similarity * large]
-            own = set(sets[i].tolist()) if len(near) else set()
-            for j in near.tolist():
-                shared = len(own.intersection(sets[j].tolist()))
-                if shared >= similarity * (sizes[i] + sizes[j] - shared):
-                    yield j
+        def near(i: int, later: np.ndarray):
+            ratio = np.minimum(sizes[later], sizes[i]) / np.maximum(1, np.maximum(sizes[later], sizes[i]))
+            close = ratio >= similarity if sizes[i] else sizes[later] == 0
+            return later[close], ratio[close]
 
-        return linked
+        held: dict[int, set] = {}
+
+        def test(i: int, j: int) -> bool:
+            if i not in held:
+                if len(held) > 64:
+                    held.clear()
+                held[i] = set(sets[i].tolist())
+            shared = len(held[i].intersection(sets[j].tolist()))
+            return shared >= similarity * (sizes[i] + sizes[j] - shared)
+
+        return near, test
 
     return opened
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, similarity: float = 0.8,
-                   print_words: int = 3, radius: int = 22) -> DataFrame:
+                   print_words: int = 3) -> DataFrame:
     """``(doc, id, keeper_doc, keeper_id)`` for every distinct id and text: the document of its group that stays.
 
-    Texts are linked if the Jaccard similarity of their word shingles is at least ``similarity``. Candidates are within
-    ``radius`` bits by SimHashes that are compared tile by tile as in :func:`near_duplicates`; they
-    must also share part of a 16-byte shingle sketch, and each link is verified on the whole shingle sets. The one
-    that stays is the least document id of a group. Rows with a null id take no part.
+    Texts are linked if the Jaccard similarity of their word shingles is at least ``similarity``. Candidates share a band of
+    a shingle sketch, where their SimHashes are compared (:func:`candidate_links`); each link is verified on the whole
+    shingle sets. The one that stays is the least document id of a group. Rows with a null id take no part.
     """
     found = saved(described(docs, id_col, text_col, print_words, words_each), "prints")
     nodes = found.groupBy("id").agg(F.min("doc").alias("doc"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"))
     nodes = saved(nodes, "nodes")
-    roots = components(fingerprint_links(nodes.select("fp", "id", "sketch"), radius)).withColumnRenamed("node", "id").withColumnRenamed("root", "g")
+    roots = components(candidate_links(nodes)).withColumnRenamed("node", "id").withColumnRenamed("root", "g")
     sizes = roots.select("g").union(roots.select("g").distinct()).groupBy("g").agg(F.count("*").alias("n"))
     members = roots.union(roots.select(F.col("g").alias("id"), "g").distinct())
-    wanted = saved(nodes.select("id", "doc", "fp").join(members, "id").join(sizes, "g"), "groups")
+    wanted = saved(nodes.select("id", "doc").join(members, "id").join(sizes, "g"), "groups")
     rows = saved(shingle_sets(docs, wanted, id_col, text_col, words_each), "shingles")
     linked = linked_groups(rows, similar_sets(similarity), ["shingles"], CHUNK)
     rooted = nodes.select("id", "doc").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -287,13 +304,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group of :func:`similar_groups`; all columns stay, rows with a null id stay."""
+    """``docs`` with one document of each group of :func:`similar_groups`; all columns stay, rows with a null id stay.
+
+    Rows that share an id are documents of their own if their texts differ; of rows that repeat id and text one stays.
+    """
     groups = similar_groups(docs, id_col, text_col, **options)
     lost = groups.where((F.col("doc") != F.col("keeper_doc")) | (F.col("id") != F.col("keeper_id"))).select(F.col("doc").alias("lost_doc"), F.col("id").alias("lost_id"))
     columns = [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
-    place, at = f"c{docs.columns.index(text_col)}", f"c{docs.columns.index(id_col)}"
-    rows = docs.select(*columns)
-    text = F.coalesce(rows[place].cast("string"), F.lit(""))
-    left = rows.join(lost, (rows[at].cast("long") == F.col("lost_doc")) & (F.xxhash64(text) == F.col("lost_id")), "left_anti")
-    once = left.where(rows[at].isNotNull()).dropDuplicates([at]).unionByName(left.where(rows[at].isNull()))
+    at = f"c{docs.columns.index(id_col)}"
+    rows = docs.select(*columns, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("hash_"))
+    left = rows.join(lost, (rows[at].cast("long") == F.col("lost_doc")) & (F.col("hash_") == F.col("lost_id")), "left_anti")
+    once = left.where(rows[at].isNotNull()).dropDuplicates([at, "hash_"]).unionByName(left.where(rows[at].isNull()))
     return once.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
