@@ -13,70 +13,105 @@ from stratovox.plans import catalog
 from tests.test_operators import as_dict, volume
 
 
-def plain_merging(faces, rule, thresholds):
-    """Merge by scanning all edges for the least stored score; statistics from the faces themselves."""
-    groups = defaultdict(list)
-    for u, v, a in faces:
-        groups[u, v].append([a])
-    score = {e: rule.score(merging.first_statistics(sum(parts, []), rule)) for e, parts in groups.items()}
-    groups = {e: [sum(parts, [])] for e, parts in groups.items()}
-    stale, rep, out = set(), {}, []
-
-    def rescored(parts):
-        found = merging.first_statistics(parts[0], rule)
-        for p in parts[1:]:
-            found.add(merging.first_statistics(p, rule), rule.keep)
-        return rule.score(found)
-
+def plain_score(name, first):
+    """The score of an edge from the affinities of each first edge it is made of."""
+    every, greatest = sorted(a for part in first for a in part), sorted(max(part) for part in first)
+    if name in ("min", "max", "mean", "contact"):
+        return {"min": 1 - every[0], "max": 1 - every[-1], "mean": 1 - sum(every) / len(every), "contact": 1 / len(every)}[name]
+    if name.startswith("max"):
+        best = every[-int(name[3:]) :]
+        return 1 - sum(best) / len(best)
+    quantile, bins = (int(x) for x in name.replace("aff", "").replace("_his", " ").split()) if "his" in name else (int(name[3:]), 0)
+    at = greatest[min(quantile * len(greatest) // 100, len(greatest) - 1)]
+    return 1 - ((min(int(at * bins), bins - 1) + 0.5) / bins if bins else at)
+
+
+def plain_merging(name, first, thresholds):
+    """All live edges are scanned for the least stored score; of two parallel edges the cheaper one lives on, with the score that was stored for it,
+    which is made true when it comes up. Regions, history and live edges after each threshold."""
+    edges = [{"ends": set(ends), "first": [part], "stored": plain_score(name, [part]), "true": True} for ends, part in sorted(first.items())]
+    merged, history, out = {}, [], []
     for t in thresholds:
-        while score:
-            e = min(score, key=lambda k: (score[k], k))
-            if score[e] >= t:
-                break
-            if e in stale:
-                score[e] = rescored(groups[e])
-                stale.discard(e)
+        while edges and min(e["stored"] for e in edges) < t:
+            e = min(edges, key=lambda x: x["stored"])
+            if not e["true"]:
+                e["stored"], e["true"] = plain_score(name, e["first"]), True
                 continue
-            u, v = e
-            rep[v] = u
-            del score[e], groups[e]
-            for w in {x for k in list(groups) if v in k for x in k} - {v}:
-                old, new = (min(v, w), max(v, w)), (min(u, w), max(u, w))
-                parts = groups.pop(old)
-                was = score.pop(old)
-                if new in groups:
-                    groups[new] = groups[new] + parts
-                    stale.add(new)
-                else:
-                    groups[new], score[new] = parts, rescored(parts)
-                stale.discard(old)
-                del was
-        out.append(dict(rep))
+            u, v = sorted(e["ends"])
+            history.append((u, v, e["stored"]))
+            merged[v] = u
+            edges.remove(e)
+            for other in [x for x in edges if v in x["ends"]]:
+                ends = other["ends"] - {v} | {u}
+                twin = next((x for x in edges if x["ends"] == ends), None)
+                other["ends"] = ends
+                if twin:
+                    cheap, dear = (twin, other) if other["stored"] > twin["stored"] else (other, twin)
+                    cheap["first"] += dear["first"]
+                    cheap["true"] = False
+                    edges.remove(dear)
+        true = [(*sorted(e["ends"]), plain_score(name, e["first"])) for e in edges]
+        out.append((dict(merged), list(history), sorted(x for x in true if x[2] >= t)))
     return out
 
 
-@pytest.mark.parametrize("name", ["min", "max", "mean", "max3", "aff50_his256", "aff85_his0", "aff50"])
-def test_merging_equals_a_plain_loop(name):
-    r = random.Random(len(name))
-    faces = [(u, v, round(r.random(), 6)) for u in range(14) for v in range(u + 1, 14) if r.random() < 0.4 for _ in range(r.randrange(1, 9))]
-    rule = merging.scorer(name)
-    by_edge = defaultdict(list)
-    for u, v, a in faces:
-        by_edge[u, v].append(a)
-    run = merging.Merging({e: merging.first_statistics(a, rule) for e, a in by_edge.items()}, rule)
-    thresholds, got = [0.2, 0.4, 0.6, 0.8], []
-    for t in thresholds:
-        run.until(t)
-        got.append({x: run.find(x) for x in run.rep})
-    want = plain_merging(faces, rule, thresholds)
+def root(rep, x):
+    while x in rep:
+        x = rep[x]
+    return x
+
 
-    def root(rep, x):
-        while x in rep:
-            x = rep[x]
-        return x
+NAMES = ["min", "max", "mean", "max3", "max10", "aff50_his256", "aff85_his0", "aff50"]
 
-    assert got == [{x: root(rep, x) for x in rep} for rep in want]
-    assert all(s >= 0.8 or (u, v) for u, v, s in run.graph())
+
+def random_edges(seed, regions=14, distinct=True):
+    """Affinities of each first edge; as multiples of 2**-20, sums are exact, and all are distinct."""
+    r = random.Random(seed)
+    pool = iter(r.sample(range(1 << 20), 4000))
+    return {(u, v): [next(pool) / (1 << 20) for _ in range(r.randrange(1, 7))] for u in range(1, regions) for v in range(u + 1, regions) if r.random() < 0.45}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_merging_equals_a_plain_loop(name):
+    for seed in range(60):
+        first, rule, thresholds = random_edges(seed), merging.scorer(name), [0.2, 0.4, 0.6, 0.8]
+        run = merging.Merging({e: merging.first_statistics(a, rule) for e, a in first.items()}, rule)
+        for t, (merged, history, live) in zip(thresholds, plain_merging(name, first, thresholds)):
+            run.until(t)
+            assert {x: run.find(x) for x in run.rep} == {x: root(merged, x) for x in merged}
+            assert [h[:2] for h in run.history] == [h[:2] for h in history] and [h[2] for h in run.history] == pytest.approx([h[2] for h in history])
+            assert [e[:2] for e in run.graph()] == [e[:2] for e in live] and [e[2] for e in run.graph()] == pytest.approx([e[2] for e in live])
+
+
+def test_the_dearer_edge_goes_into_the_cheaper_one():
+    """The survivor holds the dearer one of two edges that become parallel."""
+    rule = merging.scorer("max")
+    run = merging.Merging({e: merging.first_statistics([a], rule) for e, a in {(1, 2): 0.95, (1, 3): 0.2, (2, 3): 0.9}.items()}, rule)
+    run.until(0.5)
+    assert {x: run.find(x) for x in (1, 2, 3)} == {1: 1, 2: 1, 3: 1} and run.graph() == []
+
+
+def test_histograms_of_all_faces():
+    rule = merging.scorer("aff50_his10", from_greatest=False)
+    assert rule.score(merging.first_statistics([0.11, 0.12, 0.13, 0.95], rule)) == pytest.approx(1 - 0.15)
+    assert merging.scorer("aff50_his10").score(merging.first_statistics([0.11, 0.12, 0.13, 0.95], merging.scorer("aff50_his10"))) == pytest.approx(1 - 0.95)
+
+
+@pytest.mark.parametrize("name, from_greatest", [("max", True), ("max3", True), ("aff50_his16", True), ("aff50_his16", False), ("mean", True)])
+def test_edges_of_blocks_are_summed_up_before_they_are_merged(spark, name, from_greatest):
+    rule = merging.scorer(name, from_greatest)
+    rows = [(b, u, v, a) for b in (3, 4) for (u, v), part in random_edges(b).items() for a in part]
+    faces = spark.createDataFrame(rows, "block long, u long, v long, aff double")
+    got = {b: {} for b in (3, 4)}
+    for r in merging.agglomerated(faces, [0.45], name, from_greatest).collect():
+        got[r.block][r.id] = r.rep
+    for b in (3, 4):
+        run = merging.Merging({e: merging.first_statistics(a, rule) for e, a in random_edges(b).items()}, rule)
+        run.until(0.45)
+        assert got[b] == {x: run.find(x) for x in run.rep}
+    left = merging.remaining_graph(faces, 0.45, name, from_greatest).where("block = 4").orderBy("u", "v").collect()
+    assert [(r.u, r.v) for r in left] == [(u, v) for u, v, _ in run.graph()]
+    assert merging.merge_history(faces, 0.45, name, from_greatest).where("block = 4").count() == len(run.history)
 
 
 def test_short_names():
@@ -194,19 +229,24 @@ def test_one_to_one_pairs_equal_a_plain_loop(spark, data):
 def test_agglomeration_of_blocks_equals_plain_loops(spark, data):
     from stratovox.plans.decoders import _block_faces
 
-    faces = defaultdict(list)
+    faces = defaultdict(lambda: defaultdict(list))
     for r in _block_faces(spark, data).collect():
-        faces[r.block].append((r.u, r.v, r.aff))
+        faces[r.block][r.u, r.v].append(r.aff)
     got = {(r.block, r.threshold, r.id): r.rep for r in catalog.QUERIES["agglomerate_thresholds"](spark, data).collect()}
-    rule, n = merging.scorer("aff50_his256"), Counter()
+    quantile = {(r.block, r.id): r.rep for r in catalog.QUERIES["agglomerate_quantile"](spark, data).collect()}
+    history = defaultdict(list)
+    for r in catalog.QUERIES["agglomerate_history"](spark, data).orderBy("block", "step").collect():
+        history[r.block].append((r.kept, r.gone))
+    graph = defaultdict(dict)
+    for r in catalog.QUERIES["agglomerate_graph"](spark, data).collect():
+        graph[r.block][r.u, r.v] = r.score
+    n = Counter()
     for block in sorted(faces)[:3]:
-        for t, rep in zip([0.5, 0.7, 0.9], plain_merging(faces[block], rule, [0.5, 0.7, 0.9])):
-            want = {}
-            for x in rep:
-                y = x
-                while y in rep:
-                    y = rep[y]
-                want[x] = y
-            assert {i: v for (b, s, i), v in got.items() if b == block and s == t} == want
-            n[t] += len(want)
+        for t, (rep, _, _) in zip([0.5, 0.7, 0.9], plain_merging("aff50_his256", faces[block], [0.5, 0.7, 0.9])):
+            assert {i: v for (b, s, i), v in got.items() if b == block and s == t} == {x: root(rep, x) for x in rep}
+            n[t] += len(rep)
+        rep = plain_merging("aff85_his0", faces[block], [0.8])[0][0]
+        assert {i: v for (b, i), v in quantile.items() if b == block} == {x: root(rep, x) for x in rep}
+        assert history[block] == [h[:2] for h in plain_merging("max10", faces[block], [0.7])[0][1]]
+        assert graph[block] == pytest.approx({(u, v): s for u, v, s in plain_merging("min", faces[block], [0.7])[0][2]})
     assert sum(n.values())
