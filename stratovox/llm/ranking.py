@@ -1,6 +1,6 @@
 """Ranked lexical search: an inverted index in shards, searched by Block-Max MaxScore.
 
-A shard is some 16 MB of text, indexed by the task that reads it, so documents aren't shuffled. A term's list in a
+A shard is some 8 MB of text, indexed by the task that reads it, so documents aren't shuffled. A term's list in a
 shard is cut into blocks of 128 documents, compressed, each with its greatest impact (a document's score for the
 term before the term's weight). Searching ships only the blocks of the queries' terms, by shard. In a shard:
 
@@ -37,7 +37,7 @@ from stratovox.llm.decontaminate import NORMAL, words_of
 from stratovox.llm.words import Words, slices, split_words
 
 BLOCK = 128
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Text of the queries of one pass, in bytes: their terms are broadcast; more queries are searched in several passes.
 QUERY_BYTES = 4 << 20
 #: Documents of a shard's first window; each next one is twice as long.

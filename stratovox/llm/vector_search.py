@@ -93,9 +93,9 @@ class Slices:
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             which.append(np.repeat(self.begin[c] + negative[c] * (len(self.maps) // 2), n) + step)
             place.append(step + digit)
-        if not which:
+        which, place = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (which, place))
+        if not len(which):  # nothing to add: the block's rows are all equal, or the query is zero
             return [], constant
-        which, place = np.concatenate(which), np.concatenate(place)
         order = np.argsort(place, kind="stable")
         return np.split(which[order], np.searchsorted(place[order], np.arange(1, int(place.max()) + 1))), constant
 

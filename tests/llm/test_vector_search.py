@@ -56,6 +56,12 @@ def test_empty_tables(spark):
     assert run(spark, [(0, [0.5, 0.25])]) == []
 
 
+def test_blocks_of_equal_vectors_and_zero_queries(spark):
+    rows = [(i, [0.5, -0.25]) for i in range(120)] + [(200, [0.0, 0.0])]
+    assert run(spark, rows[:120]) == brute(rows[:120])
+    assert run(spark, rows, block=16) == brute(rows)
+
+
 def test_too_large_components_are_an_error(spark):
     with pytest.raises(Exception, match="too large"):
         run(spark, [(0, [1e9]), (1, [0.1])])
