@@ -25,8 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratovox.operators.components import components
+from stratovox.operators.labels import renamed
 from stratovox.operators.merging import Merging, Statistics, scorer
+from stratovox.operators.regions import faces
+from stratovox.operators.watershed import affinity_watershed
 from stratovox.plans.scratch import saved
+from stratovox.sources.volumes import AXES
 
 #: Edges of a component that one task may hold.
 LIMIT = 200_000
@@ -37,9 +41,9 @@ WORTH = 0.02
 SCORES = {"max": lambda: 1 - F.col("high"), "min": lambda: 1 - F.col("low"), "mean": lambda: 1 - F.col("total") / F.col("faces")}
 
 
-def region_edges(faces: DataFrame) -> DataFrame:
+def region_edges(touching: DataFrame) -> DataFrame:
     """``u, v, low, high, total, faces`` of each two touching regions, from ``u, v, aff``."""
-    kept = faces.where(F.col("u") != F.col("v")).where(F.col("aff").isNotNull())
+    kept = touching.where(F.col("u") != F.col("v")).where(F.col("aff").isNotNull())
     ends = kept.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.col("aff").cast("double").alias("aff"))
     return ends.groupBy("u", "v").agg(F.min("aff").alias("low"), F.max("aff").alias("high"), F.sum("aff").alias("total"), F.count("*").alias("faces"))
 
@@ -124,3 +128,14 @@ def agglomerated(edges: DataFrame, threshold: float, how: str = "mean", limit: i
                 return _composed(done, step)
         done, edges = saved(_composed(done, step), "names"), saved(relabelled(edges, step), "edges")
     return done
+
+
+def segmented_volume(volume: DataFrame, affinities: dict[str, str], threshold: float, how: str = "mean", low: float = 0.0, high: float = 1.0, size: tuple[int, int] | None = None) -> DataFrame:
+    """``z, y, x, id``: the whole volume cut into basins of its affinities, which are merged up to ``threshold``; 0 where no affinity is above ``low``.
+
+    Ids are the least linear index (plus 1) of a basin that the region holds; nothing is cut at borders of blocks.
+    """
+    basins = saved(affinity_watershed(volume, affinities, low, high, size), "basins")
+    rows = basins.join(volume.select(*AXES, *set(affinities.values())), list(AXES))
+    merges = agglomerated(region_edges(faces(rows, "basin", affinities)), threshold, how)
+    return renamed(basins, "basin", merges).withColumnRenamed("basin", "id")
