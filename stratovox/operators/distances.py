@@ -147,8 +147,8 @@ def object_energy(volume: DataFrame, label: str, spacing: tuple[float, float, fl
 
 def side_distances(volume: DataFrame, a: Column, b: Column, spacing: tuple[float, float, float], far: float = 200.0) -> DataFrame:
     """How far two sets of voxels are from each other: ``side`` (0: from ``a`` to the nearest of ``b``; 1: the other way), ``mean, std, most, median, n`` and how
-    many are farther than ``far``. A side without voxels, or without an opposite, gives no row."""
-    rows, out = saved(volume.select(*AXES, a.alias("a_"), b.alias("b_")), "sides"), []
+    many are farther than ``far``. Voxels without a row are in neither set. A side without voxels, or without an opposite, gives no row."""
+    rows, out = saved(dense(volume.select(*AXES, *(F.coalesce(c, F.lit(False)).alias(n) for c, n in ((a, "a_"), (b, "b_"))))), "sides"), []
     for side, (own, other) in enumerate((("a_", "b_"), ("b_", "a_"))):
         outside = F.when(F.col(other), F.lit(0)).otherwise(F.lit(1))
         found = distance_transform(rows, outside, spacing).join(rows.where(own).select(*AXES), list(AXES)).where("distance >= 0")
