@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratovox.operators.grid import running_before, shape
 from stratovox.operators.volumes import flipped
-from stratovox.sources.volumes import AXES
+from stratovox.sources.volumes import AXES, dense
 
 
 def intensity(value: Column, contrast: float = 1.0, brightness: float = 0.0, gamma: float = 1.0, invert: bool = False) -> Column:
@@ -26,7 +26,8 @@ def without_slices(volume: DataFrame, lost: Column) -> DataFrame:
 
 
 def filled_with_mean(volume: DataFrame, value: str, where: Column) -> DataFrame:
-    """Where a condition holds the value is its slice's mean."""
+    """Where a condition holds the value is its slice's mean; voxels without a row are 0."""
+    volume = dense(volume.select(*AXES, *(c for c in volume.columns if c not in AXES)))
     means = volume.groupBy("z").agg(F.avg(value).alias("mean_"))
     return volume.join(means, "z").select(*AXES, F.when(where, F.col("mean_")).otherwise(F.col(value)).alias(value))
 
@@ -40,10 +41,10 @@ def displaced_below(volume: DataFrame, value: str, first: int, by: tuple[int, in
 
 
 def blurred_slices(volume: DataFrame, value: str, which: Column, reach: int = 1) -> DataFrame:
-    """Chosen slices lose their focus: the value is the mean over ``reach`` voxels to each side along x, then along y."""
+    """Chosen slices lose their focus: the value is the mean over ``reach`` voxels to each side along x, then along y; voxels without a row are 0."""
     from pyspark.sql import Window
 
-    out = volume.select(*AXES, F.col(value).alias("own_"), F.col(value).alias(value))
+    out = dense(volume.select(*AXES, value)).select(*AXES, F.col(value).alias("own_"), F.col(value).alias(value))
     for a in ("x", "y"):
         line = Window.partitionBy(*(b for b in AXES if b != a)).orderBy(a).rangeBetween(-reach, reach)
         out = out.withColumn(value, F.avg(value).over(line))

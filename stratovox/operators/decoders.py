@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from stratovox.operators import labels, stencils
 from stratovox.operators.components import components
-from stratovox.operators.kernels import block_array, flooded, squared_distances
+from stratovox.operators.grid import running_before
+from stratovox.operators.kernels import Grid, block_array, flooded, squared_distances
 from stratovox.operators.targets import half_ball
 from stratovox.sources.volumes import AXES, dense
 
@@ -87,29 +88,6 @@ def in_slices(rows: DataFrame, axis: str) -> DataFrame:
     return indexed.join(roots, "index_", "left").select(*AXES, F.coalesce("root", "index_").alias("component"))
 
 
-def nearest_sides(volume: DataFrame, one: Column, two: Column, resolution: tuple[float, float, float], cell: float) -> DataFrame:
-    """``side, mean, most, n, far``: distances of each side's set voxels to the nearest set voxel of the other side, and how many exceed ``cell``.
-
-    Both meet in a grid of cells of that size and their neighbours, so distances up to ``cell`` are exact; those without a partner there
-    count as ``cell``.
-    """
-    place = [F.col(a) * F.lit(float(r)) for a, r in zip(AXES, resolution)]
-    points = volume.select(*(p.alias(f"c{a}") for p, a in zip(place, AXES)), one.alias("one"), two.alias("two"))
-    out = None
-    for side, own, other in ((0, "one", "two"), (1, "two", "one")):
-        asked = points.where(own).select(*(f"c{a}" for a in AXES), F.monotonically_increasing_id().alias("q")).select("*", *(F.floor(F.col(f"c{a}") / cell).alias(f"g{a}") for a in AXES))
-        asked = labels.saved(asked, "asked")
-        near = points.where(other).select(*(F.col(f"c{a}").alias(f"o{a}") for a in AXES), *(F.floor(F.col(f"c{a}") / cell).alias(f"g{a}") for a in AXES))
-        for a in AXES:
-            near = near.withColumn(f"g{a}", F.explode(F.array(*(F.col(f"g{a}") + d for d in (-1, 0, 1)))))
-        met = asked.join(near, [f"g{a}" for a in AXES], "left")
-        distance = F.sqrt(sum(((F.col(f"c{a}") - F.col(f"o{a}")) * (F.col(f"c{a}") - F.col(f"o{a}")) for a in AXES), F.lit(0.0)))
-        best = met.groupBy("q").agg(F.coalesce(F.min(distance), F.lit(float("inf"))).alias("d"))
-        found = best.agg(F.lit(side).alias("side"), F.avg(F.least("d", F.lit(cell))).alias("mean"), F.max(F.least("d", F.lit(cell))).alias("most"), F.count("*").alias("n"), F.count(F.when(F.col("d") > cell, 1)).alias("far"))
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
 def peaks(inside: np.ndarray, spacing: tuple[float, ...]) -> np.ndarray:
     """Seeds of a mask: places whose distance to the outside is greatest among their neighbours; touching ones are one seed, numbered in order."""
     found = squared_distances(~inside, spacing)
@@ -156,14 +134,14 @@ def numbered_by(found: np.ndarray, mask: np.ndarray, seeds: np.ndarray) -> np.nd
     return np.isin(parts, held[held > 0])
 
 
-def watershed_instances(rows: DataFrame, score: str, contour: str | None, seed_above: float, mask_above: float, contour_below: float, smallest_seed: int) -> DataFrame:
+def watershed_instances(rows: DataFrame, score: str, contour: str | None, seed_above: float, mask_above: float, contour_below: float, smallest_seed: int, grid: Grid | None = None) -> DataFrame:
     """``block, z, y, x, id``: each block's foreground (``score`` above ``mask_above``) flooded over ``-score`` from the components of seeds: scores
     above ``seed_above`` where the contour is below ``contour_below``; seeds of fewer voxels than ``smallest_seed`` are dropped."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        value, place = block_array(block, score, 0.0)
+        value, place = block_array(block, score, 0.0, grid)
         seeds = value > seed_above
         if contour is not None:
-            seeds &= block_array(block, contour, 0.0)[0] < contour_below
+            seeds &= block_array(block, contour, 0.0, grid)[0] < contour_below
         marks = numbered(seeds)
         size = np.bincount(marks.ravel())
         marks[size[marks] < smallest_seed] = 0
@@ -173,15 +151,19 @@ def watershed_instances(rows: DataFrame, score: str, contour: str | None, seed_a
     return rows.groupBy("block").applyInPandas(run, "block long, z int, y int, x int, id long")
 
 
-def split_object(rows: DataFrame, label: str, index: int, spacing: tuple[float, float, float], first_new: int) -> DataFrame:
-    """``block, z, y, x, label`` of blocks that hold an object: the object ``index`` is cut into the basins of its distance's peaks; the first
-    keeps the id, others count on from ``first_new``."""
+def split_object(rows: DataFrame, label: str, index: int, spacing: tuple[float, float, float], first_new: int, grid: Grid | None = None) -> DataFrame:
+    """``block, z, y, x, label`` of all blocks: the object ``index`` is cut, in each block, into the basins of its distance's peaks; the first
+    keeps the id, others count on from ``first_new``, block by block, so that no two blocks give one id."""
+
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        value, place = block_array(block, label, 0)
+        value, place = block_array(block, label, 0, grid)
         inside = value == index
         marks = peaks(inside, spacing)
         basins = flooded_in_mask(-squared_distances(~inside, spacing), marks, inside)
-        out = np.where(inside & (basins > 1), first_new + basins - 2, value)
-        return block[["block", *AXES]].assign(**{label: out[place]})
+        return block[["block", *AXES, label]].assign(part_=np.where(inside, basins, 0)[place])
 
-    return rows.groupBy("block").applyInPandas(run, f"block long, z int, y int, x int, {label} long")
+    parts = labels.saved(rows.groupBy("block").applyInPandas(run, f"block long, z int, y int, x int, {label} long, part_ long"), "parts")
+    more = parts.groupBy("block").agg(F.greatest(F.max("part_") - 1, F.lit(0)).alias("n_"))
+    before = running_before(more, "block", "n_", "before_").select("block", "before_")
+    new = F.when(F.col("part_") > 1, first_new + F.col("before_") + F.col("part_") - 2).otherwise(F.col(label))
+    return parts.join(before, "block").select("block", *AXES, new.cast("long").alias(label))

@@ -7,12 +7,14 @@ joined by the overlap merge.
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratovox.operators.distances import lower_envelope
 from stratovox.sources.volumes import AXES
 
 
@@ -66,9 +68,9 @@ def squared_distances(outside: np.ndarray, spacing: tuple[float, ...]) -> np.nda
     """Squared distance of each cell to the nearest set cell of ``outside``, axis by axis; infinite if there is none."""
     out = np.where(outside, 0.0, np.inf)
     for axis, step in enumerate(spacing):
-        n = out.shape[axis]
-        gaps = (np.subtract.outer(np.arange(n), np.arange(n)) * step) ** 2
-        out = np.moveaxis((np.moveaxis(out, axis, -1)[..., None, :] + gaps).min(-1), -1, axis)
+        turned = np.moveaxis(out, axis, -1)
+        found = lower_envelope(turned.reshape(-1, turned.shape[-1]), step).reshape(turned.shape)
+        out = np.moveaxis(found, -1, axis)
     return out
 
 
@@ -91,18 +93,34 @@ def flooded(height: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_array(rows: pd.DataFrame, value: str, fill: float) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    place = tuple((rows[a] - rows[a].min()).to_numpy() for a in AXES)
-    out = np.full([p.max() + 1 for p in place], fill, rows[value].dtype)
+@dataclass(frozen=True)
+class Grid:
+    """The grid that blocks without overlap were cut from: the size of a block, and of the volume."""
+
+    block: tuple[int, int, int]
+    shape: tuple[int, int, int]
+
+
+def block_array(rows: pd.DataFrame, value: str, fill: float, grid: Grid | None = None) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """A block's values as an array and the rows' places in it; missing rows are ``fill``. With a grid the array is the whole block, else the bounding
+    box of its rows."""
+    first = [int(rows[a].min()) for a in AXES]
+    if grid is None:
+        size = [int(rows[a].max()) - k + 1 for a, k in zip(AXES, first)]
+    else:
+        first = [k // b * b for k, b in zip(first, grid.block)]
+        size = [min(b, n - k) for k, b, n in zip(first, grid.block, grid.shape)]
+    place = tuple((rows[a] - k).to_numpy() for a, k in zip(AXES, first))
+    out = np.full(size, fill, rows[value].dtype)
     out[place] = rows[value].to_numpy()
     return out, place
 
 
-def watershed_blocks(rows: DataFrame, value: str, spacing: int = 4) -> DataFrame:
+def watershed_blocks(rows: DataFrame, value: str, spacing: int = 4, grid: Grid | None = None) -> DataFrame:
     """``block, z, y, x, id``: each block's slices flooded from a grid of seeds over ``1 - value``; ids go on from slice to slice."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        height, place = block_array(block, value, 0.0)
+        height, place = block_array(block, value, 0.0, grid)
         seeds = np.zeros(height.shape, np.int64)
         seeds[:, ::spacing, ::spacing] = 1
         seeds[seeds > 0] = np.arange(1, int(seeds.sum()) + 1)
@@ -112,11 +130,24 @@ def watershed_blocks(rows: DataFrame, value: str, spacing: int = 4) -> DataFrame
     return rows.groupBy("block").applyInPandas(run, "block long, z int, y int, x int, id long")
 
 
-def distance_blocks(rows: DataFrame, mask: str, spacing: tuple[float, float, float]) -> DataFrame:
-    """``block, z, y, x, distance`` of masked cells to the nearest unmasked cell of the block (0 if unmasked; -1 if there is none)."""
+def flooded_blocks(rows: DataFrame, height: str, seed: str, grid: Grid | None = None) -> DataFrame:
+    """``block, z, y, x, id``: each block flooded over ``height`` from the seeds it holds (``seed`` above 0), such as those of
+    :mod:`stratovox.operators.seeds`; 0 in a block without seeds. Voxels without a row are as high as the greatest number."""
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        level, place = block_array(block, height, np.finfo(np.float64).max, grid)
+        found = flooded(level, block_array(block, seed, 0, grid)[0])
+        return block[["block", *AXES]].assign(id=found[place])
+
+    return rows.withColumn(height, F.col(height).cast("double")).withColumn(seed, F.coalesce(F.col(seed).cast("long"), F.lit(0))).groupBy("block").applyInPandas(run, "block long, z int, y int, x int, id long")
+
+
+def distance_blocks(rows: DataFrame, mask: str, spacing: tuple[float, float, float], grid: Grid | None = None) -> DataFrame:
+    """``block, z, y, x, distance`` of masked cells to the nearest unmasked cell of the block (0 if unmasked; -1 if there is none); with a grid, cells
+    without a row are unmasked. :func:`stratovox.operators.distances.distance_transform` doesn't stop at borders of blocks."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        inside, place = block_array(block, mask, 0)
+        inside, place = block_array(block, mask, 0, grid)
         found = np.sqrt(squared_distances(inside == 0, spacing))
         return block[["block", *AXES]].assign(distance=np.where(np.isfinite(found), found, -1.0)[place])
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratovox.operators.kernels import block_array, flooded
+from stratovox.operators.kernels import Grid, block_array, flooded
 from stratovox.operators.stencils import before
 from stratovox.sources.volumes import AXES
 
@@ -239,12 +239,12 @@ def quantile_of_values(rows: DataFrame, keys: list[str], value: str, quantile: i
     return ranked.where(F.col("r_") == F.least(F.expr(f"({quantile} * n_) div 100"), F.col("n_") - 1)).select(*keys, F.col(value).alias("quantile"))
 
 
-def fragments(rows: DataFrame, affinities: tuple[str, str], spacing: int) -> DataFrame:
+def fragments(rows: DataFrame, affinities: tuple[str, str], spacing: int, grid: Grid | None = None) -> DataFrame:
     """The rows with ``fragment``: each slice of a block flooded from a grid of seeds over one minus the mean affinity in the slice; numbers go on
     from slice to slice."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        mean, place = block_array(block.assign(m_=(block[affinities[0]] + block[affinities[1]]) / 2), "m_", 0.0)
+        mean, place = block_array(block.assign(m_=(block[affinities[0]] + block[affinities[1]]) / 2), "m_", 0.0, grid)
         seeds = np.zeros(mean.shape, np.int64)
         seeds[:, ::spacing, ::spacing] = 1
         seeds[seeds > 0] = np.arange(1, int(seeds.sum()) + 1)
@@ -255,7 +255,7 @@ def fragments(rows: DataFrame, affinities: tuple[str, str], spacing: int) -> Dat
     return rows.groupBy("block").applyInPandas(run, f"{fields}, fragment long")
 
 
-def segmented_blocks(rows: DataFrame, affinities: dict[str, str], threshold: float, name: str = "aff50_his256", spacing: int = 4) -> DataFrame:
+def segmented_blocks(rows: DataFrame, affinities: dict[str, str], threshold: float, name: str = "aff50_his256", spacing: int = 4, grid: Grid | None = None) -> DataFrame:
     """``block, z, y, x, id``: every block cut into fragments, which are merged up to ``threshold``: the segmentation stage of a volume.
 
     ``rows``: ``block, z, y, x`` and an affinity column for each axis. Ids are fragments' numbers, so blocks are put together by the
@@ -263,6 +263,6 @@ def segmented_blocks(rows: DataFrame, affinities: dict[str, str], threshold: flo
     """
     from stratovox.plans.scratch import saved
 
-    cut = saved(fragments(rows, (affinities["y"], affinities["x"]), spacing), "fragments")
+    cut = saved(fragments(rows, (affinities["y"], affinities["x"]), spacing, grid), "fragments")
     table = agglomerated(block_faces(cut, "fragment", affinities), [threshold], name).select("block", F.col("id").alias("fragment"), "rep")
     return cut.join(table, ["block", "fragment"], "left").select("block", *AXES, F.coalesce("rep", "fragment").alias("id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,14 @@ def _coarse(volume: DataFrame, factor: tuple[int, int, int]) -> list[Column]:
     return [F.expr(f"cast({a} div {f} as int)").alias(a) for a, f in zip(AXES, factor)]
 
 
-def downsampled_mean(volume: DataFrame, value: str, factor: tuple[int, int, int]) -> DataFrame:
-    return volume.groupBy(*_coarse(volume, factor)).agg(F.avg(value).alias(value))
+def downsampled_mean(volume: DataFrame, value: str, factor: tuple[int, int, int], size: tuple[int, int, int] | None = None) -> DataFrame:
+    """The mean of each cell's voxels, those without a row counted as 0; cells at the volume's end hold what is left of it. ``size``: the volume's, by
+    default from its greatest coordinates."""
+    sums = volume.groupBy(*_coarse(volume, factor)).agg(F.sum(value).alias(value))
+    ends = F.broadcast(shape(volume)) if size is None else None
+    rows = sums.join(ends) if ends is not None else sums.select("*", *(F.lit(n).alias(f"n{a}") for a, n in zip(AXES, size)))
+    voxels = reduce(lambda p, q: p * q, (F.least(F.lit(f), F.col(f"n{a}") - F.col(a) * f) for a, f in zip(AXES, factor)))
+    return rows.select(*AXES, (F.col(value) / voxels).alias(value))
 
 
 def downsampled_mode(volume: DataFrame, label: str, factor: tuple[int, int, int]) -> DataFrame:

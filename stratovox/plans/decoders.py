@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratovox.operators import decoders, grid, merging
+from stratovox.operators import decoders, distances, grid, merging
 from stratovox.plans.holes import _CORNERS, _reach
 from stratovox.plans.metrics import rounded
 from stratovox.plans.regions import _FACES as _EDGES
@@ -39,7 +39,7 @@ def small_to_neighbours(spark, sf_dir):
     return decoders.given_to_neighbours(v, "l", 40)
 
 
-_SYN = """, p as (select z, y, x, img > 0.97::double as a, img < 0.003::double as b from voxels), u as (select z, y, x, a, b, a or b as e from p),
+_SYN = """, p as (select z, y, x, seg % 149 = 3 and x % 2 = 0 as a, seg % 149 = 3 and x % 2 = 1 as b from voxels), u as (select z, y, x, a, b, a or b as e from p),
 g as (select distinct z, y + dy as y, x + dx as x from u, (select unnest(range(-1, 2)) as dy) k, (select unnest(range(-1, 2)) as dx) m where e and y + dy between 0 and 19 and x + dx between 0 and 24),
 t as (select z, y, x, 1 as l from g)""" + _reach("t", _CORNERS) + """, n as (select z, y, x, dense_rank() over (order by component) as n from c join w using (i))
 select u.z, u.y, u.x, cast(case when b then 2 * n when a then 2 * n - 1 else 0 end as bigint) as id from u left join n using (z, y, x)"""
@@ -48,7 +48,8 @@ select u.z, u.y, u.x, cast(case when b then 2 * n when a then 2 * n - 1 else 0 e
 @query("synapse_instances", _SYN)
 def synapse_instances(spark, sf_dir):
     v = voxels(spark, sf_dir)
-    a, b = F.col("img") > 0.97, F.col("img") < 0.003
+    some = F.col("seg") % 149 == 3  # few enough voxels that the SQL's components stay small
+    a, b = some & (F.col("x") % 2 == 0), some & (F.col("x") % 2 == 1)
     return decoders.paired_synapses(v, a, b, a | b, reach=1)
 
 
@@ -62,9 +63,10 @@ def small_in_slices(spark, sf_dir):
 @query("side_distances", """, p as (select z * 3::double as z, y, x, img > 0.98::double as a, img < 0.01::double as b from voxels where img > 0.98::double or img < 0.01::double),
 d as (select 0 as side, p.z, p.y, p.x, min(sqrt((p.z - q.z) * (p.z - q.z) + (p.y - q.y) * (p.y - q.y) + (p.x - q.x) * (p.x - q.x))) as d from p, p q where p.a and q.b group by all
  union all select 1, p.z, p.y, p.x, min(sqrt((p.z - q.z) * (p.z - q.z) + (p.y - q.y) * (p.y - q.y) + (p.x - q.x) * (p.x - q.x))) from p, p q where p.b and q.a group by all)
-select cast(side as integer) as side, round(avg(least(d, 8)), 9) as mean, round(max(least(d, 8)), 9) as most, count(*) as n, count(*) filter (d > 8) as far from d group by side""")
+select cast(side as integer) as side, round(avg(d), 9) as mean, round(max(d), 9) as most, count(*) as n, count(*) filter (d > 8) as far from d group by side""")
 def side_distances(spark, sf_dir):
-    return rounded(decoders.nearest_sides(voxels(spark, sf_dir), F.col("img") > 0.98, F.col("img") < 0.01, (3, 1, 1), 8.0))
+    found = distances.side_distances(voxels(spark, sf_dir), F.col("img") > 0.98, F.col("img") < 0.01, (3.0, 1.0, 1.0), 8.0)
+    return rounded(found.select("side", "mean", "most", "n", "far"))
 
 
 @query("watershed_instances")

@@ -178,6 +178,57 @@ def test_split_covers_the_object(spark):
         assert decoders.numbered(np.array([[got.get((0, y, x)) == label for x in range(8)] for y in range(5)])).max() == 1
 
 
+def test_split_objects_of_blocks_get_ids_of_their_own(spark):
+    """Two blocks of which each is cut in two, one without rows for its background, and one that lacks the object."""
+    bars = [(b, 0, y, x + 8 * b, 7) for b in range(2) for y in range(5) for x in range(7) if y != 2 or x == 3] + [(2, 0, 0, 16, 5)]
+    frame = spark.createDataFrame(bars, "block long, z int, y int, x int, l long")
+    found = decoders.split_object(frame, "l", 7, (1.0, 1.0, 1.0), 50, kernels.Grid((1, 5, 8), (1, 5, 24))).collect()
+    ids = [{r.l for r in found if r.block == b} - {7} for b in range(2)]
+    assert len(found) == len(bars) and ids[0] and ids[1] and not ids[0] & ids[1]
+    assert sorted(ids[0] | ids[1]) == list(range(50, 50 + len(ids[0] | ids[1]))) and {r.l for r in found if r.block == 2} == {5}
+
+
+def test_blocks_with_missing_background(spark):
+    """A bar whose background has no rows; the grid tells where the block ends."""
+    frame = spark.createDataFrame([(0, 0, 2, x, 1) for x in range(6)], "block long, z int, y int, x int, m int")
+    grid = kernels.Grid((1, 4, 6), (1, 4, 6))
+    assert {r.distance for r in kernels.distance_blocks(frame, "m", (1.0, 1.0, 1.0), grid).collect()} == {1.0}
+    assert {r.distance for r in kernels.distance_blocks(frame, "m", (1.0, 1.0, 1.0)).collect()} == {-1.0}
+
+
+def test_contours_keep_seeds_apart(spark):
+    score = [0.9, 0.9, 0.8, 0.9, 0.9]
+    rows = [(0, 0, 0, x, s, 0.9 if x == 2 else 0.1) for x, s in enumerate(score)]
+    frame = spark.createDataFrame(rows, "block long, z int, y int, x int, p double, c double")
+    one = as_dict(decoders.watershed_instances(frame, "p", None, 0.7, 0.5, 0.0, 1), "id")
+    two = as_dict(decoders.watershed_instances(frame, "p", "c", 0.7, 0.5, 0.5, 1), "id")
+    assert [one[0, 0, x] for x in range(5)] == [1] * 5
+    assert [two[0, 0, x] for x in (0, 1, 3, 4)] == [1, 1, 2, 2] and two[0, 0, 2] in (1, 2)
+
+
+def test_flooding_takes_seeds_of_extrema(spark):
+    from stratovox.operators import seeds
+
+    height = [3.0, 1.0, 2.0, 5.0, 4.0, 0.0, 0.0, 6.0]
+    frame = spark.createDataFrame([(0, 0, 0, x, h) for x, h in enumerate(height)], "block long, z int, y int, x int, h double")
+    found = frame.join(seeds.regional_extrema(frame, "h"), ["z", "y", "x"], "left")
+    got = as_dict(kernels.flooded_blocks(found, "h", "seed"), "id")
+    assert [got[0, 0, x] for x in range(8)] == [2, 2, 2, got[0, 0, 3], 6, 6, 6, 6] and got[0, 0, 3] in (2, 6)
+
+
+def test_means_count_missing_voxels(spark):
+    from pyspark.sql import functions as F
+
+    from stratovox.operators import augment, volumes
+
+    frame = spark.createDataFrame([(0, 0, 0, 1.0), (0, 1, 4, 1.0), (0, 0, 2, 1.0)], "z int, y int, x int, v double")
+    got = as_dict(volumes.downsampled_mean(frame, "v", (2, 2, 2)), "v")
+    assert got == {(0, 0, 0): 0.25, (0, 0, 1): 0.25, (0, 0, 2): 0.5}
+    assert as_dict(volumes.downsampled_mean(frame, "v", (2, 2, 2), (2, 2, 6)), "v")[0, 0, 2] == 0.125
+    assert as_dict(augment.filled_with_mean(frame, "v", F.col("x") == 1), "v")[0, 0, 1] == pytest.approx(0.3)
+    assert as_dict(augment.blurred_slices(frame, "v", F.lit(True)), "v")[0, 0, 1] == pytest.approx((2 / 3 + 0) / 2)
+
+
 def test_small_parts_of_slices(spark):
     r = random.Random(4)
     values = [[[r.choice([0, 1, 1, 2]) for _ in range(5)] for _ in range(4)] for _ in range(3)]
