@@ -54,7 +54,7 @@ def paired_synapses(volume: DataFrame, sender: Column, receiver: Column, either:
     voxels (by faces) are dropped. Where both sides meet the receiving side wins.
     """
     rows = dense(volume.select(*AXES, (sender & either).cast("int").alias("pre"), (receiver & either).cast("int").alias("post"), either.cast("int").alias("any_")))
-    grown = stencils.box(rows, "any_", (0, reach, reach), "max", "grown").select(*AXES, "grown")
+    grown = stencils.box(rows, "any_", (0, reach, reach), "max", "grown", filled=True).select(*AXES, "grown")
     whole = labels.compacted(fully_connected(grown, "grown"), "component").withColumnRenamed("component", "n_")
     out = rows.join(whole, list(AXES), "left")
     for side in ("pre", "post"):

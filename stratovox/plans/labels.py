@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratovox.operators import labels, volumes
 from stratovox.operators.grid import running_before
 from stratovox.plans.metrics import rounded
-from stratovox.plans.registry import query
+from stratovox.plans.registry import components_sql, query
 from stratovox.sources.volumes import colour_ids, grid_of_name, one_channel, region, table, voxels
 
 
@@ -66,14 +66,16 @@ def remove_large(spark, sf_dir):
     return labels.size_filtered(voxels(spark, sf_dir), "seg", largest=70)
 
 
-@query("grid_connected_components")
+@query("grid_connected_components", ", a as (select z, y, x, z * 500 + y * 25 + x + 1 as i, case when msk then 1 + seg % 2 else 0 end as l from voxels), w as (select * from a where l <> 0)" + components_sql("w")
+       + " select z, y, x, coalesce(low, 0) as component from a left join reach using (i)")
 def grid_connected_components(spark, sf_dir):
     """Face-connected components of two classes inside the mask; a test compares them with a flood fill."""
     v = voxels(spark, sf_dir).select("z", "y", "x", F.when(F.col("msk"), 1 + F.col("seg") % 2).otherwise(F.lit(0)).alias("l"))
     return labels.grid_components(v, "l")
 
 
-@query("binary_connected")
+@query("binary_connected", ", a as (select z, y, x, z * 500 + y * 25 + x + 1 as i, 1 as l, img > 0.4::double as fg from voxels), w as (select * from a where fg)" + components_sql("w")
+       + ", k as (select low from reach group by low having count(*) >= 10) select z, y, x, coalesce(k.low, 0) as component from a left join reach using (i) left join k on k.low = reach.low")
 def binary_connected(spark, sf_dir):
     """Foreground above a threshold, its face-connected components, and those of at least ten voxels."""
     v = voxels(spark, sf_dir).select("z", "y", "x", (F.col("img") > 0.4).cast("long").alias("l"))

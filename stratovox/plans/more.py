@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from stratovox.operators import augment, crops, labels, metrics, stencils
 from stratovox.plans.metrics import _FOUND, rounded
-from stratovox.plans.registry import query
+from stratovox.plans.regions import _boxed
+from stratovox.plans.registry import components_sql, query
 from stratovox.sources.volumes import table, voxels
 
 
@@ -156,11 +157,18 @@ def chunk_shards(spark, sf_dir):
     return ranked.select("seg", F.least(F.expr("i div size"), F.lit(3)).cast("int").alias("shard"))
 
 
-@query("bc_connected")
+_EDGES = ", ed as (select z, y, x, img, cast(" + " or ".join(f"coalesce(lag(gt) over ({w}), gt) <> coalesce(lead(gt) over ({w}), gt)" for w in ("partition by z, x order by y", "partition by z, y order by x")) + " as integer) as v from voxels)"
+_CONTOUR, _CONTOURED = _boxed("max", "v", "ed", (0, 1, 1))
+_GROWN, _GROWN_LAST = _boxed("max", "c", "co", (0, 1, 1))
+_BC = _EDGES + _CONTOUR + f""", a as (select z, y, x, z * 500 + y * 25 + x + 1 as i, 1 as l, ed.img > 0.1::double and t.v = 0 as fg from ed join {_CONTOURED} t using (z, y, x)),
+w as (select * from a where fg)""" + components_sql("w", "ne") + ", co as (select z, y, x, coalesce(low, 0) as c from a left join reach using (i))" + _GROWN
+
+
+@query("bc_connected", _BC + f", s as (select c from {_GROWN_LAST} where c <> 0 group by c having count(*) >= 5) select z, y, x, coalesce(s.c, 0) as label from {_GROWN_LAST} left join s using (c)")
 def bc_connected(spark, sf_dir):
-    """Objects of foreground without contour, connected by faces, grown by one voxel in the slice; a test checks the parts."""
+    """Objects of foreground without contour, connected by faces, grown by one voxel in the slice, and of five voxels at least."""
     v = voxels(spark, sf_dir)
-    edge = stencils.boundaries(v, "gt", 1)
+    edge = stencils.boundaries(v, "gt", 1, filled=True)
     inner = v.join(edge, ["z", "y", "x"]).select("z", "y", "x", ((F.col("img") > 0.1) & (F.col("boundary") == 0)).cast("long").alias("l"))
     grown = stencils.box(labels.grid_components(inner, "l"), "component", (0, 1, 1), "max", "label").select("z", "y", "x", "label")
     return labels.size_filtered(grown, "label", smallest=5)

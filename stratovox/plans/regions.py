@@ -97,7 +97,7 @@ def _ninths(spark, sf_dir):
 
 @query("affinity_v0", _S + "select z, y, x, " + _AFF([f"coalesce({x}, s)" for x in _lags()]) + " from v")
 def affinity_v0(spark, sf_dir):
-    return stencils.affinities(_ninths(spark, sf_dir), "s")
+    return stencils.affinities(_ninths(spark, sf_dir), "s", filled=True)
 
 
 _FIRST = [f"coalesce({x}, first_value(s) over (partition by {', '.join(b for b in 'zyx' if b != a)} order by {a}))" for a, x in zip("zyx", _lags((2, 3, 4)))]
@@ -105,12 +105,12 @@ _FIRST = [f"coalesce({x}, first_value(s) over (partition by {', '.join(b for b i
 
 @query("affinity_v1", _S + "select z, y, x, " + _AFF(_FIRST) + " from v")
 def affinity_v1(spark, sf_dir):
-    return stencils.clamped_affinities(_ninths(spark, sf_dir), "s", (2, 3, 4))
+    return stencils.clamped_affinities(_ninths(spark, sf_dir), "s", (2, 3, 4), filled=True)
 
 
 @query("affinity_v2", _S + "select z, y, x, " + ", ".join(f"cast(coalesce({b} = {c} and {b} > 0, false) as integer) as aff_{a}" for a, b, c in zip("zyx", _lags(), _lags(f="lead"))) + " from v")
 def affinity_v2(spark, sf_dir):
-    return stencils.central_affinities(_ninths(spark, sf_dir), "s", (1, 1, 1))
+    return stencils.central_affinities(_ninths(spark, sf_dir), "s", (1, 1, 1), filled=True)
 
 
 _OFFSETS = [(-1, 0, 0), (0, -1, 0), (0, 0, -1), (0, -3, -3)]
@@ -119,12 +119,12 @@ _OFFSETS = [(-1, 0, 0), (0, -1, 0), (0, 0, -1), (0, -3, -3)]
 @query("affinity_offsets", _S + """, o(edge, oz, oy, ox) as (values (0, -1, 0, 0), (1, 0, -1, 0), (2, 0, 0, -1), (3, 0, -3, -3))
 select edge, n.z, n.y, n.x, cast(n.s = f.s and n.s > 0 as integer) as aff from v n, o, v f where f.z = n.z + oz and f.y = n.y + oy and f.x = n.x + ox""")
 def affinity_offsets(spark, sf_dir):
-    return stencils.offset_affinities(_ninths(spark, sf_dir), "s", _OFFSETS)
+    return stencils.offset_affinities(_ninths(spark, sf_dir), "s", _OFFSETS, filled=True)
 
 
 @query("boundary_from_affinity", _S + ", a as (select z, y, x, " + _AFF([f"coalesce({x}, s)" for x in _lags()]) + " from v) select z, y, x, round(1 - (aff_z + aff_y + aff_x) / 3::double, 9) as boundary from a")
 def boundary_from_affinity(spark, sf_dir):
-    aff = stencils.affinities(_ninths(spark, sf_dir), "s")
+    aff = stencils.affinities(_ninths(spark, sf_dir), "s", filled=True)
     return rounded(aff.select("z", "y", "x", (1 - (F.col("aff_z") + F.col("aff_y") + F.col("aff_x")) / F.lit(3.0)).alias("boundary")))
 
 
@@ -145,7 +145,7 @@ _B, _L = _boxed("max", "v", "e", (0, 1, 1))
 
 @query("instance_boundary", _EDGE + _B + f" select z, y, x, v as boundary from {_L}")
 def instance_boundary(spark, sf_dir):
-    return stencils.boundaries(voxels(spark, sf_dir), "gt", 1)
+    return stencils.boundaries(voxels(spark, sf_dir), "gt", 1, filled=True)
 
 
 _W = ", w as (select z, y, x, gt, gt as lo, gt as hi from voxels)"
@@ -155,7 +155,7 @@ _W2, _WH = _boxed("max", "hi", _WL, (0, 1, 1))
 
 @query("widen_border", _W + _W1 + _W2 + f" select z, y, x, case when lo < hi then 0 else gt end as gt from {_WH}")
 def widen_border(spark, sf_dir):
-    return stencils.widened_border(voxels(spark, sf_dir), "gt", 1)
+    return stencils.widened_border(voxels(spark, sf_dir), "gt", 1, filled=True)
 
 
 _D, _DL = _boxed("max", "s", "v", (0, 2, 2))
@@ -163,7 +163,7 @@ _D, _DL = _boxed("max", "s", "v", (0, 2, 2))
 
 @query("dilate_label", _S + _D + f" select z, y, x, s as label from {_DL}")
 def dilate_label(spark, sf_dir):
-    return stencils.box(_ninths(spark, sf_dir), "s", (0, 2, 2), "max", "label").select("z", "y", "x", "label")
+    return stencils.box(_ninths(spark, sf_dir), "s", (0, 2, 2), "max", "label", filled=True).select("z", "y", "x", "label")
 
 
 _M = ", m as (select z, y, x, cast(msk as integer) as n, cast(msk as integer) as g from voxels)"
@@ -174,7 +174,7 @@ _M2, _MH = _boxed("max", "g", _ML, (1, 1, 1))
 @query("erode_dilate", _M + _M1 + _M2 + f" select z, y, x, cast(n = 27 as integer) as eroded, g as dilated from {_MH}")
 def erode_dilate(spark, sf_dir):
     mask = voxels(spark, sf_dir).select("z", "y", "x", F.col("msk").cast("int").alias("m"))
-    both = stencils.box(stencils.eroded(mask, "m", (1, 1, 1), "eroded"), "m", (1, 1, 1), "max", "dilated")
+    both = stencils.box(stencils.eroded(mask, "m", (1, 1, 1), "eroded", filled=True), "m", (1, 1, 1), "max", "dilated", filled=True)
     return both.select("z", "y", "x", "eroded", "dilated")
 
 
@@ -184,7 +184,7 @@ _J1, _JL = _boxed("sum", "n", "j", (1, 1, 1))
 
 @query("majority_filter", _J + _J1 + f" select z, y, x, n * 2 > 27 as kept from {_JL}")
 def majority_filter(spark, sf_dir):
-    return stencils.majority(voxels(spark, sf_dir), F.col("img") > 0.3, (1, 1, 1))
+    return stencils.majority(voxels(spark, sf_dir), F.col("img") > 0.3, (1, 1, 1), filled=True)
 
 
 _V = ", a0 as (select z, y, x, cast(msk as integer) as n, 1 as c from voxels)"
