@@ -12,7 +12,7 @@ from stratovox.plans.metrics import rounded
 from stratovox.plans.registry import query
 from stratovox.plans.scratch import scratch
 from stratovox.sources.volumes import table, voxels
-from stratovox.streaming import incremental
+from stratovox.streaming import incremental, numbering
 
 
 @query("incremental_contingency", "select seg, gt, count(*) as n from voxels where seg <> 0 and gt <> 0 group by all")
@@ -47,6 +47,18 @@ def resumed_offsets(spark, sf_dir):
     return incremental.resumed_offsets(sizes, sizes.where("idx % 4 = 0"))
 
 
+@query("streamed_block_offsets", merge._LOCAL + """ select 'v' as volume, idx, cast(coalesce(sum(max_id) over (order by idx rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset", max_id from mx""")
+def streamed_block_offsets(spark, sf_dir):
+    """Offsets of blocks that arrive in two runs of one stream, the first ones twice: as if all had been numbered at once."""
+    sizes = overlap.block_sizes(merge._labelled(spark, sf_dir)).select(F.lit("v").alias("volume"), "idx", "max_id")
+    source, out = scratch(spark, "arriving"), scratch(spark, "offsets")
+    middle = sizes.agg(F.expr("max(idx) div 2").alias("m")).first()["m"]
+    for part in (sizes.where(F.col("idx") <= middle), sizes):
+        part.write.mode("append").parquet(source)
+        numbering.run_numbering(spark.readStream.schema(sizes.schema).parquet(source), out, f"{out}-state")
+    return spark.read.parquet(out)
+
+
 @query("agglomerate_kernel")
 def agglomerate_kernel(spark, sf_dir):
     """Merge history of mean-affinity agglomeration in every block; a test checks it against a plain loop."""
