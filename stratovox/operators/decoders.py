@@ -65,10 +65,11 @@ def paired_synapses(volume: DataFrame, sender: Column, receiver: Column, either:
     return out.select(*AXES, F.when(F.col("post") == 1, 2 * n).when(F.col("pre") == 1, 2 * n - 1).otherwise(F.lit(0)).cast("long").alias("id"))
 
 
-def small_in_slices(volume: DataFrame, label: str, largest: int) -> DataFrame:
-    """``z, y, x, small``: 1 where the voxel's component within a slice across some axis (by faces, of one label) has fewer than ``largest`` voxels."""
+def small_in_slices(volume: DataFrame, label: str, largest: int | tuple[int, int, int]) -> DataFrame:
+    """``z, y, x, small``: 1 where the voxel's component within a slice across some axis (by faces, of one label) has fewer than ``largest`` voxels, for all
+    axes or for each."""
     marks = None
-    for axis in AXES:
+    for axis, largest in zip(AXES, largest if isinstance(largest, tuple) else (largest,) * 3):
         # components of one slice: the slice is part of the label, so that slices don't touch
         rows = volume.select(*AXES, F.when(F.col(label) != 0, F.struct(F.col(axis).alias("slice"), F.col(label).alias("l"))).alias("key_")).where("key_ is not null")
         parts = in_slices(rows, axis)

@@ -108,12 +108,12 @@ def _pass(rows: DataFrame, axis: str, n: int, step: float) -> DataFrame:
 
 
 def squared_distances(volume: DataFrame, label: str | Column, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0),
-                      low: tuple[int, ...] | None = None, high: tuple[int, ...] | None = None) -> DataFrame:
+                      low: tuple[int, ...] | None = None, high: tuple[int, ...] | None = None, axes: tuple[str, ...] = AXES) -> DataFrame:
     """``z, y, x, d``: squared distance of every labelled voxel to the nearest voxel of another label, background included; 0 for background, infinite
     if all the volume has one label.
 
     The volume is the box [low, high), by default the bounding box of its rows; its missing rows, and null labels, are background. What lies outside of
-    it is no voxel. ``label`` is a whole number or true and false.
+    it is no voxel. ``label`` is a whole number or true and false. ``axes``: those along which distances are taken (``("y", "x")``: slice by slice).
     """
     value = F.col(label) if isinstance(label, str) else label
     rows = volume.select(*(F.col(a).cast("int").alias(a) for a in AXES), F.coalesce(value.cast("long"), F.lit(0)).alias("l"))
@@ -122,15 +122,15 @@ def squared_distances(volume: DataFrame, label: str | Column, spacing: tuple[flo
     if ends["lowz"] is None:
         return rows.select(*AXES, F.lit(0.0).alias("d"))
     found = rows.withColumn("d", F.lit(float("inf")))
-    for axis in AXES[::-1]:
+    for axis in (a for a in AXES[::-1] if a in axes):
         found = _pass(found, axis, ends[f"high{axis}"] - ends[f"low{axis}"] + 1, float(spacing[AXES.index(axis)]))
     return found.select(*AXES, "d")
 
 
 def distance_transform(volume: DataFrame, label: str | Column, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0), low: tuple[int, ...] | None = None,
-                       high: tuple[int, ...] | None = None) -> DataFrame:
+                       high: tuple[int, ...] | None = None, axes: tuple[str, ...] = AXES) -> DataFrame:
     """``z, y, x, distance``, as :func:`squared_distances`; -1 where there is no voxel of another label."""
-    found = squared_distances(volume, label, spacing, low, high)
+    found = squared_distances(volume, label, spacing, low, high, axes)
     return found.select(*AXES, F.when(F.col("d") == float("inf"), F.lit(-1.0)).otherwise(F.sqrt("d")).alias("distance"))
 
 

@@ -6,9 +6,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from stratovox.operators import objects, warps
+from stratovox.operators import dispatch, objects, warps
 from stratovox.plans.metrics import rounded
-from stratovox.plans.registry import query
+from stratovox.plans.registry import components_sql, query
 from stratovox.sources.volumes import voxels
 
 _N = ", n as (select max(z) + 1 as nz from voxels), g as (select z, y, x from n, unnest(range(0, nz)) a(z), unnest(range(0, 20)) b(y), unnest(range(0, 25)) c(x))"
@@ -69,3 +69,22 @@ def border_weights(spark, sf_dir):
 def object_flows(spark, sf_dir):
     """Flows of every object of every slice; a test compares them with a plain loop over whole slices."""
     return rounded(objects.flows(voxels(spark, sf_dir).select("z", "y", "x", "gt"), "gt"), 6)
+
+
+#: Few labels with holes, in pieces.
+_PIECES = """, o as (select z, y, x, z * 500 + y * 25 + x + 1 as i, case when img > 0.75::double then 0 else 1 + seg % 3 end as l from voxels)"""
+_SLICE_DISTANCE = """, {name} as (select a.z, a.y, a.x, a.{own}, min(sqrt((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x))) as d from {table} a join {table} b on a.z = b.z and {other} group by all)"""
+_TARGETS = _PIECES + ", w as (select i, z, y, x, l * 1000000 + z as l from o where l <> 0)" + components_sql("w") + ", p as (select o.z, o.y, o.x, l, coalesce(low, 0) as part from o left join reach using (i))"
+_TARGETS += _SLICE_DISTANCE.format(name="dp", own="part", table="p", other="a.part <> 0 and a.part <> b.part") + ", mp as (select part, max(d) + 1e-6::double as m from dp group by part)"
+_TARGETS += _SLICE_DISTANCE.format(name="df", own="l", table="o", other="(a.l = 0) <> (b.l = 0)")
+_TARGETS += """, t as (select 0 as target, 0 as channel, z, y, x, (l > 0)::integer::double as value from o union all select 0 + 1, c, z, y, x, case c when 0 then l in (1, 3) when 1 then l = 2 else l > 0 end::integer::double from o, unnest(range(0, 3)) u(c)
+union all select 2, 0, z, y, x, case when l = 0 then 0 when l % 2 = 1 then 1 else 2 end from o union all select 3, 0, p.z, p.y, p.x, coalesce(d / m, -1) from p left join dp using (z, y, x, part) left join mp using (part)
+union all select 4, 0, o.z, o.y, o.x, tanh(case when l <> 0 then d / 8 else -d / 50 end) from o join df using (z, y, x, l) union all select 5, 0, z, y, x, l from o)
+select target, cast(channel as integer) as channel, z, y, x, round(value::double, 9) as value from t"""
+
+
+@query("targets_by_options", _TARGETS)
+def targets_by_options(spark, sf_dir):
+    """Six targets of one volume: foreground, both forms of polarity, object and semantic distances, and the label."""
+    v = voxels(spark, sf_dir).where("img <= 0.75").select("z", "y", "x", F.expr("1 + seg % 3").alias("l"))
+    return rounded(dispatch.to_targets(v, "l", ["0", "1", "1-1", "5-2d-0-0-1.0-0", "6-2d-8-50", "9"]))
