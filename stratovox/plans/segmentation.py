@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratovox.operators import agglomeration, distances, labels, merging, quantiles, regions, seeds, watershed
+from stratovox.operators import agglomeration, distances, labels, merging, quantiles, regions, seeds, supervoxels, watershed
 from stratovox.plans.decoders import _block_faces
 from stratovox.plans.holes import _reach
 from stratovox.plans.metrics import rounded
@@ -162,3 +162,17 @@ def exact_quantiles(spark, sf_dir):
 @query("percentile_normalised", ", p as (select quantile_cont(img, 0.01) as a, quantile_cont(img, 0.99) as b from voxels) select z, y, x, round((img - a) / (b - a), 9) as img from voxels, p")
 def percentile_normalised(spark, sf_dir):
     return rounded(quantiles.normalised(voxels(spark, sf_dir).select("z", "y", "x", "img"), "img"))
+
+
+@query("slice_supervoxels")
+def slice_supervoxels(spark, sf_dir):
+    """Slices flooded from the maxima of the distance to boundaries; a test compares them with lowest paths."""
+    return supervoxels.slice_supervoxels(voxels(spark, sf_dir), "img", "maxima_distance", size=(20, 25))
+
+
+@query("supervoxels_merged")
+def supervoxels_merged(spark, sf_dir):
+    """Supervoxels of slices, merged over the whole volume by the mean affinity: the volume's segmentation from flat pieces."""
+    rows = supervoxels.slice_supervoxels(voxels(spark, sf_dir), "img", "minima", size=(20, 25)).join(voxels(spark, sf_dir).select("z", "y", "x", (1 - F.col("img")).alias("aff")), ["z", "y", "x"])
+    merges = agglomeration.agglomerated(agglomeration.region_edges(regions.faces(rows, "id", {a: "aff" for a in "zyx"})), 0.3, "mean")
+    return labels.renamed(rows, "id", merges)

@@ -205,3 +205,29 @@ def test_seeds_fall_back(spark):
     light = {(0, y, x): (0.0,) for y in range(3) for x in range(3)}  # no border at all: one seed
     assert [(r.y, r.x, r.seed) for r in seeds.interior_seeds(frame(spark, light), "a", 0.4, 3).collect()] == [(0, 0, 1)]
     assert seeds.interior_seeds(frame(spark, light).limit(0), "a").count() == 0
+
+
+@pytest.mark.parametrize("method", ["grid", "minima", "maxima_distance"])
+def test_supervoxels_follow_the_lowest_paths(spark, method):
+    from stratovox.operators import supervoxels
+    from tests.test_kernels import plain_flood
+
+    r = np.random.default_rng(6)
+    height = np.round(r.random((2, 9, 11)), 2)
+    v = frame(spark, {tuple(map(int, p)): (float(height[p]),) for p in np.ndindex(height.shape)})
+    marks = np.zeros(height.shape, int)
+    for s in supervoxels.slice_seeds(v, "a", method, 4).collect():
+        marks[s.z, s.y, s.x] = s.seed
+    found = np.zeros(height.shape, int)
+    for s in supervoxels.slice_supervoxels(v, "a", method, 4).collect():
+        found[s.z, s.y, s.x] = s.id
+    assert set(found.ravel()) == set(range(1, len(set(marks[marks > 0])) + 1)) and not set(found[0].ravel()) & set(found[1].ravel())
+    for z in range(2):
+        level = plain_flood(height[z], marks[z])
+        for k in set(found[z].ravel()):
+            area = found[z] == k
+            assert len(set(marks[z][area]) - {0}) == 1
+            own = plain_flood(np.where(area, height[z], np.inf), np.where(area, marks[z], 0))
+            assert np.allclose(own[area], level[area])
+    with pytest.raises(ValueError):
+        supervoxels.slice_seeds(v, "a", "other")
