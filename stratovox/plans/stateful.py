@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratovox.operators import grid, kernels, overlap
+from stratovox.operators import grid, kernels, overlap, selection
 from stratovox.operators.stencils import before
 from stratovox.plans import overlap as merge
 from stratovox.plans.metrics import rounded
@@ -91,42 +90,12 @@ def one_to_one_pairs(spark, sf_dir):
     return kernels.one_to_one(merge.select_union_pairs(spark, sf_dir), [F.desc("n"), "a", "b"])
 
 
-#: Selected vectors that are broadcast at once (two megabytes of 64 doubles each).
-SELECTED = 4096
-
-
 @query("far_tail_selection", """with s as (select vec_id, embedding from embeddings where vec_id % 50 = 0),
 d as (select e.vec_id, min(list_sum(list_transform(list_zip(e.embedding, s.embedding), lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double)))) as d from embeddings e, s where e.vec_id % 50 <> 0 group by e.vec_id),
 r as (select vec_id, d, row_number() over (order by round(d, 6) desc, vec_id) as r from d)
 select vec_id, round(d, 6) as distance from r where r <= (select count(*) // 5 from d)""", voxels=False)
 def far_tail_selection(spark, sf_dir):
     """The fifth of all vectors that is farthest from the selected ones (ids divisible by 50, compared in blocks)."""
-    import numpy as np
-    import pyarrow as pa
-
     rows = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    # the selected set in blocks of at most SELECTED vectors, each broadcast once and compared with batches by matrix products
-    chosen = rows.where("vec_id % 50 = 0").withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-rows.where("vec_id % 50 = 0").count() // SELECTED)))))
-    asked, nearest = rows.where("vec_id % 50 <> 0"), None
-    for r in chosen.select("b").distinct().collect():
-        block = np.array([x.v for x in chosen.where(F.col("b") == r.b).select("v").collect()])
-        shipped = spark.sparkContext.broadcast((block, (block * block).sum(axis=1)))
-
-        def distance(batches, shipped=shipped):
-            block, square = shipped.value
-            for batch in batches:
-                v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-                near = np.argmin(square - 2 * (v @ block.T), axis=1) if len(v) else np.zeros(0, int)
-                d = ((v - block[near]) ** 2).sum(axis=1) if len(v) else np.zeros(0)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d)], names=["vec_id", "d"])
-
-        found = asked.mapInArrow(distance, "vec_id long, d double")
-        nearest = found if nearest is None else nearest.unionByName(found)
-    nearest = nearest.groupBy("vec_id").agg(F.round(F.min("d"), 6).alias("distance"))
-    # ranks: running counts over bins of the distance, then inside a bin; no task sorts all rows
-    binned = nearest.withColumn("bin", F.floor(-F.col("distance") * 1000))
-    bins = grid.running_before(binned.groupBy("bin").agg(F.count("*").alias("n")), "bin", "n", "before")
-    share = nearest.agg(F.expr("count(*) div 5").alias("wanted"))
-    rank = F.row_number().over(Window.partitionBy("bin").orderBy(F.desc("distance"), "vec_id")) + F.col("before")
-    ranked = binned.join(bins.select("bin", "before"), "bin").withColumn("rank", rank).join(F.broadcast(share))
-    return ranked.where("rank <= wanted").select("vec_id", "distance")
+    found = selection.nearest_distances(rows.where("vec_id % 50 <> 0"), rows.where("vec_id % 50 = 0"), "vec_id", "v")
+    return selection.farthest(found.select("vec_id", F.round("d", 6).alias("distance")), "vec_id", "distance", 5)
