@@ -37,14 +37,14 @@ def given_to_neighbours(volume: DataFrame, label: str, smallest: int, by: tuple[
     rows = dense(volume.select(*AXES, label))
     small = labels.sizes(rows, label, by).where(F.col("size") < smallest).select(label, *by)
     offsets = F.array(*(F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1) if y or x))
-    reach = rows.join(small, [label, *by]).select("z", F.col(label).alias("own_"), F.explode(offsets).alias("o"), "y", "x")
+    reach = rows.where(F.col(label) != 0).join(small, [label, *by]).select("z", F.col(label).alias("own_"), F.explode(offsets).alias("o"), "y", "x")
     ring = reach.select("z", (F.col("y") + F.col("o.y")).alias("y"), (F.col("x") + F.col("o.x")).alias("x"), "own_").distinct()
     met = ring.join(rows, list(AXES)).where(F.col(label) != F.col("own_"))
     key = ["own_", *by]
     counts = met.groupBy(*key, label).agg(F.count("*").alias("n"))
     best = counts.groupBy(*key).agg(F.max(F.struct((F.col(label) != 0).alias("some"), "n", (-F.col(label)).alias("l"))).alias("b"))
     table = best.select(F.col("own_").alias(label), *by, (-F.col("b.l")).alias("new_"))
-    return rows.join(table, [label, *by], "left").select(*AXES, F.coalesce("new_", label).alias(label))
+    return labels.joined_by_label(rows, label, table, *by).select(*AXES, F.coalesce("new_", label).alias(label))
 
 
 def paired_synapses(volume: DataFrame, sender: Column, receiver: Column, either: Column, reach: int = 2, smallest: int = 0) -> DataFrame:

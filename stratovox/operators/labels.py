@@ -42,6 +42,15 @@ def size_filtered(volume: DataFrame, label: str, smallest: int | None = None, la
     return joined_by_label(volume, label, good, *by).select(*AXES, F.when(F.col("good_"), F.col(label)).otherwise(F.lit(0)).cast("long").alias(label))
 
 
+def size_mask(volume: DataFrame, label: str, above: int, below: int) -> DataFrame:
+    """``z, y, x, mask``: 1 where the voxel's label has more than ``above`` and fewer than ``below`` voxels; background counts as a label, by one broadcast row."""
+    kept = (F.col("size") > above) & (F.col("size") < below)
+    good = sizes(volume, label).where(kept).select(label, F.lit(True).alias("good_"))
+    ground = volume.agg(F.count(F.when(F.col(label) == 0, 1)).alias("size")).select(kept.alias("ground_"))
+    rows = joined_by_label(volume, label, good).join(F.broadcast(ground))
+    return rows.select(*AXES, F.coalesce(F.when(F.col(label) == 0, F.col("ground_")).otherwise(F.col("good_")), F.lit(False)).cast("int").alias("mask"))
+
+
 def boxes(volume: DataFrame, label: str) -> DataFrame:
     """Inclusive bounding box of each label."""
     bounds = [f(a).alias(f"{a}{n}") for a in AXES for f, n in ((F.min, "_min"), (F.max, "_max"))]

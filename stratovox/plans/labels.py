@@ -242,6 +242,4 @@ def softmax_rows(spark, sf_dir):
 select z, y, x, v as mask from m""")
 def region_mask(spark, sf_dir):
     """Labels (0 too) of more than 60 and fewer than 75 voxels; background is a label here."""
-    v = voxels(spark, sf_dir)
-    counts = v.groupBy("seg").agg(F.count("*").alias("n"))
-    return v.join(counts, "seg").select("z", "y", "x", ((F.col("n") > 60) & (F.col("n") < 75)).cast("int").alias("mask"))
+    return labels.size_mask(voxels(spark, sf_dir), "seg", 60, 75)

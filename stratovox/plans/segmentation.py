@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratovox.operators import agglomeration, distances, labels, merging, quantiles, regions, seeds, supervoxels, watershed
+from stratovox.operators import agglomeration, distances, flooding, labels, merging, quantiles, regions, seeds, supervoxels, watershed
 from stratovox.plans.decoders import _block_faces
 from stratovox.plans.holes import _reach
 from stratovox.plans.metrics import rounded
@@ -176,3 +176,11 @@ def supervoxels_merged(spark, sf_dir):
     rows = supervoxels.slice_supervoxels(voxels(spark, sf_dir), "img", "minima", size=(20, 25)).join(voxels(spark, sf_dir).select("z", "y", "x", (1 - F.col("img")).alias("aff")), ["z", "y", "x"])
     merges = agglomeration.agglomerated(agglomeration.region_edges(regions.faces(rows, "id", {a: "aff" for a in "zyx"})), 0.3, "mean")
     return labels.renamed(rows, "id", merges)
+
+
+@query("seeded_watershed")
+def seeded_watershed(spark, sf_dir):
+    """The whole volume flooded from peaks of its interior; a test compares it with lowest paths."""
+    v = voxels(spark, sf_dir).select("z", "y", "x", "img")
+    rows = v.join(interior_seeds(spark, sf_dir), ["z", "y", "x"], "left")
+    return flooding.seeded_watershed(rows, "img", "seed", (20, 25))

@@ -231,3 +231,32 @@ def test_supervoxels_follow_the_lowest_paths(spark, method):
             assert np.allclose(own[area], level[area])
     with pytest.raises(ValueError):
         supervoxels.slice_seeds(v, "a", "other")
+
+
+def test_flooding_a_volume_follows_the_lowest_paths(spark):
+    from stratovox.operators import flooding
+    from tests.test_kernels import plain_flood
+
+    r = np.random.default_rng(8)
+    height = np.round(r.random((3, 7, 8)), 1)  # ties
+    marks = np.zeros(height.shape, int)
+    for k, p in enumerate([(0, 0, 0), (2, 6, 7), (1, 3, 3), (0, 5, 1)], 1):
+        marks[p] = 10 * k
+    marks[0, 0, 1] = 10
+    wall = {(1, 0, 7), (1, 1, 6), (1, 1, 7), (0, 0, 7), (0, 1, 7), (2, 0, 7), (2, 1, 7), (0, 0, 6), (2, 0, 6)}  # around one voxel, which no seed reaches
+    rows = {tuple(map(int, p)): (float(height[p]), int(marks[p]) or None) for p in np.ndindex(height.shape) if p not in wall - {(1, 0, 7)}}
+    for p in ((1, 0, 6),):
+        rows.pop(p, None)
+    found = np.zeros(height.shape, int)
+    got = flooding.seeded_watershed(frame(spark, rows, "h double, s long"), "h", "s").collect()
+    assert len(got) == len(rows)
+    for s in got:
+        found[s.z, s.y, s.x] = s.id
+    open_ = np.array([p in rows for p in np.ndindex(height.shape)]).reshape(height.shape)
+    assert found[1, 0, 7] == 0 and (found[open_] > 0).sum() == len(rows) - 1 and (found[marks > 0] == marks[marks > 0]).all()
+    level = plain_flood(np.where(open_, height, np.inf), marks)
+    for k in (10, 20, 30, 40):
+        own = plain_flood(np.where(found == k, height, np.inf), np.where(found == k, marks, 0))
+        assert np.allclose(own[found == k], level[found == k])
+    assert flooding.seeded_watershed(frame(spark, rows, "h double, s long").limit(0), "h", "s").count() == 0
+    assert {s.id for s in flooding.seeded_watershed(frame(spark, {p: (h, None) for p, (h, _) in rows.items()}, "h double, s long"), "h", "s").collect()} == {0}
