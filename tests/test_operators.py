@@ -241,3 +241,17 @@ def test_random_label_pair_in_chunks_equals_the_whole(spark):
         added = added.unionByName(p)
     again = metrics.rand_and_information(added.groupBy("a", "b").agg(F.sum("n").alias("n")), "a", "b").first()
     assert all(abs(x - y) < 1e-12 for x, y in zip(whole, again))
+
+
+def test_filled_volumes_run_no_jobs_while_they_are_planned(spark):
+    from stratovox.operators import stencils
+
+    v = volume(spark, [[[1, 1, 2], [0, 2, 2]]])
+    spark.sparkContext.setJobGroup("planning", "plans of filled volumes")
+    try:
+        planned = [stencils.affinities(v, "v", filled=True), stencils.boundaries(v, "v", filled=True), stencils.widened_border(v, "v", filled=True),
+                   stencils.eroded(v, "v", (0, 1, 1), "e", filled=True), stencils.majority(v, v["v"] > 1, (0, 1, 1), filled=True)]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [sorted(map(tuple, p.collect())) for p in planned[:3]] == [sorted(map(tuple, p.collect())) for p in (stencils.affinities(v, "v"), stencils.boundaries(v, "v"), stencils.widened_border(v, "v"))]
