@@ -196,9 +196,10 @@ def _vectors(found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             value = np.bincount(place.ravel(), np.tile(weight, len(part)))
             norm = np.sqrt(np.bincount(both[0], value * value, len(found)))
             out.append((both[0], both[1], value / norm[both[0]]))
-    row, number, value = (np.concatenate(c) for c in zip(*out))
-    order = np.argsort(row, kind="stable")
-    return row[order], number[order], value[order]
+    parts = [list(c) for c in zip(*out)]
+    del out
+    order = np.argsort(np.concatenate(parts[0]).astype(np.int32), kind="stable").astype(np.int32)
+    return tuple(np.concatenate(parts.pop(0))[order] for _ in range(3))  # each column's parts go as it is put in order
 
 
 def nystroem_machine(positive: list[str], negative: list[str], landmarks: int = LANDMARKS, ridge: float = 2e-4) -> Machine:
@@ -206,9 +207,12 @@ def nystroem_machine(positive: list[str], negative: list[str], landmarks: int =
     found = [(sign, t) for sign, t in [*((1.0, t) for t in positive), *((-1.0, t) for t in negative)] if len(letters(t)) >= 4]
     y = np.array([sign for sign, _ in found])
     row, number, value = _vectors([t for _, t in found])
-    numbers, column = np.unique(number, return_inverse=True)
     starts = np.searchsorted(row, np.arange(len(found)))
     ends = np.append(starts[1:], len(row))
+    del row
+    numbers = np.unique(number)
+    column = np.searchsorted(numbers, number).astype(np.int32)
+    del number
 
     def kernel(mark: int) -> np.ndarray:
         dense = np.zeros(len(numbers))
