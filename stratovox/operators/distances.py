@@ -65,16 +65,23 @@ def along_lines(label: np.ndarray, f: np.ndarray, step: float) -> np.ndarray:
     stop[np.append(row[1:] != row[:-1], True)] = n
     inside = label[row, start] != 0
     row, start, stop = row[inside], start[inside], stop[inside]
-    per = max(1, CELLS // max(n, 1))
-    place = np.arange(n)
-    for i in range(0, len(row), per):
-        r, a, b = row[i : i + per, None], start[i : i + per, None], stop[i : i + per, None]
-        own = (place >= a) & (place < b)
-        values = np.where(own, f[r[:, 0]], np.inf)
-        values[(place == a - 1) | (place == b)] = 0.0
-        low = lower_envelope(values, step)
-        s, q = np.nonzero(own)
-        out[r[s, 0], q] = low[s, q]
+    size = stop - start
+    # stretches of like lengths together, a matrix column for each voxel and for its two neighbours outside: cells grow with the voxels, not with lines by stretches
+    kind = np.ceil(np.log2(size + 2)).astype(np.int64)
+    order = np.argsort(kind, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+        per = max(1, CELLS >> int(kind[same[0]])) if len(same) else 1
+        for i in range(0, len(same), per):
+            r, a, b, k = (v[same[i : i + per], None] for v in (row, start, stop, size))
+            width = int(k.max())
+            place = a + np.arange(width)
+            own = place < b
+            values = np.full((len(r), width + 2), np.inf)
+            values[:, 1:-1][own] = f[np.broadcast_to(r, own.shape)[own], place[own]]
+            values[a[:, 0] > 0, 0] = 0.0
+            ends = np.flatnonzero(b[:, 0] < n)
+            values[ends, k[ends, 0] + 1] = 0.0
+            out[np.broadcast_to(r, own.shape)[own], place[own]] = lower_envelope(values, step)[:, 1:-1][own]
     return out
 
 
