@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratovox.operators import labels, stencils
-from stratovox.operators.components import components
 from stratovox.operators.grid import running_before
 from stratovox.operators.kernels import Grid, block_array, flooded, squared_distances
 from stratovox.operators.targets import half_ball
@@ -22,13 +21,8 @@ def above(score: Column, threshold: float, levels: int = 255) -> Column:
 
 def fully_connected(volume: DataFrame, label: str, size: tuple[int, int] | None = None) -> DataFrame:
     """``z, y, x, component``: as :func:`labels.grid_components`, but voxels also touch by an edge or a corner. Only labelled rows are read and returned."""
-    rows = labels.saved(labels.linear_index(volume.where(F.col(label) != 0).select(*AXES, label), size), "indexed")
-    offsets = F.array(*(F.struct(*(F.lit(v).alias(a) for a, v in zip(AXES, o))) for o in half_ball(1.8)))
-    shifted = rows.select(F.explode(offsets).alias("o"), *AXES, F.col(label).alias("other_"), F.col("index_").alias("near_"))
-    shifted = shifted.select(*((F.col(a) - F.col(f"o.{a}")).alias(a) for a in AXES), "other_", "near_")
-    edges = rows.join(shifted, list(AXES)).where(F.col(label) == F.col("other_")).select(F.col("index_").alias("a"), F.col("near_").alias("b"))
-    roots = components(edges).withColumnRenamed("node", "index_")
-    return rows.join(roots, "index_", "left").select(*AXES, F.coalesce("root", "index_").alias("component"))
+    rows = labels.linear_index(volume.where(F.col(label) != 0).select(*AXES, label), size)
+    return labels.touching(rows, label, half_ball(1.8))
 
 
 def given_to_neighbours(volume: DataFrame, label: str, smallest: int, by: tuple[str, ...] = ()) -> DataFrame:
@@ -82,11 +76,8 @@ def small_in_slices(volume: DataFrame, label: str, largest: int | tuple[int, int
 
 def in_slices(rows: DataFrame, axis: str) -> DataFrame:
     """``z, y, x, component`` of face neighbours with equal ``key_`` within slices across ``axis``."""
-    indexed = labels.saved(labels.linear_index(rows), "indexed")
-    near = [stencils.before(F.struct(F.col("key_").alias("k"), F.col("index_").alias("i")), a) for a in AXES if a != axis]
-    edges = indexed.withColumn("n_", F.array(*near)).select("key_", "index_", F.explode("n_").alias("n")).where(F.col("n.k") == F.col("key_"))
-    roots = components(edges.select(F.col("index_").alias("a"), F.col("n.i").alias("b"))).withColumnRenamed("node", "index_")
-    return indexed.join(roots, "index_", "left").select(*AXES, F.coalesce("root", "index_").alias("component"))
+    faces = [tuple(-int(a == b) for b in AXES) for a in AXES if a != axis]
+    return labels.touching(labels.linear_index(rows.withColumn("l_", F.col("key_").getField("l"))), "l_", faces)
 
 
 def peaks(inside: np.ndarray, spacing: tuple[float, ...]) -> np.ndarray:
