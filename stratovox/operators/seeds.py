@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,28 +35,50 @@ def regional_extrema(volume: DataFrame, value: str, lowest: bool = True, axes: t
     return named.join(spoilt, "seed", "left_anti").select(*AXES, "seed")
 
 
+#: Voxels of a side of the blocks of :func:`spaced_peaks`.
+SIDE = 64
+#: States of a peak.
+GONE, KEPT, OPEN = 0, 1, 2
+
+
+def settled(places: np.ndarray, state: np.ndarray, own: np.ndarray, distance: int, side: int) -> np.ndarray:
+    """The states of a block's peaks, which come in the order of their indices at ``places`` of a cube of ``side``, where those that aren't its ``own`` stay as
+    they are: a peak goes if an earlier one in its box is kept, is kept if all are gone, and else stays open."""
+    grid, out = np.zeros((side,) * 3, np.int8), state.copy()
+    for k, (z, y, x) in enumerate(places):
+        if own[k] and state[k] == OPEN:
+            box = grid[z - distance : z + distance + 1, y - distance : y + distance + 1, x - distance : x + distance + 1]
+            out[k] = GONE if (box == KEPT).any() else OPEN if box.any() else KEPT
+        grid[z, y, x] = out[k]
+    return out
+
+
 def spaced_peaks(volume: DataFrame, value: str, distance: int, index: str = "index_") -> DataFrame:
     """The rows of ``volume`` (``z, y, x``, ``index`` and ``value``) whose value is above 0 and greatest in the box of ``distance`` voxels to each side; of equal
-    peaks in each other's box the one of the least index stays, round by round."""
+    peaks in each other's box the one of the least index stays.
+
+    A task goes through the peaks of a block in the order of their indices, with those around it; what depends on an open peak of another block is left to
+    the next round. Rounds grow with the blocks that a chain of such peaks crosses, not with its peaks.
+    """
     most = stencils.box(volume.select(*AXES, value), value, (distance,) * 3, "max", "most_")
-    open_ = saved(volume.join(most.where((F.col(value) == F.col("most_")) & (F.col(value) > 0)).select(*AXES), list(AXES)).select(*AXES, index, value), "peaks")
-    kept = open_.limit(0)
-    while not open_.isEmpty():
-        cell = lambda a: F.floor(F.col(a) / max(distance, 1))
-        here = open_.select(*AXES, index, *(cell(a).alias(f"g{a}") for a in AXES))
-        for a in AXES:
-            here = here.withColumn(f"g{a}", F.explode(F.array(*(F.col(f"g{a}") + d for d in (-1, 0, 1)))))
-        there = open_.select(*(F.col(a).alias(f"o{a}") for a in AXES), F.col(index).alias("other_"), *(cell(a).alias(f"g{a}") for a in AXES))
-        close = here.join(there, [f"g{a}" for a in AXES])
+    open_ = volume.join(most.where((F.col(value) == F.col("most_")) & (F.col(value) > 0)).select(*AXES), list(AXES))
+    places = [F.col(a).cast("int").alias(a) for a in AXES]
+    known = saved(open_.select(*places, F.col(index).cast("long").alias("i_"), F.col(value).cast("double").alias("v_"), F.lit(OPEN).alias("state")), "peaks")
+    while not known.where(F.col("state") == OPEN).isEmpty():
+        dealt = known
         for a in AXES:
-            close = close.where(F.abs(F.col(a) - F.col(f"o{a}")) <= distance)
-        close = saved(close.select(index, "other_").where(F.col(index) != F.col("other_")), "close")
-        behind = close.where(F.col("other_") < F.col(index)).select(index).distinct()
-        first = saved(open_.join(behind, index, "left_anti"), "kept")
-        kept = kept.unionByName(first)
-        gone = close.join(first.select(F.col(index).alias("other_")), "other_", "left_semi").select(index).distinct()
-        open_ = saved(open_.join(first.select(index), index, "left_anti").join(gone, index, "left_anti"), "open")
-    return kept
+            low, high = (F.floor((F.col(a) + d) / SIDE).cast("int") for d in (-distance, distance))
+            dealt = dealt.withColumn(f"b{a}", F.explode(F.sequence(low, high)))
+
+        def run(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values("i_")
+            inside = np.stack([(part[a] - part[f"b{a}"] * SIDE).to_numpy() for a in AXES], axis=1)
+            own = np.all((inside >= 0) & (inside < SIDE), axis=1)
+            part = part.assign(state=settled(inside + 2 * distance, part["state"].to_numpy(), own, distance, SIDE + 4 * distance))
+            return part.loc[own, [*AXES, "i_", "v_", "state"]]
+
+        known = saved(dealt.groupBy(*(f"b{a}" for a in AXES)).applyInPandas(run, "z int, y int, x int, i_ long, v_ double, state int"), "peaks")
+    return known.where(F.col("state") == KEPT).select(*AXES, F.col("i_").alias(index), F.col("v_").alias(value))
 
 
 def interior_seeds(volume: DataFrame, boundary: str, threshold: float = 0.4, distance: int = 15, share: float = 0.7, size: tuple[int, int] | None = None) -> DataFrame:
