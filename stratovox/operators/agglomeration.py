@@ -6,7 +6,7 @@ That holds for one minus the greatest, the least and the mean affinity (single,
   all such edges can be merged at once;
 - regions only ever merge inside a connected component of the edges below the threshold.
 
-So the edge table goes through rounds of the first kind while it is large, and once its components below the threshold are
+For the greatest affinity these components are the result. Else the edge table goes through rounds of the first kind while it is large, and once its components below the threshold are
 small each is finished by one task, cheapest edge first. If rounds bring little or a component stays too large, an earlier
 threshold is reached first, below which there are few enough edges. Edges carry statistics that merge (least, greatest, sum and number of
 faces), and every step is written to the shared folder.
@@ -57,7 +57,8 @@ def relabelled(edges: DataFrame, merges: DataFrame) -> DataFrame:
     found = edges
     for end in ("u", "v"):
         named = merges.select(F.col("id").alias(end), F.col("rep").alias(f"{end}_"))
-        found = found.join(named, end, "left").withColumn(end, F.coalesce(f"{end}_", end)).drop(f"{end}_")
+        # by a shuffle, as all tables here that grow with the volume: whole numbers compress well, so their files look small to the planner
+        found = found.join(named.hint("merge"), end, "left").withColumn(end, F.coalesce(f"{end}_", end)).drop(f"{end}_")
     found = found.where(F.col("u") != F.col("v"))
     return _summed(found.withColumns({"u": F.least("u", "v"), "v": F.greatest("u", "v")}))
 
@@ -73,7 +74,7 @@ def reciprocal(edges: DataFrame, score: Column, threshold: float) -> DataFrame:
 def _composed(done: DataFrame, step: DataFrame) -> DataFrame:
     """The regions' names after ``done`` and then ``step``."""
     named = step.select(F.col("id").alias("rep"), F.col("rep").alias("new_"))
-    return done.join(named, "rep", "left").select("id", F.coalesce("new_", "rep").alias("rep")).unionByName(step)
+    return done.join(named.hint("merge"), "rep", "left").select("id", F.coalesce("new_", "rep").alias("rep")).unionByName(step)
 
 
 def _by_component(edges: DataFrame, open_: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def _by_component(edges: DataFrame, open_: DataFrame) -> DataFrame:
     found = components(open_, "u", "v")
     roots, inside = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()), edges
     for end in ("u", "v"):
-        inside = inside.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_")), end)
+        inside = inside.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_")).hint("merge"), end)
     return inside.where("u_ = v_").withColumnRenamed("u_", "component").drop("v_")
 
 
@@ -111,6 +112,9 @@ def agglomerated(edges: DataFrame, threshold: float, how: str = "mean", limit: i
     A region is named by the least id it holds.
     """
     score = SCORES[how]()
+    if how == "max":  # no merge changes whether an edge is below the threshold, so their order doesn't matter
+        found = components(edges.where("u < v").where(score < threshold), "u", "v")
+        return found.select(F.col("node").alias("id"), F.col("root").alias("rep"))
     edges = saved(_summed(edges.where("u is not null and v is not null and u < v")), "edges")
     done, left, before = edges.select(F.col("v").alias("id"), F.col("u").alias("rep")).limit(0), rounds, None
     while n := (open_ := edges.where(score < threshold)).count():
@@ -136,6 +140,6 @@ def segmented_volume(volume: DataFrame, affinities: dict[str, str], threshold: f
     Ids are the least linear index (plus 1) of a basin that the region holds; nothing is cut at borders of blocks.
     """
     basins = saved(affinity_watershed(volume, affinities, low, high, size), "basins")
-    rows = basins.join(volume.select(*AXES, *set(affinities.values())), list(AXES))
+    rows = basins.join(volume.select(*AXES, *set(affinities.values())).hint("merge"), list(AXES))
     merges = agglomerated(region_edges(faces(rows, "basin", affinities)), threshold, how)
     return renamed(basins, "basin", merges).withColumnRenamed("basin", "id")

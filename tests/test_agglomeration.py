@@ -86,3 +86,15 @@ def test_queries_equal_a_plain_loop(spark, data, how, threshold):
 
     assert {r.id: r.rep for r in catalog.QUERIES[f"agglomerate_volume_{how}"](spark, data).collect()} == {x: find(x) for x in rep}
     assert rep
+
+
+def test_the_greatest_affinity_needs_no_order_and_nothing_is_broadcast(spark, monkeypatch):
+    """Regions below the threshold are components; tables of names, small as their files look, are joined by a shuffle."""
+    def never(*_):
+        raise AssertionError("merged in order")
+
+    first = shifted(1, 0)
+    kept = agglomeration.agglomerated(table(spark, first), 0.42, "mean")
+    assert "BroadcastHashJoin" not in agglomeration.relabelled(table(spark, first), kept)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(agglomeration, "_finished", never)
+    assert {r.id: r.rep for r in agglomeration.agglomerated(table(spark, first), 0.05, "max").collect()} == plain("max", first, 0.05)
