@@ -74,15 +74,19 @@ def squared_distances(outside: np.ndarray, spacing: tuple[float, ...]) -> np.nda
     return out
 
 
-def flooded(height: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def flooded(height: np.ndarray, seeds: np.ndarray, axes: tuple[int, ...] | None = None, inside: np.ndarray | None = None) -> np.ndarray:
     """Seeded watershed by face neighbours: every cell joins the seed that reaches it over the lowest path; 0 if there are no seeds.
 
     A step between cells is as high as the higher one; of equal steps the earlier one (by axis, then row-major) counts as lower. Regions without
-    a seed all go over their lowest step at once, round by round, as arrays: a round leaves at most half of them.
+    a seed all go over their lowest step at once, round by round, as arrays: a round leaves at most half of them. ``axes``: those that steps go along
+    (``(1, 2)``: a stack of slices, each by itself). ``inside``: cells that steps may touch.
     """
     index = np.arange(height.size).reshape(height.shape)
-    pairs = [(np.take(index, range(n - 1), k).ravel(), np.take(index, range(1, n), k).ravel()) for k, n in enumerate(height.shape) if n > 1]
+    pairs = [(np.take(index, range(n - 1), k).ravel(), np.take(index, range(1, n), k).ravel()) for k, n in enumerate(height.shape) if n > 1 and (axes is None or k in axes)]
     u, v = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in pairs)]) for k in range(2))
+    if inside is not None:
+        there = inside.ravel()[u] & inside.ravel()[v]
+        u, v = u[there], v[there]
     flat, label = height.ravel(), seeds.ravel().astype(np.int64)
     order = np.argsort(np.maximum(flat[u], flat[v]), kind="stable")
     u, v, region = u[order], v[order], index.ravel().copy()

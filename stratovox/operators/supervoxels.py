@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from stratovox.operators.kernels import flooded
 from stratovox.plans.scratch import saved
 from stratovox.sources.volumes import AXES
 
+#: Cells of a stack of slices.
+CELLS = 1 << 18
 METHODS = ("grid", "minima", "maxima_distance")
 
 
@@ -35,20 +39,53 @@ def _size(volume: DataFrame) -> tuple[int, int]:
     return ((found.y or 0) + 1, (found.x or 0) + 1)
 
 
+def _stacks(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Whole slices, in order, flooded in stacks of at most ``CELLS`` cells (or one slice), each slice within its own bounding box."""
+    z, y, x, height, seed = (table.column(c).to_numpy() for c in (*AXES, "h_", "seed"))
+    slices, at = np.unique(z, return_inverse=True)
+    per = max(1, CELLS // (int(np.ptp(y) + 1) * int(np.ptp(x) + 1)))
+    for first in range(0, len(slices), per):
+        a, b = np.searchsorted(at, [first, first + per])
+        k, spans = at[a:b] - first, []
+        starts = np.searchsorted(k, np.arange(k[-1] + 1))
+        place = [k]
+        for c in (y[a:b], x[a:b]):
+            c = c - c.min()
+            place.append(c)
+            every = np.arange(c.max() + 1)
+            spans.append((every >= np.minimum.reduceat(c, starts)[:, None]) & (every <= np.maximum.reduceat(c, starts)[:, None]))
+        inside, place = spans[0][:, :, None] & spans[1][:, None, :], tuple(place)
+        level, marks = np.full(inside.shape, np.finfo(np.float64).max), np.zeros(inside.shape, np.int64)
+        level[place], marks[place] = height[a:b], seed[a:b]
+        found = pa.array(flooded(level, marks, (1, 2), inside)[place])
+        yield from pa.Table.from_arrays([*(table.column(c).slice(a, b - a) for c in AXES), found], names=[*AXES, "id"]).to_batches(max_chunksize=1 << 16)
+
+
+def _flooded_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size, enough = [], 0, CELLS
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < enough:
+            continue
+        table = pa.Table.from_batches(held)
+        z = table.column("z").to_numpy()
+        cut = int(np.searchsorted(z, z[-1]))  # the last slice may go on
+        if cut:
+            yield from _stacks(table.slice(0, cut))
+        held, size = table.slice(cut).to_batches(), size - cut
+        enough = max(CELLS, 2 * size)
+    if size:
+        yield from _stacks(pa.Table.from_batches(held))
+
+
 def slice_supervoxels(volume: DataFrame, boundary: str, method: str = "maxima_distance", spacing: int = 10, size: tuple[int, int] | None = None) -> DataFrame:
     """``z, y, x, id`` of every voxel with a row: its seed in the slice by the lowest path over ``boundary``; ids go on from slice to slice, from 1.
 
-    A task floods a whole slice at a time. Voxels without a row are as high as can be.
+    A task floods whole slices, many small ones at once. Voxels without a row are as high as can be.
     """
     found = slice_seeds(volume, boundary, method, spacing, size)
-    rows = volume.select(*(F.col(a).cast("int").alias(a) for a in AXES), F.col(boundary).cast("double").alias("h_")).join(found, list(AXES), "left")
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        y, x = (part[a].to_numpy() - part[a].min() for a in ("y", "x"))
-        height = np.full((y.max() + 1, x.max() + 1), np.finfo(np.float64).max)
-        marks = np.zeros(height.shape, np.int64)
-        height[y, x], marks[y, x] = part["h_"], part["seed"].fillna(0)
-        return part[list(AXES)].assign(id=flooded(height, marks)[y, x])
+    rows = volume.select(*(F.col(a).cast("int").alias(a) for a in AXES), F.col(boundary).cast("double").alias("h_")).join(found.hint("merge"), list(AXES), "left").select(*AXES, "h_", F.coalesce("seed", F.lit(0)).cast("long").alias("seed"))
 
-    flood = saved(rows.groupBy("z").applyInPandas(run, "z int, y int, x int, id long"), "supervoxels")
-    return labels.compacted(flood, "id")
+    flood = rows.repartition("z").sortWithinPartitions("z").mapInArrow(_flooded_slices, "z int, y int, x int, id long")
+    return labels.compacted(saved(flood, "supervoxels"), "id")
