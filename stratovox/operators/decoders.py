@@ -33,7 +33,7 @@ def given_to_neighbours(volume: DataFrame, label: str, smallest: int, by: tuple[
     offsets = F.array(*(F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1) if y or x))
     reach = rows.where(F.col(label) != 0).join(small, [label, *by]).select("z", F.col(label).alias("own_"), F.explode(offsets).alias("o"), "y", "x")
     ring = reach.select("z", (F.col("y") + F.col("o.y")).alias("y"), (F.col("x") + F.col("o.x")).alias("x"), "own_").distinct()
-    met = ring.join(rows, list(AXES)).where(F.col(label) != F.col("own_"))
+    met = ring.join(rows.hint("merge"), list(AXES)).where(F.col(label) != F.col("own_"))
     key = ["own_", *by]
     counts = met.groupBy(*key, label).agg(F.count("*").alias("n"))
     best = counts.groupBy(*key).agg(F.max(F.struct((F.col(label) != 0).alias("some"), "n", (-F.col(label)).alias("l"))).alias("b"))
@@ -50,11 +50,11 @@ def paired_synapses(volume: DataFrame, sender: Column, receiver: Column, either:
     rows = dense(volume.select(*AXES, (sender & either).cast("int").alias("pre"), (receiver & either).cast("int").alias("post"), either.cast("int").alias("any_")))
     grown = stencils.box(rows, "any_", (0, reach, reach), "max", "grown", filled=True).select(*AXES, "grown")
     whole = labels.compacted(fully_connected(grown, "grown"), "component").withColumnRenamed("component", "n_")
-    out = rows.join(whole, list(AXES), "left")
+    out = rows.join(whole.hint("merge"), list(AXES), "left")
     for side in ("pre", "post"):
         if smallest:
             parts = labels.size_filtered(labels.grid_components(rows.select(*AXES, side), side), "component", smallest=smallest)
-            out = out.join(parts.withColumnRenamed("component", f"{side}_"), list(AXES), "left").withColumn(side, (F.coalesce(f"{side}_", F.lit(0)) != 0).cast("int"))
+            out = out.join(parts.withColumnRenamed("component", f"{side}_").hint("merge"), list(AXES), "left").withColumn(side, (F.coalesce(f"{side}_", F.lit(0)) != 0).cast("int"))
     n = F.coalesce("n_", F.lit(0)).cast("long")
     return out.select(*AXES, F.when(F.col("post") == 1, 2 * n).when(F.col("pre") == 1, 2 * n - 1).otherwise(F.lit(0)).cast("long").alias("id"))
 
@@ -68,10 +68,10 @@ def small_in_slices(volume: DataFrame, label: str, largest: int | tuple[int, int
         rows = volume.select(*AXES, F.when(F.col(label) != 0, F.struct(F.col(axis).alias("slice"), F.col(label).alias("l"))).alias("key_")).where("key_ is not null")
         parts = in_slices(rows, axis)
         sizes = parts.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") < largest).select("component")
-        found = parts.join(sizes, "component").select(*AXES)
+        found = parts.join(sizes.hint("merge"), "component").select(*AXES)
         marks = found if marks is None else marks.unionByName(found)
     marks = marks.distinct().withColumn("mark_", F.lit(1))
-    return volume.select(*AXES).join(marks, list(AXES), "left").select(*AXES, F.coalesce("mark_", F.lit(0)).alias("small"))
+    return volume.select(*AXES).join(marks.hint("merge"), list(AXES), "left").select(*AXES, F.coalesce("mark_", F.lit(0)).alias("small"))
 
 
 def in_slices(rows: DataFrame, axis: str) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Learning targets of a label volume by options written as text, all in one long table."""
+"""Learning targets of a label volume by options written as text, all in one long table.
+
+Tables of voxels and of parts are joined by shuffles, by a hint: they compress well, so their files look small enough for a broadcast, which the memory of no driver holds.
+"""
 
 from __future__ import annotations
 
@@ -33,7 +36,7 @@ def object_distance(rows: DataFrame, label: str, mode: str = "2d", padding: bool
     key = F.struct(F.col("z").alias("slice"), F.col(label).alias("l")) if flat else F.struct(F.lit(0).alias("slice"), F.col(label).alias("l"))
     if flat:
         parts = decoders.in_slices(rows.where(F.col(label) != 0).select(*AXES, key.alias("key_")), "z")
-        parts = rows.select(*AXES).join(parts, list(AXES), "left").select(*AXES, F.coalesce("component", F.lit(0)).alias("part_"))
+        parts = rows.select(*AXES).join(parts.hint("merge"), list(AXES), "left").select(*AXES, F.coalesce("component", F.lit(0)).alias("part_"))
     else:
         parts = grid_components(rows, label).withColumnRenamed("component", "part_")
     parts, low, high = saved(parts, "parts"), None, None
@@ -43,10 +46,10 @@ def object_distance(rows: DataFrame, label: str, mode: str = "2d", padding: bool
         low, high = (0 if flat else -1, -1, -1), (ends[0] + (not flat), ends[1] + 1, ends[2] + 1)
     spacing = (slices_apart, 1.0, 1.0)
     found = distance_transform(parts, "part_", spacing, low, high, ("y", "x") if flat else AXES)
-    inside = saved(found.join(parts.where("part_ <> 0"), list(AXES)).where("distance > 0"), "inside")
+    inside = saved(found.join(parts.where("part_ <> 0").hint("merge"), list(AXES)).where("distance > 0"), "inside")
     most = inside.groupBy("part_").agg((F.max("distance") + 1e-6).alias("most_"))
-    energy = inside.join(most, "part_").select(*AXES, (F.col("distance") / F.col("most_")).alias("energy"))
-    out = rows.select(*AXES).join(energy, list(AXES), "left").select(*AXES, F.coalesce("energy", F.lit(-1.0)).alias("energy"))
+    energy = inside.join(most.hint("merge"), "part_").select(*AXES, (F.col("distance") / F.col("most_")).alias("energy"))
+    out = rows.select(*AXES).join(energy.hint("merge"), list(AXES), "left").select(*AXES, F.coalesce("energy", F.lit(-1.0)).alias("energy"))
     return out.select(*AXES, stencils.quantised(F.col("energy")).alias("energy")) if quantise else out
 
 
@@ -61,7 +64,7 @@ def semantic_distance(rows: DataFrame, label: str, mode: str = "2d", fore: float
     for side, scale in (("in_", fore), ("out_", back)):
         d = distance_transform(mask, side, spacing, axes=axes)
         d = d.select(*AXES, F.when(F.col("distance") < 0, F.lit(5.0)).otherwise(F.col("distance") / F.lit(float(scale))).alias(side))
-        both = d if both is None else both.join(d, list(AXES))
+        both = d if both is None else both.join(d.hint("merge"), list(AXES))
     return both.select(*AXES, F.tanh(F.col("in_") - F.col("out_")).alias("energy"))
 
 
@@ -111,7 +114,7 @@ def one_target(volume: DataFrame, label: str, option: str) -> DataFrame:
         mode, fore, back = rest or ("2d", "8", "50")
         return _channels(semantic_distance(rows, "l", mode, float(fore), float(back)), F.col("energy"))
     if kind == "7":
-        found = rows.join(objects.flows(rows, "l"), list(AXES), "left").select(*AXES, "l", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("dy", "dx")))
+        found = rows.join(objects.flows(rows, "l").hint("merge"), list(AXES), "left").select(*AXES, "l", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("dy", "dx")))
         return _channels(found, F.col("dy"), F.col("dx"), *([(value > 0).cast("int")] if "0" in rest else []))
     if kind == "9":
         return _channels(rows, value)

@@ -144,7 +144,7 @@ def distance_transform(volume: DataFrame, label: str | Column, spacing: tuple[fl
 def object_energy(volume: DataFrame, label: str, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0), background: float = -1.0) -> DataFrame:
     """``z, y, x, energy``: the distance to the border of the own object, as a share of the object's greatest (1 where it has no border);
     ``background`` outside of objects."""
-    rows = saved(distance_transform(volume, label, spacing), "distances").join(volume.select(*AXES, F.col(label).alias("l_")), list(AXES), "left")
+    rows = saved(distance_transform(volume, label, spacing), "distances").join(volume.select(*AXES, F.col(label).alias("l_")).hint("merge"), list(AXES), "left")
     inside = rows.where("l_ <> 0")
     most = inside.groupBy("l_").agg(F.max("distance").alias("most_"))
     share = F.when(F.col("distance") < 0, F.lit(1.0)).otherwise(F.col("distance") / F.col("most_"))
@@ -158,7 +158,7 @@ def side_distances(volume: DataFrame, a: Column, b: Column, spacing: tuple[float
     rows, out = saved(dense(volume.select(*AXES, *(F.coalesce(c, F.lit(False)).alias(n) for c, n in ((a, "a_"), (b, "b_"))))), "sides"), []
     for side, (own, other) in enumerate((("a_", "b_"), ("b_", "a_"))):
         outside = F.when(F.col(other), F.lit(0)).otherwise(F.lit(1))
-        found = distance_transform(rows, outside, spacing).join(rows.where(own).select(*AXES), list(AXES)).where("distance >= 0")
+        found = distance_transform(rows, outside, spacing).join(rows.where(own).select(*AXES).hint("merge"), list(AXES)).where("distance >= 0")
         found = saved(found.select("distance"), "distances")
         middle = exact_quantiles(found, "distance", [0.5])
         if not middle:

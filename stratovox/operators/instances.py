@@ -50,7 +50,7 @@ def connected_instances(volume: DataFrame, score: str, contour: str | None = Non
     if contour:
         inside = inside & (F.col("contour") < int(255 * contour_below))
     found = decoders.fully_connected(rows.where(inside).withColumn("l", F.lit(1)), "l", size)
-    out = rows.select(*AXES).join(found, list(AXES), "left").select(*AXES, F.coalesce("component", F.lit(0)).alias("component"))
+    out = rows.select(*AXES).join(found.hint("merge"), list(AXES), "left").select(*AXES, F.coalesce("component", F.lit(0)).alias("component"))
     if contour:
         out = stencils.box(out, "component", grow, "max", "grown", filled=True).select(*AXES, F.col("grown").alias("component"))
     return finished(out, "component", smallest, small_mode, factor)
@@ -60,7 +60,7 @@ def instance_seeds(rows: DataFrame, inside: Column, smallest: int, size: tuple[i
     """``z, y, x, seed``: voxels of the parts (by faces, edges or corners) of what is ``inside`` that have ``smallest`` voxels at least."""
     found = saved(decoders.fully_connected(rows.where(inside).withColumn("l", F.lit(1)), "l", size), "seeds")
     large = found.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= smallest)
-    return found.join(large.select("component"), "component", "left_semi").select(*AXES, F.col("component").alias("seed"))
+    return found.join(large.select("component").hint("merge"), "component", "left_semi").select(*AXES, F.col("component").alias("seed"))
 
 
 def flooded_instances(volume: DataFrame, score: str, contour: str | None = None, distance: str | None = None, seed_above: float = 0.9, contour_below: float = 0.8, above: float = 0.85,
@@ -79,7 +79,7 @@ def flooded_instances(volume: DataFrame, score: str, contour: str | None = None,
         signed = F.col("distance") / F.lit(255.0) * 2.0 - 1.0
         ground, core = ground & (signed > distance_above), core & (signed > seed_distance)
     marks = instance_seeds(rows, core, seed_size, size) if seeds is None else seeds
-    open_ = rows.where(ground).select(*AXES, (-F.col("score")).alias("height")).join(marks, list(AXES), "left")
+    open_ = rows.where(ground).select(*AXES, (-F.col("score")).alias("height")).join(marks.hint("merge"), list(AXES), "left")
     found = seeded_watershed(open_, "height", "seed", size)
-    out = rows.select(*AXES).join(found, list(AXES), "left").select(*AXES, F.coalesce("id", F.lit(0)).alias("instance"))
+    out = rows.select(*AXES).join(found.hint("merge"), list(AXES), "left").select(*AXES, F.coalesce("id", F.lit(0)).alias("instance"))
     return finished(out, "instance", smallest, small_mode, factor)

@@ -30,9 +30,9 @@ def regional_extrema(volume: DataFrame, value: str, lowest: bool = True, axes: t
     seen = saved(seen.select(*AXES, "index_", beyond.alias("beyond_"), F.filter("n_", lambda n: (n["v"] == F.col("v")) & (n["index_"] < F.col("index_"))).alias("n_")), "neighbours")
     edges = seen.select("index_", F.explode("n_.index_").alias("near_"))
     roots = components(edges, "index_", "near_").select(F.col("node").alias("index_"), "root")
-    named = saved(seen.select(*AXES, "index_", "beyond_").join(roots, "index_", "left").withColumn("seed", F.coalesce("root", "index_")).drop("root"), "plateaus")
+    named = saved(seen.select(*AXES, "index_", "beyond_").join(roots.hint("merge"), "index_", "left").withColumn("seed", F.coalesce("root", "index_")).drop("root"), "plateaus")
     spoilt = named.where("beyond_").select("seed").distinct()
-    return named.join(spoilt, "seed", "left_anti").select(*AXES, "seed")
+    return named.join(spoilt.hint("merge"), "seed", "left_anti").select(*AXES, "seed")
 
 
 #: Voxels of a side of the blocks of :func:`spaced_peaks`.
@@ -61,7 +61,7 @@ def spaced_peaks(volume: DataFrame, value: str, distance: int, index: str = "ind
     the next round. Rounds grow with the blocks that a chain of such peaks crosses, not with its peaks.
     """
     most = stencils.box(volume.select(*AXES, value), value, (distance,) * 3, "max", "most_")
-    open_ = volume.join(most.where((F.col(value) == F.col("most_")) & (F.col(value) > 0)).select(*AXES), list(AXES))
+    open_ = volume.join(most.where((F.col(value) == F.col("most_")) & (F.col(value) > 0)).select(*AXES).hint("merge"), list(AXES))
     places = [F.col(a).cast("int").alias(a) for a in AXES]
     known = saved(open_.select(*places, F.col(index).cast("long").alias("i_"), F.col(value).cast("double").alias("v_"), F.lit(OPEN).alias("state")), "peaks")
     while not known.where(F.col("state") == OPEN).isEmpty():
@@ -92,7 +92,7 @@ def interior_seeds(volume: DataFrame, boundary: str, threshold: float = 0.4, dis
         found = exact_quantiles(inner, "inner_", [share])
         threshold = found[0] if found else threshold
     mask = inner.where(F.col("inner_") > threshold)
-    far = distance_transform(inner, F.col("inner_") > threshold).join(mask.select(*AXES, "index_"), list(AXES))
+    far = distance_transform(inner, F.col("inner_") > threshold).join(mask.select(*AXES, "index_").hint("merge"), list(AXES))
     far = saved(far.select(*AXES, "index_", "distance"), "distances")
     peaks = spaced_peaks(far, "distance", distance)
     if peaks.isEmpty():

@@ -58,7 +58,7 @@ def offset_affinities(volume: DataFrame, label: str, offsets: list[tuple[int, in
     volume = volume if filled else dense(volume)
     far = volume.select(F.posexplode(F.array(*(F.struct(*(F.lit(v).alias(f"o{a}") for a, v in zip(AXES, o))) for o in offsets))).alias("edge", "o"), *AXES, F.col(label).alias("far"))
     far = far.select("edge", *((F.col(a) - F.col(f"o.o{a}")).alias(a) for a in AXES), "far")
-    joined = volume.select(*AXES, F.col(label).alias("near")).join(far, list(AXES))
+    joined = volume.select(*AXES, F.col(label).alias("near")).join(far.hint("merge"), list(AXES))
     return joined.select("edge", *AXES, ((F.col("near") == F.col("far")) & (F.col("near") > 0)).cast("int").alias("aff"))
 
 

@@ -13,7 +13,7 @@ from stratovox.sources.volumes import AXES
 
 def masked(volume: DataFrame, mask: DataFrame, value: str, mask_value: str) -> DataFrame:
     """Product with a mask of the same voxels; voxels that the mask lacks are dropped (background)."""
-    return volume.join(mask.select(*AXES, F.col(mask_value).alias("m_")), list(AXES)).select(*AXES, (F.col(value) * F.col("m_")).alias(value))
+    return volume.join(mask.select(*AXES, F.col(mask_value).alias("m_")).hint("merge"), list(AXES)).select(*AXES, (F.col(value) * F.col("m_")).alias(value))
 
 
 def trimmed(volume: DataFrame, value: str) -> DataFrame:

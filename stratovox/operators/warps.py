@@ -75,7 +75,7 @@ def sampled(targets: DataFrame, volume: DataFrame, value: str, linear: bool = Tr
     source = volume.select(*(F.col(a).cast("int").alias(f"s{a}") for a in AXES), F.col(value).alias("v_"))
     if not linear:
         asked = targets.select(*AXES, *(F.floor(place[a] + 0.5).cast("int").alias(f"s{a}") for a in AXES))
-        return asked.join(source, [f"s{a}" for a in AXES], "left").select(*AXES, F.coalesce("v_", F.lit(0)).cast(kind).alias(value))
+        return asked.join(source.hint("merge"), [f"s{a}" for a in AXES], "left").select(*AXES, F.coalesce("v_", F.lit(0)).cast(kind).alias(value))
     low = targets.select(*AXES, *(F.floor(place[a]).cast("int").alias(f"l{a}") for a in AXES), *((place[a] - F.floor(place[a])).alias(f"f{a}") for a in AXES))
     corners = []
     for up in product((0, 1), repeat=3):
@@ -84,7 +84,7 @@ def sampled(targets: DataFrame, volume: DataFrame, value: str, linear: bool = Tr
             share = share * (F.col(f"f{a}") if u else 1 - F.col(f"f{a}"))
         corners.append(F.struct(*((F.col(f"l{a}") + u).alias(f"s{a}") for a, u in zip(AXES, up)), share.alias("w")))
     near = low.select(*AXES, F.explode(F.filter(F.array(*corners), lambda c: F.coalesce(c["w"] > 0, F.lit(True)))).alias("c"))
-    met = near.select(*AXES, *(F.col(f"c.s{a}").alias(f"s{a}") for a in AXES), F.col("c.w").alias("w_")).join(source, [f"s{a}" for a in AXES], "left")
+    met = near.select(*AXES, *(F.col(f"c.s{a}").alias(f"s{a}") for a in AXES), F.col("c.w").alias("w_")).join(source.hint("merge"), [f"s{a}" for a in AXES], "left")
     return met.groupBy(*AXES).agg(F.coalesce(F.sum(F.col("v_").cast("double") * F.col("w_")), F.lit(0.0)).alias(value))
 
 

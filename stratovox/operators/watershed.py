@@ -70,17 +70,17 @@ def affinity_watershed(volume: DataFrame, affinities: dict[str, str], low: float
     # edges of plateaus, from a voxel to one that isn't a corner itself; direction d_ leads back
     flat = cells.where("mutual_ <> 0").select("index_", "mutual_", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k_"))
     flat = flat.where(F.getbit("mutual_", F.col("k_")) == 1).select("index_", target(F.col("k_")).alias("near_"), ((F.col("k_") + 3) % 6).alias("d_"))
-    flat = saved(flat.join(corner.select(F.col("index_").alias("near_")), "near_", "left_anti").select("index_", "near_", "d_"), "plateaus")
+    flat = saved(flat.join(corner.select(F.col("index_").alias("near_")).hint("merge"), "near_", "left_anti").select("index_", "near_", "d_"), "plateaus")
     pointers, front, last = saved(corner, "pointers"), corner.select("index_"), None
     while True:
-        reached = flat.join(front, "index_").groupBy(F.col("near_").alias("index_")).agg(F.max("d_").alias("d_"))
+        reached = flat.join(front.hint("merge"), "index_").groupBy(F.col("near_").alias("index_")).agg(F.max("d_").alias("d_"))
         for seen in [front] + ([last] if last is not None else []):  # a neighbour is one hop nearer, as near, or one hop farther
-            reached = reached.join(seen, "index_", "left_anti")
+            reached = reached.join(seen.hint("merge"), "index_", "left_anti")
         reached = saved(reached.select("index_", target(F.col("d_")).alias("to_")), "pointers")
         if reached.isEmpty():
             break
         pointers, last, front = pointers.unionByName(reached), front, reached.select("index_")
-    cores = flat.where("index_ < near_").select("index_", F.col("near_").alias("to_")).join(pointers.select("index_"), "index_", "left_anti")
+    cores = flat.where("index_ < near_").select("index_", F.col("near_").alias("to_")).join(pointers.select("index_").hint("merge"), "index_", "left_anti")
     roots = components(pointers.unionByName(cores), "index_", "to_").select(F.col("node").alias("index_"), "root")
-    found = cells.join(roots, "index_", "left")
+    found = cells.join(roots.hint("merge"), "index_", "left")
     return found.select(*AXES, F.when(F.col("set_") != 0, F.coalesce("root", "index_")).otherwise(F.lit(0)).cast("long").alias("basin"))

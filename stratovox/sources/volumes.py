@@ -52,7 +52,7 @@ def dense(volume: DataFrame, low: tuple[int, ...] | None = None, high: tuple[int
     place = [F.expr(f"id div {size[1] * size[2]}"), F.expr(f"id div {size[2]} % {size[1]}"), F.expr(f"id % {size[2]}")]
     cells = volume.sparkSession.range(size[0] * size[1] * size[2]).select(*((p + k).cast(kinds[a]).alias(a) for p, k, a in zip(place, low, AXES)))
     empty = {c: F.lit(False) if kinds[c] == "boolean" else F.lit(0).cast(kinds[c]) for c in volume.columns if re.match(r"boolean|(tiny|small|big)?int|float|double|decimal", kinds[c])}
-    joined = cells.join(volume.withColumn("row_", F.lit(True)), list(AXES), "left")
+    joined = cells.join(volume.withColumn("row_", F.lit(True)).hint("merge"), list(AXES), "left")
     return joined.select(*(F.when(F.col("row_"), F.col(c)).otherwise(empty[c]).alias(c) if c in empty and c not in AXES else F.col(c) for c in volume.columns))
 
 
