@@ -7,8 +7,8 @@ That holds for one minus the greatest, the least and the mean affinity (single,
 - regions only ever merge inside a connected component of the edges below the threshold.
 
 For the greatest affinity these components are the result. Else the edge table goes through rounds of the first kind while it is large, and once its components below the threshold are
-small each is finished by one task, cheapest edge first. If rounds bring little or a component stays too large, an earlier
-threshold is reached first, below which there are few enough edges. Edges carry statistics that merge (least, greatest, sum and number of
+small each is finished by one task, cheapest edge first, many small ones by the same. If rounds bring little or a component stays too large, an earlier
+threshold is reached first, below which components are small enough. Edges carry statistics that merge (least, greatest, sum and number of
 faces), and every step is written to the shared folder.
 
 Defined cases: regions of no edge below the threshold aren't returned; repeated edges are summed up, loops and rows with nulls dropped; an empty
@@ -32,8 +32,8 @@ from stratovox.operators.watershed import affinity_watershed
 from stratovox.plans.scratch import saved
 from stratovox.sources.volumes import AXES
 
-#: Edges of a component that one task may hold.
-LIMIT = 200_000
+#: Edges of a component that one task may hold, and edges of small components that go to one task together.
+LIMIT, SHARE = 200_000, 10_000
 #: Rounds of cheapest edges before an earlier threshold is taken, and the share of the open edges that a round has to remove.
 ROUNDS = 24
 WORTH = 0.02
@@ -86,8 +86,15 @@ def _by_component(edges: DataFrame, open_: DataFrame) -> DataFrame:
     return inside.where("u_ = v_").withColumnRenamed("u_", "component").drop("v_")
 
 
+def shared(inside: DataFrame, edges: int) -> DataFrame:
+    """``inside`` with ``share``: whole components, dealt to shares of about ``edges`` edges (a larger component makes its share larger), a task a share."""
+    shares = max(1, -(-inside.count() // edges))
+    return inside.withColumn("share", F.pmod(F.xxhash64("component"), F.lit(shares))).repartition(shares, "share")
+
+
 def _finished(inside: DataFrame, how: str, threshold: float) -> DataFrame:
-    """``id, rep`` of all merges of each component, cheapest edge first."""
+    """``id, rep`` of all merges of each component, cheapest edge first. Most components have a few edges, so a Python call gets a share of them:
+    what lies in different components never meets, so each is merged as it would be by itself."""
     rule = scorer(how)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -96,7 +103,7 @@ def _finished(inside: DataFrame, how: str, threshold: float) -> DataFrame:
         merging.until(threshold)
         return pd.DataFrame([(r, merging.find(r)) for r in merging.rep], columns=["id", "rep"]).astype({"id": "int64", "rep": "int64"})
 
-    return inside.groupBy("component").applyInPandas(run, "id long, rep long")
+    return shared(inside, SHARE).groupBy("share").applyInPandas(run, "id long, rep long")
 
 
 def _earlier(open_: DataFrame, score: Column, share: float, threshold: float) -> float:
@@ -105,6 +112,18 @@ def _earlier(open_: DataFrame, score: Column, share: float, threshold: float) ->
     return min(math.nextafter(found, math.inf), threshold)
 
 
+def _bounded(edges: DataFrame, open_: DataFrame, n: int, score: Column, threshold: float, limit: int) -> tuple[DataFrame, float]:
+    """The edges inside of components below a threshold, and that threshold: the given one, or the earlier one that halving the ``n`` open edges first comes to
+    at which no component has over ``limit`` edges. Edges between a component's regions count too, however few of them are open."""
+    inside, share = saved(_by_component(edges, open_), "inside"), 1.0
+    while share * n >= 1 and (inside.groupBy("component").count().agg(F.max("count")).first()[0] or 0) > limit:
+        share /= 2
+        if (earlier := _earlier(open_, score, share, threshold)) < threshold:
+            threshold = earlier
+            inside = saved(_by_component(edges, edges.where(score < threshold)), "inside")
+    return inside, threshold
+
+
 def agglomerated(edges: DataFrame, threshold: float, how: str = "mean", limit: int = LIMIT, rounds: int = ROUNDS) -> DataFrame:
     """``id, rep`` of every region that is merged into another by merging the cheapest edge below ``threshold`` again and again.
 
@@ -118,15 +137,12 @@ def agglomerated(edges: DataFrame, threshold: float, how: str = "mean", limit: i
     edges = saved(_summed(edges.where("u is not null and v is not null and u < v")), "edges")
     done, left, before = edges.select(F.col("v").alias("id"), F.col("u").alias("rep")).limit(0), rounds, None
     while n := (open_ := edges.where(score < threshold)).count():
-        upto = threshold
+        upto = None
         if n > limit and left and (before is None or n <= (1 - WORTH) * before):
             step, left, before = saved(reciprocal(edges, score, threshold), "merges"), left - 1, n
         else:
             before = None
-            inside = saved(_by_component(edges, open_), "inside")
-            if n > limit and inside.groupBy("component").count().agg(F.max("count")).first()[0] > limit:
-                upto = _earlier(open_, score, limit / n, threshold)
-                inside = saved(_by_component(edges, edges.where(score < upto)), "inside")
+            inside, upto = _bounded(edges, open_, n, score, threshold, limit)
             step = saved(_finished(inside, how, upto), "merges")
             if upto == threshold:
                 return _composed(done, step)

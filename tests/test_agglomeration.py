@@ -98,3 +98,28 @@ def test_the_greatest_affinity_needs_no_order_and_nothing_is_broadcast(spark, mo
     assert "BroadcastHashJoin" not in agglomeration.relabelled(table(spark, first), kept)._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(agglomeration, "_finished", never)
     assert {r.id: r.rep for r in agglomeration.agglomerated(table(spark, first), 0.05, "max").collect()} == plain("max", first, 0.05)
+
+
+def test_many_small_components_go_to_few_tasks(spark):
+    """Components are dealt whole; a Python call gets many of them, and each is merged as by itself."""
+    first = {e: [a] for k in range(0, 9000, 3) for e, a in (((k + 1, k + 2), 0.9 - k % 7 / 100), ((k + 2, k + 3), 0.8), ((k + 1, k + 3), 0.1))}
+    edges = table(spark, first)
+    dealt = agglomeration.shared(agglomeration._by_component(edges, edges.where("1 - total / faces < 0.5")), 1000)
+    found = dealt.groupBy("component").agg({"share": "min", "component": "count"}).collect()
+    assert len(found) == 3000 and all(r["count(component)"] == 3 for r in found) and dealt.select("share").distinct().count() <= 9
+    got = {r.id: r.rep for r in agglomeration.agglomerated(edges, 0.5, "mean").collect()}
+    assert got == {k: k - 1 for k in range(2, 9001, 3)}
+
+
+def test_edges_that_are_not_open_count_in_a_component(spark, monkeypatch):
+    """Few open edges may hold a component of many edges; an earlier threshold bounds what one task gets."""
+    first = {(u, v): [1 - (u + v) / 1000 if v == u + 1 else 0.1] for u in range(1, 41) for v in range(u + 1, 41)}
+    most, run = [], agglomeration._finished
+
+    def finished(inside, how, threshold):
+        most.append(inside.groupBy("component").count().agg({"count": "max"}).first()[0])
+        return run(inside, how, threshold)
+
+    monkeypatch.setattr(agglomeration, "_finished", finished)
+    got = {r.id: r.rep for r in agglomeration.agglomerated(table(spark, first), 0.3, "mean", limit=60).collect()}
+    assert got == plain("mean", first, 0.3) and got and max(most) <= 60
