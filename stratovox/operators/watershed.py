@@ -2,85 +2,227 @@
 
 A voxel's steepest directions (those of its greatest affinity, and all of affinities that are high enough) form a mask of six bits. A direction is
 mutual if the neighbour points back: mutual voxels form plateaus. A plateau with a corner, a voxel that also points to a
-higher neighbour, is divided by the number of hops from its corners, in rounds over the frontier only; one without is the
+higher neighbour, is divided by the number of hops from its corners; one without is the
 core of a basin. Then every voxel outside the cores has one direction, and basins are the components of directions and cores.
 
+Voxels are dealt once, to blocks that hold two voxels of those around them; from then on a block is a row of arrays. Hops are counted inside of blocks,
+which then tell each other the counts on their faces until none changes, so rounds grow with the blocks that a plateau's hops cross. Parts
+of basins are found in blocks too; only voxels at faces link them.
+
 Of several directions of equal right the last one is taken, in the order z, y, x down and then z, y, x up. Plateau voxels with two corners
 equally near go that way too, where a queue goes by the order of visits.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratovox.operators import labels
-from stratovox.operators.components import components
-from stratovox.operators.stencils import before
+from stratovox.operators.components import components, forest, grouped, linked, named
 from stratovox.plans.scratch import saved
 from stratovox.sources.volumes import AXES
 
 #: Directions: axis and side; the opposite of direction d is (d + 3) % 6.
 DIRECTIONS = [(a, -1) for a in AXES] + [(a, 1) for a in AXES]
+#: Voxels of a side of a block, and hops of what no corner reaches.
+SIDE, FAR = 32, 1 << 30
+BLOCK = [f"b{a}" for a in AXES]
+_PLACE = ", ".join(f"{b} int" for b in BLOCK)
+_STATE = f"{_PLACE}, set_ binary, mutual_ binary, here_ binary, hops_ binary, changed_ boolean, tells_ array<struct<{_PLACE}, side_ int, face_ binary>>"
+_COLUMNS = [*BLOCK, "set_", "mutual_", "here_", "hops_", "changed_", "tells_"]
 
 
-def steepest(volume: DataFrame, affinities: dict[str, str], low: float, high: float, size: tuple[int, int] | None = None) -> DataFrame:
-    """``z, y, x, index_, set_, mutual_``: each voxel's mask of steepest directions, and of those to which a neighbour points back.
-
-    ``affinities``: a column for each axis, of the edge to the voxel before. Edges to voxels without a row, and nulls, count as ``low``; a voxel
-    whose greatest affinity isn't above ``low`` has no direction.
-    """
-    rows = labels.linear_index(volume.select(*AXES, *(F.col(c).cast("double").alias(f"a{a}") for a, c in affinities.items())), size)
-    down = {a: F.when(before(F.lit(1), a).isNotNull(), F.coalesce(f"a{a}", F.lit(float(low)))).otherwise(F.lit(float(low))) for a in AXES}
-    up = {a: F.coalesce(before(F.col(f"a{a}"), a, -1), F.lit(float(low))) for a in AXES}
-    rows = rows.withColumns({f"e{d}": (down if side < 0 else up)[a] for d, (a, side) in enumerate(DIRECTIONS)})
-    rows = rows.withColumn("m_", F.greatest(*(f"e{d}" for d in range(6))))
-    bits = [F.when((F.col("m_") > low) & ((F.col(f"e{d}") == F.col("m_")) | (F.col(f"e{d}") >= high)), 1 << d).otherwise(0) for d in range(6)]
-    rows = rows.select(*AXES, "index_", reduce(lambda a, b: a + b, bits).alias("set_"))
-    back = [before(F.col("set_"), a, -side) for a, side in DIRECTIONS]
-    mutual = [F.when((F.col("set_").bitwiseAND(1 << d) != 0) & (b.bitwiseAND(1 << (d + 3) % 6) != 0), 1 << d).otherwise(0) for d, b in enumerate(back)]
-    return rows.select(*AXES, "index_", "set_", reduce(lambda a, b: a + b, mutual).alias("mutual_"))
-
+def _near(array: np.ndarray, d: int, edge: int = 0) -> np.ndarray:
+    """Each place's neighbour in direction ``d``, of an array with ``edge`` more places on all sides than what is returned; ``edge`` 0: of the
+    array itself, with 0 outside of it."""
+    if not edge:
+        array, edge = np.pad(array, 1), 1
+    shift = [0, 0, 0]
+    shift[d % 3] = -1 if d < 3 else 1
+    return array[tuple(slice(edge + k, n - edge + k) for k, n in zip(shift, array.shape))]
 
-def _steps(size: tuple[int, int]) -> list[int]:
-    step = {"z": size[0] * size[1], "y": size[1], "x": 1}
-    return [side * step[a] for a, side in DIRECTIONS]
 
+def _plane(d: int) -> tuple:
+    """The outermost places of a block in direction ``d``."""
+    at: list = [slice(None)] * 3
+    at[d % 3] = 0 if d < 3 else -1
+    return tuple(at)
 
-def _last(mask: str) -> F.Column:
-    """The number of the highest bit of a mask of six."""
-    return F.floor(F.log2(F.col(mask).cast("double"))).cast("int")
 
+def _steepest(values: list[np.ndarray], here: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """Masks of the steepest directions, and of those to which a neighbour points back, of a block that has two places more on all sides.
 
-def affinity_watershed(volume: DataFrame, affinities: dict[str, str], low: float = 0.0, high: float = 1.0, size: tuple[int, int] | None = None) -> DataFrame:
+    ``values``: for each axis the affinity to the voxel before. Edges to voxels without a row count as ``low``; a voxel whose greatest affinity isn't
+    above ``low`` has no direction.
+    """
+    inner = (slice(1, -1),) * 3
+    linked_ = [np.pad((here & np.roll(here, 1, k))[tuple(slice(1, None) if j == k else slice(None) for j in range(3))], [(1, 0) if j == k else (0, 0) for j in range(3)]) for k in range(3)]
+    down = [np.where(ok, v, low) for ok, v in zip(linked_, values)]
+    edges = [v[inner] for v in down] + [_near(v, k + 3, 1) for k, v in enumerate(down)]
+    there = [v[inner] for v in linked_] + [_near(v, k + 3, 1) for k, v in enumerate(linked_)]
+    most = np.maximum.reduce(edges)
+    mask = np.zeros(most.shape, np.uint8)
+    for d, (e, ok) in enumerate(zip(edges, there)):
+        mask[ok & (most > low) & ((e == most) | (e >= high))] |= 1 << d
+    mutual = np.zeros(mask[inner].shape, np.uint8)
+    for d in range(6):
+        mutual |= (mask[inner] >> d & _near(mask, d, 1) >> (d + 3) % 6 & 1) << d
+    return mask[inner], mutual
+
+
+def _spread(hops: np.ndarray, mutual: np.ndarray) -> None:
+    """Counts of hops (in place) go on over the mutual directions of a block until none changes."""
+    ways = [(mutual >> d & 1).astype(bool) for d in range(6)]
+    while True:
+        found = hops.copy()
+        for d, way in enumerate(ways):
+            beyond = _near(hops, d)
+            np.minimum(found, beyond + 1, out=found, where=way & (beyond < FAR) & _inside(d, len(hops)))
+        if (found == hops).all():
+            return
+        hops[:] = found
+
+
+def _inside(d: int, side: int) -> np.ndarray:
+    """Where a block's places have their neighbour in direction ``d`` in the block."""
+    out = np.ones((side,) * 3, bool)
+    out[_plane(d)] = False
+    return out
+
+
+def _arrays(row, side: int) -> tuple[np.ndarray, ...]:
+    """A block's masks, its voxels and its hops (a copy)."""
+    kinds = (("set_", np.uint8), ("mutual_", np.uint8), ("here_", bool), ("hops_", np.int32))
+    return tuple(np.frombuffer(row[c], k).reshape((side,) * 3).copy() for c, k in kinds)
+
+
+def _tells(block: list[int], mutual: np.ndarray, hops: np.ndarray) -> list[dict]:
+    """What a block's neighbours have to know: the hops on each face over which a plateau goes on."""
+    out = []
+    for d in range(6):
+        if (mutual[_plane(d)] >> d & 1).any():
+            home = [b + DIRECTIONS[d][1] * (k == d % 3) for k, b in enumerate(block)]
+            out.append({**dict(zip(BLOCK, home)), "side_": (d + 3) % 6, "face_": np.ascontiguousarray(hops[_plane(d)]).tobytes()})
+    return out
+
+
+def _blocks(volume: DataFrame, affinities: dict[str, str], low: float, high: float, side: int) -> DataFrame:
+    """A row for each block that has voxels: its masks, and hops as far as its own corners tell."""
+    columns = sorted(set(affinities.values()))
+    # a missing affinity counts as low; Spark's order has NaN as the greatest
+    values = [F.coalesce(F.when(F.isnan(F.col(c).cast("double")), F.lit(float("inf"))).otherwise(F.col(c).cast("double")), F.lit(float(low))).alias(f"v_{c}") for c in columns]
+    dealt = volume.select(*(F.col(a).cast("int").alias(a) for a in AXES), *values)
+    for a in AXES:
+        own, place = F.floor(F.col(a) / side).cast("int"), F.pmod(F.col(a), F.lit(side))
+        before = (place < 2) & ((own != 0) if a != "z" else F.lit(True))
+        dealt = dealt.withColumn(f"b{a}", F.explode(F.when(before, F.array(own, own - 1)).when(place >= side - 2, F.array(own, own + 1)).otherwise(F.array(own))))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        block = [int(part[b].iloc[0]) for b in BLOCK]
+        at = tuple(part[a].to_numpy() - b * side + 2 for a, b in zip(AXES, block))
+        here, own = np.zeros((side + 4,) * 3, bool), (slice(2, -2),) * 3
+        here[at] = True
+        if not here[own].any():
+            return pd.DataFrame(columns=_COLUMNS, dtype=object)
+        filled = {}
+        for c in columns:
+            filled[c] = np.full(here.shape, float(low))
+            filled[c][at] = part[f"v_{c}"].to_numpy()
+        mask, mutual = _steepest([filled[affinities[a]] for a in AXES], here, low, high)
+        hops = np.where(mask != mutual, 0, FAR).astype(np.int32)
+        _spread(hops, mutual)
+        return pd.DataFrame([[*block, mask.tobytes(), mutual.tobytes(), here[own].tobytes(), hops.tobytes(), True, _tells(block, mutual, hops)]], columns=_COLUMNS)
+
+    return dealt.groupBy(*BLOCK).applyInPandas(run, _STATE)
+
+
+def _faces(state: DataFrame) -> DataFrame:
+    """For each block's neighbours the hops on the face that they share; ``side_``: in which direction of the neighbour it lies."""
+    return state.select(F.explode("tells_").alias("t")).select("t.*")
+
+
+def _heard(state: DataFrame, faces: DataFrame, side: int) -> DataFrame:
+    """The blocks after what their neighbours told them; ``changed_``: whether that brought fewer hops."""
+
+    def run(blocks: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        if not len(blocks):
+            return pd.DataFrame(columns=_COLUMNS, dtype=object)
+        mask, mutual, here, hops = _arrays(blocks.iloc[0], side)
+        before = hops.copy()
+        for d, face in zip(told["side_"], told["face_"]):
+            at, beyond = _plane(d), np.frombuffer(face, np.int32).reshape(side, side)
+            way = (mutual[at] >> d & 1).astype(bool) & (beyond < FAR)
+            hops[at] = np.where(way, np.minimum(hops[at], beyond + 1), hops[at])
+        changed = bool((hops != before).any())
+        if changed:
+            _spread(hops, mutual)
+        tells = _tells([int(blocks[b].iloc[0]) for b in BLOCK], mutual, hops)
+        return blocks.assign(hops_=[hops.tobytes()], changed_=changed, tells_=[tells])[_COLUMNS]
+
+    return state.drop("tells_").groupBy(*BLOCK).cogroup(faces.groupBy(*BLOCK)).applyInPandas(run, _STATE)
+
+
+def _parts(state: DataFrame, faces: DataFrame, size: tuple[int, int], side: int) -> DataFrame:
+    """``z, y, x, index_, on_, root_, kind_``: each voxel and the least index of its basin's part in the block. Kinds: 1 at a face of the block, 2 a voxel of
+    another block to which one of this block leads, else 0."""
+    steps = [way * s for way in (-1, 1) for s in (size[0] * size[1], size[1], 1)]
+
+    def run(blocks: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        if not len(blocks):
+            return pd.DataFrame({c: [] for c in (*AXES, "index_", "on_", "root_", "kind_")})
+        mask, mutual, here, hops = _arrays(blocks.iloc[0], side)
+        around = np.full((side + 2,) * 3, FAR, np.int32)
+        around[1:-1, 1:-1, 1:-1] = hops
+        for d, face in zip(told["side_"], told["face_"]):
+            at: list = [slice(1, -1)] * 3
+            at[d % 3] = 0 if d < 3 else -1
+            around[tuple(at)] = np.frombuffer(face, np.int32).reshape(side, side)
+        place = [k + int(blocks[b].iloc[0]) * side for k, b in zip(np.indices(hops.shape), BLOCK)]
+        index = (place[0].astype(np.int64) * size[0] + place[1]) * size[1] + place[2] + 1
+        onward, way = mask ^ mutual, np.full(hops.shape, -1, np.int8)
+        ends = []
+        for d in range(6):
+            back, beyond = (mutual >> d & 1).astype(bool), _near(around, d, 1)
+            way[np.where(onward != 0, (onward >> d & 1).astype(bool), back & (hops < FAR) & (beyond == hops - 1))] = d
+            core = back & (hops == FAR)
+            ends.append((index[core], index[core] + steps[d], _inside(d, side)[core]))
+        for d in range(6):
+            at = way == d
+            ends.append((index[at], index[at] + steps[d], _inside(d, side)[at]))
+        a, b, inside = (np.concatenate(c) for c in zip(*ends))
+        nodes, roots = forest(a, b)
+        border = ~np.logical_and.reduce([_inside(d, side) for d in range(6)])
+        own = index[here]
+        local = own.copy()
+        foreign = np.unique(b[~inside])
+        far = roots[np.searchsorted(nodes, foreign)]
+        if len(nodes):
+            found = np.minimum(np.searchsorted(nodes, own), len(nodes) - 1)
+            local = np.where(nodes[found] == own, roots[found], own)
+        none = np.zeros(len(foreign), np.int32)
+        columns = {a_: np.concatenate([p[here], none]) for a_, p in zip(AXES, place)}
+        columns |= {"index_": np.concatenate([own, foreign]), "on_": np.concatenate([mask[here] != 0, none == 0]), "root_": np.concatenate([local, far])}
+        return pd.DataFrame(columns | {"kind_": np.concatenate([border[here].astype(np.int32), none + 2])})
+
+    return state.drop("tells_").groupBy(*BLOCK).cogroup(faces.groupBy(*BLOCK)).applyInPandas(run, "z int, y int, x int, index_ long, on_ boolean, root_ long, kind_ int")
+
+
+def affinity_watershed(volume: DataFrame, affinities: dict[str, str], low: float = 0.0, high: float = 1.0, size: tuple[int, int] | None = None, side: int = SIDE) -> DataFrame:
     """``z, y, x, basin``: the basin of each voxel, named by its least linear index plus 1; 0 without an affinity above ``low``.
 
-    Missing rows of the volume are no voxels. ``labels.compacted`` numbers basins 1..n in the order of their first voxels. ``size``: rows and columns
-    of a slice, by default those that occur. An empty volume gives an empty result.
+    ``affinities``: a column for each axis, of the edge to the voxel before. Missing rows of the volume are no voxels, a null counts as ``low``.
+    ``labels.compacted`` numbers basins 1..n in the order of their first voxels. ``size``: rows and columns
+    of a slice, by default those that occur; ``side``: voxels of a side of a block. An empty volume gives an empty result.
     """
     if size is None:
         found = volume.agg(F.max("y").alias("y"), F.max("x").alias("x")).first()
         size = ((found.y or 0) + 1, (found.x or 0) + 1)
-    cells = saved(steepest(volume, affinities, low, high, size), "steepest")
-    target = lambda d: F.col("index_") + F.element_at(F.array(*map(F.lit, _steps(size))), d + 1)
-    onward = cells.withColumn("on_", F.col("set_").bitwiseXOR(F.col("mutual_")))
-    corner = onward.where("on_ <> 0").select("index_", target(_last("on_")).alias("to_"))
-    # edges of plateaus, from a voxel to one that isn't a corner itself; direction d_ leads back
-    flat = cells.where("mutual_ <> 0").select("index_", "mutual_", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k_"))
-    flat = flat.where(F.getbit("mutual_", F.col("k_")) == 1).select("index_", target(F.col("k_")).alias("near_"), ((F.col("k_") + 3) % 6).alias("d_"))
-    flat = saved(flat.join(corner.select(F.col("index_").alias("near_")).hint("merge"), "near_", "left_anti").select("index_", "near_", "d_"), "plateaus")
-    pointers, front, last = saved(corner, "pointers"), corner.select("index_"), None
-    while True:
-        reached = flat.join(front.hint("merge"), "index_").groupBy(F.col("near_").alias("index_")).agg(F.max("d_").alias("d_"))
-        for seen in [front] + ([last] if last is not None else []):  # a neighbour is one hop nearer, as near, or one hop farther
-            reached = reached.join(seen.hint("merge"), "index_", "left_anti")
-        reached = saved(reached.select("index_", target(F.col("d_")).alias("to_")), "pointers")
-        if reached.isEmpty():
-            break
-        pointers, last, front = pointers.unionByName(reached), front, reached.select("index_")
-    cores = flat.where("index_ < near_").select("index_", F.col("near_").alias("to_")).join(pointers.select("index_").hint("merge"), "index_", "left_anti")
-    roots = components(pointers.unionByName(cores), "index_", "to_").select(F.col("node").alias("index_"), "root")
-    found = cells.join(roots.hint("merge"), "index_", "left")
-    return found.select(*AXES, F.when(F.col("set_") != 0, F.coalesce("root", "index_")).otherwise(F.lit(0)).cast("long").alias("basin"))
+    state = saved(_blocks(volume, affinities, low, high, side), "blocks")
+    while not (moved := state.where("changed_")).isEmpty():
+        state = saved(_heard(state, _faces(moved), side), "blocks")
+    found = saved(_parts(state, _faces(state), size, side), "parts")
+    roots = components(linked(grouped(found.where("on_ and kind_ > 0"), "index_", "root_")), "u", "v")
+    rows, kinds = named(found.where("kind_ < 2"), "root_", roots), dict(volume.dtypes)
+    return rows.select(*(F.col(a).cast(kinds[a]).alias(a) for a in AXES), F.when(F.col("on_"), F.col("root")).otherwise(F.lit(0)).cast("long").alias("basin"))

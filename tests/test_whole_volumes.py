@@ -84,6 +84,31 @@ def test_a_plateau_is_divided_by_hops(spark):
     assert watershed.affinity_watershed(frame(spark, aff, "az double, ay double, ax double").limit(0), {a: f"a{a}" for a in "zyx"}).count() == 0
 
 
+@pytest.mark.parametrize("side", [4, 5])
+def test_basins_across_blocks_equal_a_plain_loop(spark, side):
+    """Blocks smaller than the plateaus: hops and basins go on over faces, edges of blocks and missing rows."""
+    r = random.Random(side)
+    aff = {(z, y, x): tuple(math.floor(r.random() * 3) / 3 for _ in range(3)) for z in range(9) for y in range(10) for x in range(11) if r.random() >= 0.1}
+    for p in [(z, y, x) for z in range(2, 8) for y in range(1, 9) for x in range(1, 10)]:  # a plateau with one way out
+        if p in aff:
+            aff[p] = (0.8, 0.8, 0.8)
+    aff[2, 1, 1] = (0.9, 0.1, 0.1)
+    got = {(q.z, q.y, q.x): q.basin for q in watershed.affinity_watershed(frame(spark, aff, "az double, ay double, ax double"), {a: f"a{a}" for a in "zyx"}, 0.0, 1.0, (10, 11), side).collect()}
+    want = {p: (q[0] * 10 + q[1]) * 11 + q[2] + 1 for p, q in plain_basins(aff, 0.0, 1.0).items()}
+    assert got == {p: want.get(p, 0) for p in aff}
+
+
+def test_rounds_grow_with_the_blocks_that_hops_cross(spark, monkeypatch):
+    """A plateau of 200 voxels in a row takes a round for each of its seven blocks, not one for each hop; nulls are no affinity."""
+    rounds, kept = [], watershed.saved
+    monkeypatch.setattr(watershed, "saved", lambda df, name="stage": rounds.append(name) or kept(df, name))
+    aff = {(0, 0, x): (None, None, 0.5) for x in range(201)}
+    aff[0, 0, 1] = (None, None, 0.9)
+    aff[0, 0, 200] = (None, None, 0.4)
+    got = watershed.affinity_watershed(frame(spark, aff, "az double, ay double, ax double"), {a: f"a{a}" for a in "zyx"}).collect()
+    assert {r.basin for r in got} == {1} and len(got) == 201 and len(rounds) <= 12
+
+
 def brute_distances(label, spacing):
     out = {}
     for p, k in label.items():
