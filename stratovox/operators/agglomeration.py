@@ -25,12 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratovox.operators.components import components
-from stratovox.operators.labels import renamed
 from stratovox.operators.merging import Merging, Statistics, scorer
-from stratovox.operators.regions import faces
-from stratovox.operators.watershed import affinity_watershed
+from stratovox.operators.watershed import SIDE, basin_parts, named_parts
 from stratovox.plans.scratch import saved
-from stratovox.sources.volumes import AXES
 
 #: Edges of a component that one task may hold, and edges of small components that go to one task together.
 LIMIT, SHARE = 200_000, 10_000
@@ -150,12 +147,15 @@ def agglomerated(edges: DataFrame, threshold: float, how: str = "mean", limit: i
     return done
 
 
-def segmented_volume(volume: DataFrame, affinities: dict[str, str], threshold: float, how: str = "mean", low: float = 0.0, high: float = 1.0, size: tuple[int, int] | None = None) -> DataFrame:
+def segmented_volume(volume: DataFrame, affinities: dict[str, str], threshold: float, how: str = "mean", low: float = 0.0, high: float = 1.0, size: tuple[int, int] | None = None,
+                     side: int = SIDE) -> DataFrame:
     """``z, y, x, id``: the whole volume cut into basins of its affinities, which are merged up to ``threshold``; 0 where no affinity is above ``low``.
 
-    Ids are the least linear index (plus 1) of a basin that the region holds; nothing is cut at borders of blocks.
+    Ids are the least linear index (plus 1) of a basin that the region holds; nothing is cut at borders of blocks. Blocks of the watershed tell which parts of
+    basins touch, so only their edges, not the voxels, are shuffled for the merging, and voxels are named once at the end.
     """
-    basins = saved(affinity_watershed(volume, affinities, low, high, size), "basins")
-    rows = basins.join(volume.select(*AXES, *set(affinities.values())).hint("merge"), list(AXES))
-    merges = agglomerated(region_edges(faces(rows, "basin", affinities)), threshold, how)
-    return renamed(basins, "basin", merges).withColumnRenamed("basin", "id")
+    parts, roots, touching = basin_parts(volume, affinities, low, high, size, side, edges=True)
+    basins = roots.select(F.col("node").alias("id"), F.col("root").alias("rep"))
+    merges = agglomerated(saved(relabelled(touching, basins), "edges"), threshold, how)
+    names = saved(_composed(basins, merges).select(F.col("id").alias("node"), F.col("rep").alias("root")), "names")
+    return named_parts(parts, names)
