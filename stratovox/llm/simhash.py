@@ -221,18 +221,16 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     """
     words = ["fp", *(f"w{k}" for k in range(JUDGED // 8))]
 
-    def spread(batches):
-        for batch in batches:
-            if batch.num_rows:
-                low = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, SKETCH)
-                judged = np.ascontiguousarray((low[:, :JUDGED] & 0xFF).astype(np.uint8)).view(np.int64)
-                columns, bands = [*batch.columns[:2], *(pa.array(c) for c in judged.T)], low.view(np.uint64).reshape(-1, SKETCH // BAND)
-                for k in range(bands.shape[1]):
-                    key = (bands[:, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) * np.uint64(0xC2B2AE3D27D4EB4F)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *columns], names=["key", "id", *words])
-
-    keyed = nodes.select("id", "fp", "sketch").mapInArrow(spread, "key long, id long, " + ", ".join(w + " long" for w in words))
-    return bucket_links([keyed], words, _candidate, lambda data: np.bitwise_count(data[:, 0]).astype(np.float64), lambda ones: ones + WIDE)
+    def spread(batch: pa.RecordBatch):
+        if batch.num_rows:
+            low = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, SKETCH)
+            judged = np.ascontiguousarray((low[:, :JUDGED] & 0xFF).astype(np.uint8)).view(np.int64)
+            own, bands = np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy(), judged]), low.view(np.uint64).reshape(-1, SKETCH // BAND)
+            for k in range(bands.shape[1]):
+                key = (bands[:, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                yield np.column_stack([key.view(np.int64), own])
+
+    return bucket_links(nodes.select("id", "fp", "sketch"), [spread], words, _candidate, lambda data: np.bitwise_count(data[:, 0]).astype(np.float64), lambda ones: ones + WIDE)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words_each: int) -> DataFrame:
